@@ -1,0 +1,36 @@
+"""Join helpers: size-checked broadcast and NULL-safe re-joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A dimension is broadcast only after counting it against this bound. The
+# dimensions broadcast here are narrow (an integer key and one or two short
+# strings, ~50 bytes a row), so 4M rows stay near 200 MB on every executor.
+DEFAULT_BROADCAST_ROWS = 4_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    The bound is proven by a count that stops after ``max_rows + 1`` rows.
+    Above it the join stays a shuffle join, where adaptive execution splits
+    skewed partitions of the large side.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_on_nullable(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be NULL, treating NULL = NULL (``<=>``).
+
+    Used to re-join per-group aggregates where NULL is a group of its own.
+    """
+    renamed = right
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"__r_{k}")
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
