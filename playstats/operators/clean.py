@@ -94,14 +94,14 @@ def exclusion_audit(plays: DataFrame, artists: DataFrame, late_cut: str = DEFAUL
     )
     steps = counts.select(
         F.explode(
-            F.array(*[F.struct(F.lit(s).alias("step"), F.col(s).alias("rows")) for s in AUDIT_STEPS])
+            F.array(*[F.struct(F.lit(s).alias("step"), F.col(s).alias("n_rows")) for s in AUDIT_STEPS])
         ).alias("s")
-    ).select("s.step", "s.rows")
-    dims = artists.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("artists").alias("step"), "rows")
+    ).select("s.step", "s.n_rows")
+    dims = artists.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("artists").alias("step"), "n_rows")
     coded = (
         plays.select(F.explode("artist_ids").alias("artist_id"))
-        .agg(F.countDistinct("artist_id").alias("rows"))
-        .select(F.lit("coded_artists").alias("step"), "rows")
+        .agg(F.countDistinct("artist_id").alias("n_rows"))
+        .select(F.lit("coded_artists").alias("step"), "n_rows")
     )
     return steps.unionByName(dims).unionByName(coded)
 

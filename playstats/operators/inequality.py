@@ -1 +1,169 @@
-"""Placeholder, filled below."""
+"""Inequality and rank statistics: Gini (AGG30), log histogram (AGG31),
+fractional ranks (WIN2/WIN3) and Lorenz curves (WIN4).
+
+All of them need positions in sorted order. Sorting every row in one window
+would put the whole table into one task, so they work on the histogram of
+values instead: one row per distinct value with its frequency. The number of
+items below a value (a prefix sum over sorted values) is computed in two
+levels: values are grouped into power-of-two buckets (at most ~65 per group),
+bucket totals give each bucket's offset, and a window inside each bucket
+adds the rest. Results are joined back by value where rows are needed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from playstats.operators.joins import broadcast_if_small
+
+DEC = "decimal(38,0)"
+
+
+def _bucket(v: Column) -> Column:
+    """Monotone bucket of a value: -1 for v < 1, else floor(log2 v)."""
+    return F.when(v < 1, F.lit(-1)).otherwise(F.floor(F.log2(v)).cast("int"))
+
+
+def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """(groups..., value, f): frequency of each distinct value."""
+    groups = groups or []
+    return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("f"))
+
+
+def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str] | None = None) -> DataFrame:
+    """Adds ``<w>_below``: sum of weight ``w`` over smaller values of the group.
+
+    Bucket offsets come from a window over at most ~65 bucket rows per group;
+    the in-bucket part is a window partitioned by (group, bucket).
+    """
+    groups = groups or []
+    hb = hist.withColumn("__b", _bucket(F.col(value)))
+    totals = hb.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
+    wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *groups, "__b", *[F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0)).alias(f"__o_{w}") for w in weights]
+    )
+    wi = Window.partitionBy(*groups, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inner = hb.select(
+        "*", *[F.coalesce(F.sum(w).over(wi), F.lit(0)).alias(f"__i_{w}") for w in weights]
+    )
+    # groups can be NULL (e.g. unknown gender), so they are matched with <=>
+    # at most ~65 rows per group: broadcast once the group count is checked
+    offsets = offsets.withColumnRenamed("__b", "__ob")
+    for g in groups:
+        offsets = offsets.withColumnRenamed(g, f"__og_{g}")
+    cond = inner["__b"] == offsets["__ob"]
+    for g in groups:
+        cond = cond & inner[g].eqNullSafe(offsets[f"__og_{g}"])
+    joined = inner.join(broadcast_if_small(offsets), cond)
+    return joined.select(
+        *[c for c in hist.columns],
+        *[(F.col(f"__o_{w}") + F.col(f"__i_{w}")).alias(f"{w}_below") for w in weights],
+    )
+
+
+def _attach_totals(left: DataFrame, totals: DataFrame, groups: list[str]) -> DataFrame:
+    """Add per-group totals: a NULL-safe join on the groups, or scalar
+    subqueries when there is a single global group."""
+    if not groups:
+        return left.select("*", *[totals.select(c).scalar().alias(c) for c in totals.columns])
+    r = totals
+    for g in groups:
+        r = r.withColumnRenamed(g, f"__g_{g}")
+    cond = None
+    for g in groups:
+        c = left[g].eqNullSafe(r[f"__g_{g}"])
+        cond = c if cond is None else cond & c
+    return left.join(broadcast_if_small(r), cond).drop(*[f"__g_{g}" for g in groups])
+
+
+def gini(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """Gini coefficient of ``value`` (per group): sum((2i-n-1) x_i) / (n sum x)
+    with x ascending and i = 1..n.
+
+    On the histogram a block of f equal values v that follows ``below``
+    smaller items holds ranks below+1 .. below+f, so it adds
+    v * (2 (f below + f (f+1)/2) - f (n+1)). The numerator is exact
+    (decimal(38,0)); like the reference, a value <= 0 is an error (C4).
+    """
+    groups = groups or []
+    hist = value_histogram(df, value, groups).withColumn("vf", F.col(value) * F.col("f"))
+    hb = with_below(hist, value, ["f"], groups)
+    totals = hist.groupBy(*groups).agg(F.sum("f").alias("n"), F.sum("vf").alias("s"), F.min(value).alias("lo"))
+    hb = _attach_totals(hb, totals, groups)
+    f = F.col("f").cast(DEC)
+    term = F.col(value).cast(DEC) * (
+        F.lit(2).cast(DEC) * (f * F.col("f_below").cast(DEC)) + f * (f + F.lit(1).cast(DEC))
+        - f * (F.col("n").cast(DEC) + F.lit(1).cast(DEC))
+    )
+    out = hb.groupBy(*groups).agg(
+        F.sum(term).alias("num"), F.first("n").alias("n"), F.first("s").alias("s"), F.first("lo").alias("lo")
+    )
+    g = F.col("num").cast("double") / (F.col("n").cast("double") * F.col("s").cast("double"))
+    checked = F.when(F.col("lo") <= 0, F.raise_error(F.lit(f"gini: {value} must be > 0"))).otherwise(g)
+    return out.select(*groups, F.col("n").alias("n_items"), checked.alias("gini"))
+
+
+def fractional_rank(df: DataFrame, value: str, out: str, descending: bool = True,
+                    groups: list[str] | None = None) -> DataFrame:
+    """pandas ``rank(method='max', ascending=...) / n`` as a column ``out``.
+
+    Descending, ties max: items with a value >= v, over n. Ascending, ties
+    max: items with a value <= v, over n. Computed on the value histogram and
+    joined back by value (and group).
+    """
+    groups = groups or []
+    hist = value_histogram(df, value, groups)
+    hb = with_below(hist, value, ["f"], groups)
+    ntot = hist.groupBy(*groups).agg(F.sum("f").alias("__n"))
+    hb = _attach_totals(hb, ntot, groups)
+    if descending:
+        r = (F.col("__n") - F.col("f_below")) / F.col("__n")
+    else:
+        r = (F.col("f_below") + F.col("f")) / F.col("__n")
+    ranks = hb.select(*groups, F.col(value).alias("__v"), r.cast("double").alias(out))
+    cond = df[value] == ranks["__v"]
+    for g in groups:
+        ranks = ranks.withColumnRenamed(g, f"__g_{g}")
+        cond = cond & df[g].eqNullSafe(ranks[f"__g_{g}"])
+    joined = df.join(broadcast_if_small(ranks), cond, "left")
+    return joined.drop("__v", *[f"__g_{g}" for g in groups])
+
+
+def lorenz_points(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """WIN4: one Lorenz point per distinct value (and group).
+
+    ``rank`` = items with a value <= v over n; ``cum_fraction`` = sum of
+    values <= v over the total. These are the curve's points at the end of
+    each run of ties, so no order among equal values is needed.
+    """
+    groups = groups or []
+    hist = value_histogram(df, value, groups).withColumn("vf", F.col(value) * F.col("f"))
+    hb = with_below(hist, value, ["f", "vf"], groups)
+    totals = hist.groupBy(*groups).agg(F.sum("f").alias("__n"), F.sum("vf").alias("__s"))
+    hb = _attach_totals(hb, totals, groups)
+    return hb.select(
+        *groups,
+        value,
+        F.col("f").alias("n_items"),
+        ((F.col("f_below") + F.col("f")) / F.col("__n")).cast("double").alias("rank"),
+        ((F.col("vf_below") + F.col("vf")) / F.col("__s")).cast("double").alias("cum_fraction"),
+    )
+
+
+def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
+    """AGG31: histogram of ln(value) in ``bins`` equal-width bins between the
+    smallest and largest log; the last bin is closed on the right. Values
+    <= 0 have no log and are left out. Only non-empty bins are returned."""
+    logs = df.where(F.col(value) > 0).select(F.ln(F.col(value).cast("double")).alias("x"))
+    lo = logs.agg(F.min("x")).scalar()
+    hi = logs.agg(F.max("x")).scalar()
+    width = (hi - lo) / F.lit(float(bins))
+    b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    counted = logs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("users"))
+    return counted.select(
+        "bin",
+        (lo + F.col("bin") * width).alias("bin_start"),
+        (lo + (F.col("bin") + 1) * width).alias("bin_end"),
+        "users",
+    )

@@ -290,7 +290,7 @@ def numeric_profile(df: DataFrame, columns: list[str], digits: int = 2) -> DataF
     rows = F.array(
         *[
             F.struct(
-                F.lit(c).alias("column"),
+                F.lit(c).alias("variable"),
                 *[F.bround(F.col(f"{c}__{k}"), digits).alias(k) for k in PROFILE_STATS],
             )
             for c in columns

@@ -314,3 +314,416 @@ def q_type_histogram(fx: Fixtures) -> DataFrame:
 def q_key_check(fx: Fixtures) -> DataFrame:
     """AGG24, C1."""
     return stats.key_check(fx.artist)
+
+
+# ---------------------------------------------------------------------------
+# Exclusion waterfall and row filters (PIPE1, AGG1, SET4, FLT2-6, AGG2, AGG25-26)
+# ---------------------------------------------------------------------------
+def _clean(fx: Fixtures) -> DataFrame:
+    return clean.clean_plays(fx.plays, fx.artist, LATE_CUT)
+
+
+@register(
+    "clean_plays",
+    with_fixtures(
+        "select user_id, timestamp, artist_id, release_id, rec_id from clean_plays", CLEAN_CTE
+    ),
+)
+def q_clean_plays(fx: Fixtures) -> DataFrame:
+    """PIPE1: distinct plays that pass every exclusion, artist as a scalar."""
+    return _clean(fx)
+
+
+@register(
+    "exclusion_audit",
+    with_fixtures(
+        f"""
+select 'initial' as step, cast(sum(copies) as bigint) as n_rows from r
+union all select 'duplicates', cast(sum(copies) - count(*) as bigint) from r
+union all select 'group', count(*) filter (where reason = 'group') from r
+union all select 'late', count(*) filter (where reason = 'late') from r
+union all select 'nonperson', count(*) filter (where reason = 'nonperson') from r
+union all select 'nullgender', count(*) filter (where reason = 'nullgender') from r
+union all select 'na', count(*) filter (where reason = 'na') from r
+union all select 'final', count(*) filter (where reason = 'keep') from r
+union all select 'artists', count(*) from artist
+union all select 'coded_artists', count(distinct artist_id) from (select unnest(artist_ids) as artist_id from plays) u""",
+        {
+            "d": "select segment, user_id, timestamp, artist_ids, release_id, rec_id, count(*) as copies "
+            "from plays group by all",
+            "r": f"select copies, {REASON_SQL} as reason from d",
+        },
+    ),
+)
+def q_exclusion_audit(fx: Fixtures) -> DataFrame:
+    """AGG1: row counts of every exclusion step (corrected duplicate count)."""
+    return clean.exclusion_audit(fx.plays, fx.artist, LATE_CUT)
+
+
+@register(
+    "distinct_plays",
+    with_fixtures("select distinct segment, user_id, timestamp, artist_ids, release_id, rec_id from plays"),
+)
+def q_distinct_plays(fx: Fixtures) -> DataFrame:
+    """SET4: full-row DISTINCT with the list column, scoped by segment."""
+    return clean.distinct_plays(fx.plays)
+
+
+@register("solo_plays", with_fixtures("select * from plays where len(artist_ids) = 1"))
+def q_solo_plays(fx: Fixtures) -> DataFrame:
+    """SNK7, FLT2: single-artist plays (what the incremental append keeps)."""
+    return clean.solo_plays(fx.plays)
+
+
+@register(
+    "plays_after",
+    with_fixtures(
+        "select user_id, timestamp, artist_id, release_id, rec_id from clean_plays "
+        f"where epoch_ms(timestamp * 1000) >= timestamp '{AFTER_DAY}'",
+        CLEAN_CTE,
+    ),
+)
+def q_plays_after(fx: Fixtures) -> DataFrame:
+    """FLT4: clean plays at or after a day."""
+    return clean.plays_after(_clean(fx), AFTER_DAY)
+
+
+@register(
+    "artists_without_gender",
+    with_fixtures("select * from artist where gender is null or gender = 'Not applicable'"),
+)
+def q_artists_without_gender(fx: Fixtures) -> DataFrame:
+    """FLT6."""
+    return clean.artists_without_gender(fx.artist)
+
+
+@register(
+    "user_artist_rollup",
+    with_fixtures(
+        "select user_id, artist_id, count(*) as count, min(timestamp) as first_time, "
+        "max(timestamp) as last_time from clean_plays group by user_id, artist_id",
+        CLEAN_CTE,
+    ),
+)
+def q_user_artist_rollup(fx: Fixtures) -> DataFrame:
+    """AGG2: the solo-artist rollup of clean plays."""
+    return rollups.user_artist_rollup(_clean(fx))
+
+
+@register(
+    "clean_gender_distribution",
+    with_fixtures(
+        """
+select a.gender as gender, count(p.user_id) as n_plays, count(distinct p.user_id) as n_users,
+       count(distinct p.artist_id) as unique_count
+from clean_plays p left join artist a using (artist_id) group by a.gender""",
+        CLEAN_CTE,
+    ),
+)
+def q_clean_gender_distribution(fx: Fixtures) -> DataFrame:
+    """AGG25."""
+    return stats.clean_gender_distribution(_clean(fx), fx.artist).orderBy(desc("n_plays"), asc("gender"))
+
+
+@register(
+    "clean_distinct_counts",
+    with_fixtures(
+        "select count(distinct rec_id) as n_tracks, count(distinct artist_id) as n_artists, "
+        "count(distinct release_id) as n_releases, count(distinct user_id) as n_users from clean_plays",
+        CLEAN_CTE,
+    ),
+)
+def q_clean_distinct_counts(fx: Fixtures) -> DataFrame:
+    """AGG26."""
+    return stats.clean_distinct_counts(_clean(fx))
+
+
+# ---------------------------------------------------------------------------
+# Overview numbers (AGG27-29)
+# ---------------------------------------------------------------------------
+PPU_CTE = {
+    "ppu": "select user_id, count(rec_id) as play_count, count(distinct rec_id) as unique_play_count "
+    "from plays group by user_id"
+}
+
+
+@register(
+    "density",
+    with_fixtures(
+        "select cast(sum(unique_play_count) as double) / cast(sum(play_count) as double) as density from ppu",
+        PPU_CTE,
+    ),
+)
+def q_density(fx: Fixtures) -> DataFrame:
+    """AGG27."""
+    return stats.density(stats.plays_per_user(fx.plays))
+
+
+@register(
+    "overview",
+    with_fixtures(
+        """
+select 'Tracks (rec_id)' as metric, format('{:,}', n_tracks) as value from dc
+union all select 'Artists', format('{:,}', n_artists) from dc
+union all select 'Releases', format('{:,}', n_releases) from dc
+union all select 'Users', format('{:,}', n_users) from dc
+union all select 'Density', format('{:,.6f}', round(cast(sum(unique_play_count) as double)
+                                   / cast(sum(play_count) as double), 6)) from ppu
+union all select 'Start Date', strftime(min(start_date), '%Y-%m-%d') from mp
+union all select 'End Date', strftime(max(start_date), '%Y-%m-%d') from mp""",
+        {
+            **PPU_CTE,
+            "dc": "select count(distinct rec_id) as n_tracks, count(distinct artist_id) as n_artists, "
+            "count(distinct release_id) as n_releases, count(distinct user_id) as n_users "
+            "from (select rec_id, unnest(artist_ids) as artist_id, release_id, user_id from plays) t",
+            "mp": "select year(epoch_ms(timestamp * 1000)) as year, month(epoch_ms(timestamp * 1000)) as month, "
+            "min(cast(epoch_ms(timestamp * 1000) as date)) as start_date from plays group by 1, 2",
+        },
+    ),
+)
+def q_overview(fx: Fixtures) -> DataFrame:
+    """AGG28: the headline table (counts, density, first and last month)."""
+    dens = stats.density(stats.plays_per_user(fx.plays)).select(F.round("density", 6).alias("density"))
+    return stats.overview(stats.distinct_counts(fx.plays), dens, stats.monthly_plays(fx.plays))
+
+
+def _profile_sql(col: str) -> str:
+    return (
+        f"select '{col}' as variable, round_even(cast(count({col}) as double), 2) as count, "
+        f"round_even(avg({col}), 2) as mean, round_even(stddev_samp({col}), 2) as std, "
+        f"round_even(cast(min({col}) as double), 2) as min, "
+        f"round_even(quantile_cont({col}, 0.25), 2) as p25, round_even(quantile_cont({col}, 0.5), 2) as p50, "
+        f"round_even(quantile_cont({col}, 0.75), 2) as p75, round_even(cast(max({col}) as double), 2) as max "
+        "from ppu"
+    )
+
+
+@register(
+    "play_count_profile",
+    with_fixtures(_profile_sql("play_count") + "\nunion all\n" + _profile_sql("unique_play_count"), PPU_CTE),
+)
+def q_play_count_profile(fx: Fixtures) -> DataFrame:
+    """AGG29: describe().round(2) of plays per user."""
+    return stats.numeric_profile(stats.plays_per_user(fx.plays), ["play_count", "unique_play_count"])
+
+
+# ---------------------------------------------------------------------------
+# Inequality, ranks, Lorenz, histograms (AGG30-31, WIN2-4) and top-k (TOP1-2)
+# ---------------------------------------------------------------------------
+RP_CTE = {
+    "rp": "select release_id, count(user_id) as n_plays, count(distinct user_id) as n_users "
+    "from plays group by release_id"
+}
+AUS_CTE = {"aus": _artist_users_sql(SOLO_EXPLODED)}
+
+
+def _gini_sql(src: str, value: str, group: str | None = None) -> str:
+    part = f"partition by {group} " if group else ""
+    g_sel = f"{group}, " if group else ""
+    return f"""
+select {g_sel}n as n_items,
+       cast(sum((2 * i - n - 1) * x) as double) / (cast(n as double) * cast(s as double)) as gini
+from (select {g_sel}{value} as x, row_number() over ({part}order by {value}) as i,
+             count(*) over ({part.strip()}) as n, sum({value}) over ({part.strip()}) as s
+      from {src} where {value} is not null) t
+group by {g_sel}n, s"""
+
+
+@register("gini_release_users", with_fixtures(_gini_sql("rp", "n_users"), RP_CTE))
+def q_gini_release_users(fx: Fixtures) -> DataFrame:
+    """AGG30: Gini of distinct users per release."""
+    return inequality.gini(stats.release_popularity(fx.plays), "n_users")
+
+
+@register("gini_release_plays", with_fixtures(_gini_sql("rp", "n_plays"), RP_CTE))
+def q_gini_release_plays(fx: Fixtures) -> DataFrame:
+    """AGG30: Gini of plays per release."""
+    return inequality.gini(stats.release_popularity(fx.plays), "n_plays")
+
+
+@register("gini_by_gender", with_fixtures(_gini_sql("aus", "unique_users", "gender"), AUS_CTE))
+def q_gini_by_gender(fx: Fixtures) -> DataFrame:
+    """AGG30 by group: Gini of distinct users per solo artist, per gender."""
+    return inequality.gini(stats.artist_users(fx.plays, fx.artist, solo_only=True), "unique_users", ["gender"])
+
+
+@register(
+    "log_play_histogram",
+    with_fixtures(
+        """
+select bin, lo + bin * w as bin_start, lo + (bin + 1) * w as bin_end, users
+from (select cast(case when w > 0 then least(floor((x - lo) / w), 99) else 0 end as integer) as bin,
+             count(*) as users
+      from l, b group by 1) t, b""",
+        {
+            **PPU_CTE,
+            "l": "select ln(cast(play_count as double)) as x from ppu where play_count > 0",
+            "b": "select min(x) as lo, (max(x) - min(x)) / cast(100 as double) as w from l",
+        },
+    ),
+)
+def q_log_play_histogram(fx: Fixtures) -> DataFrame:
+    """AGG31: 100-bin histogram of log plays per user."""
+    return inequality.log_histogram(stats.plays_per_user(fx.plays), "play_count", 100)
+
+
+def _rank_sql(src: str, cols: str, ranks: dict[str, str], where: str = "") -> str:
+    r = ", ".join(f"cume_dist() over (order by {v} desc) as {name}" for name, v in ranks.items())
+    return f"select {cols}, {r} from {src} {where}"
+
+
+def _ranked(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+    for name, v in ranks.items():
+        df = inequality.fractional_rank(df, v, name, descending=True)
+    return df
+
+
+@register(
+    "artist_rank",
+    with_fixtures(
+        _rank_sql("ap", "artist_id, n_plays, n_users", {"rank_inplay": "n_plays", "rank_inuser": "n_users"}),
+        {"ap": f"select artist_id, count(user_id) as n_plays, count(distinct user_id) as n_users "
+               f"from {EXPLODED} p group by artist_id"},
+    ),
+)
+def q_artist_rank(fx: Fixtures) -> DataFrame:
+    """WIN2: fractional popularity ranks of artists (descending, ties max)."""
+    return _ranked(stats.artist_popularity(fx.plays), {"rank_inplay": "n_plays", "rank_inuser": "n_users"})
+
+
+@register(
+    "release_rank",
+    with_fixtures(
+        _rank_sql("rp", "release_id, n_plays, n_users", {"rank_inuser": "n_users", "rank_inplay": "n_plays"}),
+        RP_CTE,
+    ),
+)
+def q_release_rank(fx: Fixtures) -> DataFrame:
+    """WIN2 for releases."""
+    return _ranked(stats.release_popularity(fx.plays), {"rank_inuser": "n_users", "rank_inplay": "n_plays"})
+
+
+GD_CTE = {
+    "gd": f"""select g.genre_name, count(p.user_id) as n_plays, count(distinct p.user_id) as n_users
+from (select rec_id, user_id from plays) p left join {GENRES} g using (rec_id) group by g.genre_name"""
+}
+
+
+@register(
+    "genre_rank",
+    with_fixtures(
+        _rank_sql("gd", "genre_name, n_plays, n_users", {"rank_inuser": "n_users", "rank_inplay": "n_plays"},
+                  "where genre_name is not null"),
+        GD_CTE,
+    ),
+)
+def q_genre_rank(fx: Fixtures) -> DataFrame:
+    """WIN2 for genres, the unknown-genre group dropped (FLT12)."""
+    gd = stats.genre_distribution(fx.plays, fx.recording).dropna(subset=["genre_name"])
+    return _ranked(gd, {"rank_inuser": "n_users", "rank_inplay": "n_plays"})
+
+
+@register(
+    "track_rank",
+    with_fixtures(
+        _rank_sql("tp", "rec_id, n_plays", {"rank": "n_plays"}),
+        {"tp": "select rec_id, count(user_id) as n_plays from plays group by rec_id"},
+    ),
+)
+def q_track_rank(fx: Fixtures) -> DataFrame:
+    """WIN2 for tracks."""
+    return _ranked(stats.track_popularity(fx.plays), {"rank": "n_plays"})
+
+
+@register(
+    "gender_rank",
+    with_fixtures(
+        "select artist_id, gender, unique_users, "
+        "cume_dist() over (partition by gender order by unique_users) as rank_artist from aus",
+        AUS_CTE,
+    ),
+)
+def q_gender_rank(fx: Fixtures) -> DataFrame:
+    """WIN3: ascending fractional rank of solo artists within their gender."""
+    return inequality.fractional_rank(
+        stats.artist_users(fx.plays, fx.artist, solo_only=True), "unique_users", "rank_artist",
+        descending=False, groups=["gender"],
+    )
+
+
+@register(
+    "lorenz_by_gender",
+    with_fixtures(
+        """
+select gender, unique_users, count(*) as n_items, max(r) as rank, max(cf) as cum_fraction
+from (select gender, unique_users,
+             cume_dist() over (partition by gender order by unique_users) as r,
+             cast(sum(unique_users) over (partition by gender order by unique_users
+                  range between unbounded preceding and current row) as double)
+               / cast(sum(unique_users) over (partition by gender) as double) as cf
+      from aus) t
+group by gender, unique_users""",
+        AUS_CTE,
+    ),
+)
+def q_lorenz_by_gender(fx: Fixtures) -> DataFrame:
+    """WIN4: Lorenz curve points of distinct users per solo artist, by gender."""
+    return inequality.lorenz_points(
+        stats.artist_users(fx.plays, fx.artist, solo_only=True), "unique_users", ["gender"]
+    )
+
+
+@register(
+    "latest_plays",
+    with_fixtures(
+        "select * from plays order by timestamp desc, user_id, rec_id, release_id, segment, "
+        "artist_ids asc nulls first limit 20"
+    ),
+)
+def q_latest_plays(fx: Fixtures) -> DataFrame:
+    """TOP1: the 20 latest plays."""
+    return fx.plays.orderBy(
+        desc("timestamp"), "user_id", "rec_id", "release_id", "segment", F.asc_nulls_first("artist_ids")
+    ).limit(20)
+
+
+@register(
+    "top_genres_users",
+    with_fixtures(
+        "select genre_name, n_users from gd where genre_name is not null "
+        "order by n_users desc, genre_name limit 5",
+        GD_CTE,
+    ),
+)
+def q_top_genres_users(fx: Fixtures) -> DataFrame:
+    """TOP2: five genres with the most users."""
+    gd = stats.genre_distribution(fx.plays, fx.recording).dropna(subset=["genre_name"])
+    return gd.orderBy(desc("n_users"), "genre_name").limit(5).select("genre_name", "n_users")
+
+
+@register(
+    "top_genres_plays",
+    with_fixtures(
+        "select genre_name, n_plays from gd where genre_name is not null "
+        "order by n_plays desc, genre_name limit 5",
+        GD_CTE,
+    ),
+)
+def q_top_genres_plays(fx: Fixtures) -> DataFrame:
+    """TOP2: five most played genres."""
+    gd = stats.genre_distribution(fx.plays, fx.recording).dropna(subset=["genre_name"])
+    return gd.orderBy(desc("n_plays"), "genre_name").limit(5).select("genre_name", "n_plays")
+
+
+@register(
+    "props_extract",
+    with_fixtures(
+        "select event_id, event_type, try_cast(json_extract_string(props, '$.k') as bigint) as k from events"
+    ),
+)
+def q_props_extract(fx: Fixtures) -> DataFrame:
+    """JSN1 on a scalar path: ``$.k`` of each event's JSON properties."""
+    from playstats.functions import json_scalar
+
+    ev = fx.table("events")
+    return ev.select("event_id", "event_type", json_scalar("props", "$.k").try_cast("bigint").alias("k"))
