@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from playstats.operators.joins import broadcast_if_small
 
 DEC = "decimal(38,0)"
 
@@ -48,14 +47,14 @@ def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str
         "*", *[F.coalesce(F.sum(w).over(wi), F.lit(0)).alias(f"__i_{w}") for w in weights]
     )
     # groups can be NULL (e.g. unknown gender), so they are matched with <=>
-    # at most ~65 rows per group: broadcast once the group count is checked
+    # at most ~65 rows per group; sized at runtime by adaptive execution
     offsets = offsets.withColumnRenamed("__b", "__ob")
     for g in groups:
         offsets = offsets.withColumnRenamed(g, f"__og_{g}")
     cond = inner["__b"] == offsets["__ob"]
     for g in groups:
         cond = cond & inner[g].eqNullSafe(offsets[f"__og_{g}"])
-    joined = inner.join(broadcast_if_small(offsets), cond)
+    joined = inner.join(offsets, cond)
     return joined.select(
         *[c for c in hist.columns],
         *[(F.col(f"__o_{w}") + F.col(f"__i_{w}")).alias(f"{w}_below") for w in weights],
@@ -66,7 +65,8 @@ def _attach_totals(left: DataFrame, totals: DataFrame, groups: list[str]) -> Dat
     """Add per-group totals: a NULL-safe join on the groups, or scalar
     subqueries when there is a single global group."""
     if not groups:
-        return left.select("*", *[totals.select(c).scalar().alias(c) for c in totals.columns])
+        one = totals.select(F.struct(*totals.columns).alias("t")).scalar()
+        return left.select("*", *[one[c].alias(c) for c in totals.columns])
     r = totals
     for g in groups:
         r = r.withColumnRenamed(g, f"__g_{g}")
@@ -74,7 +74,8 @@ def _attach_totals(left: DataFrame, totals: DataFrame, groups: list[str]) -> Dat
     for g in groups:
         c = left[g].eqNullSafe(r[f"__g_{g}"])
         cond = c if cond is None else cond & c
-    return left.join(broadcast_if_small(r), cond).drop(*[f"__g_{g}" for g in groups])
+    # one row per group; sized at runtime by adaptive execution
+    return left.join(r, cond).drop(*[f"__g_{g}" for g in groups])
 
 
 def gini(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
@@ -126,7 +127,8 @@ def fractional_rank(df: DataFrame, value: str, out: str, descending: bool = True
     for g in groups:
         ranks = ranks.withColumnRenamed(g, f"__g_{g}")
         cond = cond & df[g].eqNullSafe(ranks[f"__g_{g}"])
-    joined = df.join(broadcast_if_small(ranks), cond, "left")
+    # one row per distinct value; sized at runtime by adaptive execution
+    joined = df.join(ranks, cond, "left")
     return joined.drop("__v", *[f"__g_{g}" for g in groups])
 
 
@@ -156,8 +158,8 @@ def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     smallest and largest log; the last bin is closed on the right. Values
     <= 0 have no log and are left out. Only non-empty bins are returned."""
     logs = df.where(F.col(value) > 0).select(F.ln(F.col(value).cast("double")).alias("x"))
-    lo = logs.agg(F.min("x")).scalar()
-    hi = logs.agg(F.max("x")).scalar()
+    bounds = logs.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counted = logs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("users"))

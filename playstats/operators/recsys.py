@@ -1 +1,261 @@
-"""Placeholder, filled below."""
+"""Sliding-window evaluation of a popularity recommender (REC1-7).
+
+The reference loops over calendar windows in Python and trains a model per
+window in a process pool. Here every window is a value of a key column
+``k``: each action is assigned to the (at most size/step) windows that
+contain it, and training, splitting, ranking and scoring are grouped by
+``k``, so all windows run in the same few shuffles.
+
+Defaults of the evaluation toolkit the reference calls (public
+documentation, not visible in its tree): items a user has in training are
+not recommended; NDCG weights rank r by 1 / max(1, log2 r) and its ideal
+list holds all of the user's test items; RBP uses patience 0.85 without
+normalisation; reciprocal rank is 0 when nothing is hit; per-window means
+include users without hits. Ties in popularity are broken by item id.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from playstats.functions import shift_days, shift_months
+from playstats.operators.inequality import with_below
+from playstats.session import cut_lineage
+from playstats.schemas import (
+    EVAL_LIST_LENGTH,
+    EVAL_MIN_TEST_ROWS,
+    EVAL_MIN_USER_ACTIONS,
+    EVAL_MIN_WINDOW_ROWS,
+    EVAL_STEP_MONTHS,
+    EVAL_WINDOW_MONTHS,
+    RBP_PATIENCE,
+    epoch_seconds,
+)
+
+
+def _ts(day: str) -> Column:
+    return F.lit(day).cast("date").cast("timestamp")
+
+
+def prepare_actions(
+    actions: DataFrame,
+    data_from: str,
+    data_to: str,
+    min_actions: int = EVAL_MIN_USER_ACTIONS,
+) -> DataFrame:
+    """(user, item, first_time) -> (user_id, item_id, ts, rating).
+
+    FLT9: a date string bound covers its whole day. JN13: users with at
+    least ``min_actions`` actions after the date cut (one pass, not a core).
+    The date cut is on the raw epoch column so it reaches the scan.
+    """
+    lo, hi = epoch_seconds(data_from), epoch_seconds(data_to) + 86400
+    a = actions.where((F.col("first_time") >= lo) & (F.col("first_time") < hi)).select(
+        F.col("user").alias("user_id"),
+        F.col("item").alias("item_id"),
+        F.timestamp_seconds("first_time").alias("ts"),
+    )
+    active = (
+        a.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_actions).select("user_id")
+    )
+    # size of ``active`` is only known at runtime: adaptive execution picks
+    # broadcast or a skew-split shuffle join from the measured size
+    return a.join(active, "user_id", "left_semi").withColumn("rating", F.lit(1))
+
+
+def eval_windows(
+    prepared: DataFrame,
+    start: str,
+    step: int = EVAL_STEP_MONTHS,
+    size: int = EVAL_WINDOW_MONTHS,
+) -> DataFrame:
+    """REC1: windows (k, window_start, window_end) with end <= the last action.
+
+    Derived from one aggregate (the latest action), so the table has one
+    row per window: its size is the data's time span over the step.
+    """
+    s = _ts(start)
+    mx = prepared.agg(F.max("ts").alias("max_ts"))
+    top = F.floor(F.months_between(F.col("max_ts"), s) / step).cast("int")
+    ks = F.when(top >= 0, F.sequence(F.lit(0), top)).otherwise(F.array().cast("array<int>"))
+    w = mx.select("max_ts", F.explode(ks).alias("k"))
+    w = w.select(
+        "k",
+        (s + F.make_ym_interval(F.lit(0), F.col("k") * step)).alias("window_start"),
+        (s + F.make_ym_interval(F.lit(0), F.col("k") * step + size)).alias("window_end"),
+        "max_ts",
+    )
+    return w.where(F.col("window_end") <= F.col("max_ts")).drop("max_ts")
+
+
+def assign_windows(
+    prepared: DataFrame,
+    windows: DataFrame,
+    start: str,
+    step: int = EVAL_STEP_MONTHS,
+    size: int = EVAL_WINDOW_MONTHS,
+) -> DataFrame:
+    """Each action once per window containing it: ``start <= ts <= end - 1 day``
+    with the upper bound at midnight (later actions on that day fall out).
+
+    Candidate windows come from the action's month offset (an equi-join on
+    ``k`` against the small window table), then the exact bounds are applied.
+    """
+    d0 = datetime.strptime(start, "%Y-%m-%d")
+    m = (F.year("ts") - d0.year) * 12 + (F.month("ts") - d0.month)
+    lo = F.greatest(F.lit(0), F.ceil((m - size) / F.lit(float(step))).cast("int"))
+    hi = F.floor(m / F.lit(float(step))).cast("int")
+    cand = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    x = prepared.withColumn("k", F.explode(cand))
+    # one row per window (time span / step): structurally small
+    x = x.join(F.broadcast(windows), "k")
+    return x.where(
+        (F.col("ts") >= F.col("window_start")) & (F.col("ts") <= shift_days(F.col("window_end"), -1))
+    )
+
+
+def split_windows(
+    in_windows: DataFrame,
+    step: int = EVAL_STEP_MONTHS,
+    min_rows: int = EVAL_MIN_WINDOW_ROWS,
+    min_test: int = EVAL_MIN_TEST_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """REC2, FLT11, JN12: temporal train/test split per window.
+
+    ``test_start`` = last action - ``step`` months; train is up to
+    ``test_start - 1 day`` (inclusive), test from ``test_start``; actions in
+    the day between belong to neither. Test keeps users seen in training.
+    Windows with fewer than ``min_rows`` actions or ``min_test`` test rows
+    are left out. Returns (train, test, sizes).
+    """
+    stats = (
+        in_windows.groupBy("k", "window_start", "window_end")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("max_ts"))
+        .where(F.col("n") >= min_rows)
+        .select("k", shift_months(F.col("max_ts"), -step).alias("test_start"))
+    )
+    wd = in_windows.join(F.broadcast(stats), "k")  # one row per window
+    train = wd.where(F.col("ts") <= shift_days(F.col("test_start"), -1))
+    test0 = wd.where(F.col("ts") >= F.col("test_start"))
+    test = test0.join(train.select("k", "user_id").distinct(), ["k", "user_id"], "left_semi")
+    test_sizes = test.groupBy("k").agg(F.count(F.lit(1)).alias("test_size")).where(F.col("test_size") >= min_test)
+    train_sizes = train.groupBy("k", "window_start", "window_end").agg(F.count(F.lit(1)).alias("train_size"))
+    sizes = train_sizes.join(test_sizes, "k")
+    kept = F.broadcast(sizes.select("k"))  # one row per window
+    cols = ["k", "window_start", "window_end", "user_id", "item_id", "ts"]
+    return (
+        train.join(kept, "k", "left_semi").select(*cols),
+        test.join(kept, "k", "left_semi").select(*cols),
+        sizes,
+    )
+
+
+def popularity_ranks(train: DataFrame) -> DataFrame:
+    """REC3 model: (k, item_id, cnt, pop_rank) — rank 1 is the item with the
+    most training actions in window k, ties by item id.
+
+    rank = items with a higher count + position among items with the same
+    count. The first part comes from the histogram of counts, the second
+    from a window over (k, count) groups, never over a whole window.
+    """
+    pop = train.groupBy("k", "item_id").agg(F.count(F.lit(1)).alias("cnt"))
+    hist = pop.groupBy("k", "cnt").agg(F.count(F.lit(1)).alias("f"))
+    hb = with_below(hist, "cnt", ["f"], ["k"])
+    tot = hist.groupBy("k").agg(F.sum("f").alias("n_items"))
+    greater = hb.join(F.broadcast(tot), "k").select(  # one row per window
+        "k", "cnt", (F.col("n_items") - F.col("f_below") - F.col("f")).alias("greater")
+    )
+    tie = Window.partitionBy("k", "cnt").orderBy("item_id")
+    return (
+        pop.join(greater, ["k", "cnt"])
+        .select("k", "item_id", "cnt", (F.col("greater") + F.row_number().over(tie)).alias("pop_rank"))
+    )
+
+
+def recommend_top_n(train: DataFrame, test: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
+    """REC3: top-``n`` unseen popular items for every test user of a window.
+
+    A user who has seen s items needs at most the first n + s items of the
+    popularity order; those ranks are generated per user and equi-joined on
+    (k, pop_rank), seen items are anti-joined away and the first n kept.
+    Work per user is bounded by n + s; no users x items product is formed.
+    """
+    ranks = popularity_ranks(train)
+    seen = train.select("k", "user_id", "item_id")
+    n_seen = seen.groupBy("k", "user_id").agg(F.count(F.lit(1)).alias("s"))
+    users = test.select("k", "user_id").distinct().join(n_seen, ["k", "user_id"])
+    wanted = users.select("k", "user_id", F.explode(F.sequence(F.lit(1), F.lit(n) + F.col("s"))).alias("pop_rank"))
+    cand = wanted.join(ranks, ["k", "pop_rank"]).join(seen, ["k", "user_id", "item_id"], "left_anti")
+    per_user = Window.partitionBy("k", "user_id").orderBy("pop_rank")
+    return (
+        cand.withColumn("rank", F.row_number().over(per_user))
+        .where(F.col("rank") <= n)
+        .select("k", "user_id", "item_id", "rank")
+    )
+
+
+def _inv_log_discount(r: Column) -> Column:
+    return F.lit(1.0) / F.greatest(F.lit(1.0), F.log2(r.cast("double")))
+
+
+def user_metrics(recs: DataFrame, test: DataFrame, patience: float = RBP_PATIENCE) -> DataFrame:
+    """REC4-6 per (k, user): NDCG, RBP and reciprocal rank."""
+    truth = test.select("k", "user_id", "item_id")
+    hits = recs.join(truth, ["k", "user_id", "item_id"])
+    hagg = hits.groupBy("k", "user_id").agg(
+        F.sum(_inv_log_discount(F.col("rank"))).alias("dcg"),
+        F.sum(F.pow(F.lit(patience), F.col("rank") - 1)).alias("rbp_sum"),
+        F.max(F.lit(1.0) / F.col("rank")).alias("rr"),
+    )
+    ideal = truth.groupBy("k", "user_id").agg(F.count(F.lit(1)).alias("n_test")).select(
+        "k",
+        "user_id",
+        F.aggregate(
+            F.sequence(F.lit(1), F.col("n_test")), F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r)
+        ).alias("idcg"),
+    )
+    return ideal.join(hagg, ["k", "user_id"], "left").select(
+        "k",
+        "user_id",
+        (F.coalesce("dcg", F.lit(0.0)) / F.col("idcg")).alias("ndcg"),
+        ((F.lit(1.0) - F.lit(patience)) * F.coalesce("rbp_sum", F.lit(0.0))).alias("rbp"),
+        F.coalesce("rr", F.lit(0.0)).alias("reciprank"),
+    )
+
+
+def evaluate(
+    actions: DataFrame,
+    start: str,
+    data_from: str,
+    data_to: str,
+    n: int = EVAL_LIST_LENGTH,
+    step: int = EVAL_STEP_MONTHS,
+    size: int = EVAL_WINDOW_MONTHS,
+) -> dict[str, DataFrame]:
+    """PIPE7: every stage of the evaluation as lazy DataFrames."""
+    # Stage outputs that later stages read several times are checkpointed to
+    # the shared checkpoint folder: each is computed once, a lost executor
+    # re-reads it instead of recomputing from the raw actions, and the plans
+    # of later stages stay small.
+    prepared = cut_lineage(prepare_actions(actions, data_from, data_to))
+    windows = cut_lineage(eval_windows(prepared, start, step, size))
+    in_windows = assign_windows(prepared, windows, start, step, size)
+    train, test, sizes = (cut_lineage(x) for x in split_windows(in_windows, step))
+    recs = cut_lineage(recommend_top_n(train, test, n))
+    per_user = user_metrics(recs, test)
+    metrics = (
+        per_user.groupBy("k")
+        .agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
+        .join(sizes, "k")
+    )
+    return {
+        "windows": windows,
+        "train": train,
+        "test": test,
+        "sizes": sizes,
+        "recs": recs,
+        "per_user": per_user,
+        "metrics": metrics,
+    }

@@ -37,7 +37,10 @@ def attribute_distribution(artist_user: DataFrame, artists: DataFrame, attr: str
     the dimension (broadcast when its size allows), then grouped; artists
     missing from the dimension fall in the NULL group.
     """
-    pairs = key_user_pairs(artist_user, "artist_id")
+    return _distribution_of_pairs(key_user_pairs(artist_user, "artist_id"), artists, attr)
+
+
+def _distribution_of_pairs(pairs: DataFrame, artists: DataFrame, attr: str) -> DataFrame:
     dim = broadcast_if_small(artists.select("artist_id", attr))
     joined = pairs.join(dim, "artist_id", "left")
     return joined.groupBy(attr).agg(
@@ -64,9 +67,11 @@ def active_users(plays: DataFrame, min_plays: int = 5) -> DataFrame:
 
 def gender_distribution_active(plays: DataFrame, artists: DataFrame, min_plays: int = 5) -> DataFrame:
     """AGG7: AGG6 restricted to users with ``min_plays`` or more rows."""
-    active = broadcast_if_small(active_users(plays, min_plays))
-    kept = plays.select("user_id", "artist_ids").join(active, "user_id", "left_semi")
-    return gender_distribution(kept, artists)
+    pairs = key_user_pairs(explode_artists(plays, "user_id"), "artist_id")
+    # the active set is data-sized: no broadcast hint, adaptive execution
+    # chooses from the measured size; the semi join runs on pairs, not plays
+    kept = pairs.join(active_users(plays, min_plays), "user_id", "left_semi")
+    return _distribution_of_pairs(kept, artists, "gender")
 
 
 def type_distribution(plays: DataFrame, artists: DataFrame) -> DataFrame:

@@ -727,3 +727,204 @@ def q_props_extract(fx: Fixtures) -> DataFrame:
 
     ev = fx.table("events")
     return ev.select("event_id", "event_type", json_scalar("props", "$.k").try_cast("bigint").alias("k"))
+
+
+# ---------------------------------------------------------------------------
+# Id dictionary and play encoding (SET1-3, WIN1, JN1-5, FLT5)
+# ---------------------------------------------------------------------------
+IDS_CTE = {
+    "ents": """
+select distinct entity_type, entity_uuid from (
+  select 'user_id' as entity_type, lower(trim(user_id)) as entity_uuid from plays_uuid
+  union all select 'release_id', lower(trim(release_id)) from plays_uuid
+  union all select 'rec_id', lower(trim(rec_id)) from plays_uuid
+  union all select 'artist_ids', lower(trim(a)) from (select unnest(artist_ids) as a from plays_uuid) x
+) t where entity_uuid is not null and entity_uuid <> ''""",
+    "ids": """
+select entity_type, entity_uuid,
+  cast(case entity_type when 'user_id' then 100000000 when 'artist_ids' then 200000000
+                        when 'release_id' then 300000000 else 400000000 end
+       + row_number() over (partition by entity_type order by entity_uuid) - 1 as integer) as id_num
+from ents""",
+}
+
+
+def _ids(fx: Fixtures) -> DataFrame:
+    return encode.build_id_dictionary(fx.plays_uuid)
+
+
+@register("entity_ids", with_fixtures("select * from ids", IDS_CTE))
+def q_entity_ids(fx: Fixtures) -> DataFrame:
+    """SET1-3, WIN1: the id dictionary with dense codes in UUID order."""
+    return _ids(fx)
+
+
+@register(
+    "encoded_plays",
+    with_fixtures(
+        """
+select p.segment, u.id_num as user_id, p.timestamp, coalesce(enc.coded, []::integer[]) as artist_ids,
+       r.id_num as release_id, c.id_num as rec_id
+from plays_uuid p
+left join ids u on u.entity_type = 'user_id' and u.entity_uuid = lower(trim(p.user_id))
+left join ids r on r.entity_type = 'release_id' and r.entity_uuid = lower(trim(p.release_id))
+left join ids c on c.entity_type = 'rec_id' and c.entity_uuid = lower(trim(p.rec_id))
+left join enc on enc.artist_ids = p.artist_ids""",
+        {
+            **IDS_CTE,
+            "lists": "select distinct artist_ids from plays_uuid where artist_ids is not null",
+            "elems": "select artist_ids, unnest(artist_ids) as uuid, "
+            "unnest(generate_series(1, len(artist_ids))) as pos from lists",
+            "enc": "select e.artist_ids, list(m.id_num order by e.pos) as coded from elems e "
+            "left join ids m on m.entity_type = 'artist_ids' and m.entity_uuid = lower(trim(e.uuid)) "
+            "group by e.artist_ids",
+        },
+    ),
+)
+def q_encoded_plays(fx: Fixtures) -> DataFrame:
+    """JN1-4: plays with integer codes; list order and misses kept."""
+    return encode.encode_plays(fx.plays_uuid, _ids(fx))
+
+
+@register(
+    "coded_artists",
+    with_fixtures(
+        "select i.id_num as artist_id, a.gender, a.type from ids i "
+        "left join artist_uuid a on i.entity_uuid = lower(a.artist_id) where i.entity_type = 'artist_ids'",
+        IDS_CTE,
+    ),
+)
+def q_coded_artists(fx: Fixtures) -> DataFrame:
+    """JN5: every coded artist with its gender and type (NULL if unknown)."""
+    return encode.coded_artists(_ids(fx), fx.artist_uuid)
+
+
+def _lookup_uuid() -> str:
+    import hashlib
+
+    h = hashlib.md5(f"a{LOOKUP_ARTIST_KEY}".encode()).hexdigest()
+    return f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
+
+
+@register("id_lookup", with_fixtures(f"select * from ids where entity_uuid = '{_lookup_uuid()}'", IDS_CTE))
+def q_id_lookup(fx: Fixtures) -> DataFrame:
+    """FLT5: dictionary entry of one UUID."""
+    return encode.id_lookup(_ids(fx), _lookup_uuid())
+
+
+# ---------------------------------------------------------------------------
+# Recommender evaluation (REC1-7, FLT9-11, JN12-13, AGG32-33)
+# ---------------------------------------------------------------------------
+EVAL_N = 100
+_EVAL_LO = epoch_seconds(EVAL_DATA_FROM)
+_EVAL_HI = epoch_seconds(EVAL_DATA_TO) + 86400
+EVAL_CTES = {
+    "a1": f"""select "user" as user_id, item as item_id, epoch_ms(first_time * 1000) as ts from actions
+where first_time >= {_EVAL_LO} and first_time < {_EVAL_HI}""",
+    "a2": "select * from a1 where user_id in (select user_id from a1 group by user_id having count(*) >= 5)",
+    "mx": "select max(ts) as max_ts from a2",
+    "win": f"""select window_start, window_end from (
+  select timestamp '{EVAL_START}' + to_months(cast(2 * k as integer)) as window_start,
+         timestamp '{EVAL_START}' + to_months(cast(2 * k + 24 as integer)) as window_end, max_ts
+  from (select unnest(generate_series(0, cast(floor(datediff('month', timestamp '{EVAL_START}', max_ts) / 2)
+                                             as bigint))) as k, max_ts from mx) g) w
+where window_end <= max_ts""",
+    "wd": """select w.window_start, w.window_end, a.user_id, a.item_id, a.ts
+from win w join a2 a on a.ts >= w.window_start and a.ts <= w.window_end - interval 1 day""",
+    "ws": """select window_start, max(ts) - interval 2 month as test_start from wd
+group by window_start having count(*) >= 10""",
+    "train0": "select wd.* from wd join ws using (window_start) where wd.ts <= ws.test_start - interval 1 day",
+    "test0": """select wd.* from wd join ws using (window_start) where wd.ts >= ws.test_start
+and exists (select 1 from train0 r where r.window_start = wd.window_start and r.user_id = wd.user_id)""",
+    "ts_": "select window_start, count(*) as test_size from test0 group by window_start having count(*) >= 2",
+    "train": "select * from train0 where window_start in (select window_start from ts_)",
+    "test": "select * from test0 where window_start in (select window_start from ts_)",
+    "sizes": """select t.window_start, min(t.window_end) as window_end, count(*) as train_size,
+  min(s.test_size) as test_size from train t join ts_ s using (window_start) group by t.window_start""",
+    "pop": """select window_start, item_id, row_number() over (partition by window_start
+  order by count(*) desc, item_id) as pop_rank from train group by window_start, item_id""",
+    "cand": """select u.window_start, u.user_id, p.item_id, p.pop_rank
+from (select distinct window_start, user_id from test) u join pop p using (window_start)
+where not exists (select 1 from train r where r.window_start = u.window_start
+                  and r.user_id = u.user_id and r.item_id = p.item_id)""",
+    "recs": f"""select window_start, user_id, item_id,
+  row_number() over (partition by window_start, user_id order by pop_rank) as rank
+from cand qualify rank <= {EVAL_N}""",
+    "hits": """select r.window_start, r.user_id, r.rank from recs r join test t
+  on t.window_start = r.window_start and t.user_id = r.user_id and t.item_id = r.item_id""",
+    "hagg": """select window_start, user_id,
+  sum(cast(1 as double) / greatest(cast(1 as double), log2(rank))) as dcg,
+  sum(pow(cast(0.85 as double), rank - 1)) as rbp_sum, max(cast(1 as double) / rank) as rr
+from hits group by window_start, user_id""",
+    "ideal": """select window_start, user_id, sum(cast(1 as double) / greatest(cast(1 as double), log2(g))) as idcg
+from (select window_start, user_id, unnest(generate_series(1, n_test)) as g
+      from (select window_start, user_id, count(*) as n_test from test group by all) c) x
+group by window_start, user_id""",
+    "pu": """select i.window_start, coalesce(h.dcg, 0) / i.idcg as ndcg,
+  (cast(1 as double) - cast(0.85 as double)) * coalesce(h.rbp_sum, 0) as rbp, coalesce(h.rr, 0) as reciprank
+from ideal i left join hagg h using (window_start, user_id)""",
+}
+
+
+def _evaluation(fx: Fixtures) -> dict[str, DataFrame]:
+    return recsys.evaluate(fx.actions, EVAL_START, EVAL_DATA_FROM, EVAL_DATA_TO, n=EVAL_N)
+
+
+def _day(c: str):
+    return F.col(c).cast("date").alias(c)
+
+
+@register(
+    "eval_windows",
+    with_fixtures("select cast(window_start as date) as window_start, cast(window_end as date) as window_end "
+                  "from win", EVAL_CTES),
+)
+def q_eval_windows(fx: Fixtures) -> DataFrame:
+    """REC1: 24-month windows every 2 months, ending before the last action."""
+    prepared = recsys.prepare_actions(fx.actions, EVAL_DATA_FROM, EVAL_DATA_TO)
+    return recsys.eval_windows(prepared, EVAL_START).select(_day("window_start"), _day("window_end"))
+
+
+@register(
+    "window_split_sizes",
+    with_fixtures("select cast(window_start as date) as window_start, cast(window_end as date) as window_end, "
+                  "train_size, test_size from sizes", EVAL_CTES),
+)
+def q_window_split_sizes(fx: Fixtures) -> DataFrame:
+    """REC2, FLT9-11, JN12-13, AGG32: train and test rows of every kept window."""
+    sizes = _evaluation(fx)["sizes"]
+    return sizes.select(_day("window_start"), _day("window_end"), "train_size", "test_size").orderBy("window_start")
+
+
+@register(
+    "top_n",
+    with_fixtures("select cast(window_start as date) as window_start, user_id, item_id, rank from recs",
+                  EVAL_CTES),
+)
+def q_top_n(fx: Fixtures) -> DataFrame:
+    """REC3: top-100 unseen popular items for each test user of each window."""
+    ev = _evaluation(fx)
+    starts = ev["windows"].select("k", _day("window_start"))
+    return ev["recs"].join(F.broadcast(starts), "k").select("window_start", "user_id", "item_id", "rank")
+
+
+@register(
+    "eval_metrics",
+    with_fixtures(
+        """
+select cast(s.window_start as date) as window_start, cast(s.window_end as date) as window_end,
+       round(avg(pu.ndcg), 9) as ndcg, round(avg(pu.rbp), 9) as rbp, round(avg(pu.reciprank), 9) as reciprank,
+       s.train_size, s.test_size
+from pu join sizes s using (window_start)
+group by s.window_start, s.window_end, s.train_size, s.test_size""",
+        EVAL_CTES,
+    ),
+)
+def q_eval_metrics(fx: Fixtures) -> DataFrame:
+    """REC4-7, AGG33: mean NDCG, RBP and reciprocal rank per window, with sizes."""
+    m = _evaluation(fx)["metrics"]
+    return m.select(
+        _day("window_start"), _day("window_end"),
+        F.round("ndcg", 9).alias("ndcg"), F.round("rbp", 9).alias("rbp"), F.round("reciprank", 9).alias("reciprank"),
+        "train_size", "test_size",
+    ).orderBy("window_start")
