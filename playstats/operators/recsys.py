@@ -120,35 +120,42 @@ def split_windows(
     in_windows: DataFrame,
     step: int = EVAL_STEP_MONTHS,
     min_rows: int = EVAL_MIN_WINDOW_ROWS,
-    min_test: int = EVAL_MIN_TEST_ROWS,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> DataFrame:
     """REC2, FLT11, JN12: temporal train/test split per window.
 
     ``test_start`` = last action - ``step`` months; train is up to
     ``test_start - 1 day`` (inclusive), test from ``test_start``; actions in
     the day between belong to neither. Test keeps users seen in training.
-    Windows with fewer than ``min_rows`` actions or ``min_test`` test rows
-    are left out. Returns (train, test, sizes).
+    Windows with fewer than ``min_rows`` actions are dropped. Returns the
+    actions labelled ``part`` = 'train' / 'test'.
     """
     stats = (
-        in_windows.groupBy("k", "window_start", "window_end")
+        in_windows.groupBy("k")
         .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("max_ts"))
         .where(F.col("n") >= min_rows)
         .select("k", shift_months(F.col("max_ts"), -step).alias("test_start"))
     )
     wd = in_windows.join(F.broadcast(stats), "k")  # one row per window
-    train = wd.where(F.col("ts") <= shift_days(F.col("test_start"), -1))
-    test0 = wd.where(F.col("ts") >= F.col("test_start"))
-    test = test0.join(train.select("k", "user_id").distinct(), ["k", "user_id"], "left_semi")
-    test_sizes = test.groupBy("k").agg(F.count(F.lit(1)).alias("test_size")).where(F.col("test_size") >= min_test)
-    train_sizes = train.groupBy("k", "window_start", "window_end").agg(F.count(F.lit(1)).alias("train_size"))
-    sizes = train_sizes.join(test_sizes, "k")
-    kept = F.broadcast(sizes.select("k"))  # one row per window
-    cols = ["k", "window_start", "window_end", "user_id", "item_id", "ts"]
+    part = F.when(F.col("ts") <= shift_days(F.col("test_start"), -1), "train").when(
+        F.col("ts") >= F.col("test_start"), "test"
+    )
+    wd = wd.withColumn("part", part).where(F.col("part").isNotNull()).drop("test_start")
+    train = wd.where(F.col("part") == "train")
+    train_users = train.select("k", "user_id").distinct()
+    test = wd.where(F.col("part") == "test").join(train_users, ["k", "user_id"], "left_semi")
+    return train.unionByName(test)
+
+
+def window_sizes(labelled: DataFrame, min_test: int = EVAL_MIN_TEST_ROWS) -> DataFrame:
+    """AGG32, FLT11: train and test rows per window; windows with fewer than
+    ``min_test`` test rows are left out. One row per window."""
     return (
-        train.join(kept, "k", "left_semi").select(*cols),
-        test.join(kept, "k", "left_semi").select(*cols),
-        sizes,
+        labelled.groupBy("k", "window_start", "window_end")
+        .agg(
+            F.count(F.when(F.col("part") == "train", 1)).alias("train_size"),
+            F.count(F.when(F.col("part") == "test", 1)).alias("test_size"),
+        )
+        .where(F.col("test_size") >= min_test)
     )
 
 
@@ -156,43 +163,32 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     """REC3 model: (k, item_id, cnt, pop_rank) — rank 1 is the item with the
     most training actions in window k, ties by item id.
 
-    rank = items with a higher count + position among items with the same
-    count. The first part comes from the histogram of counts, the second
-    from a window over (k, count) groups, never over a whole window.
+    The ranking window is partitioned by evaluation window; its rows are the
+    distinct items trained in that window, bounded by the item catalogue.
     """
     pop = train.groupBy("k", "item_id").agg(F.count(F.lit(1)).alias("cnt"))
-    hist = pop.groupBy("k", "cnt").agg(F.count(F.lit(1)).alias("f"))
-    hb = with_below(hist, "cnt", ["f"], ["k"])
-    tot = hist.groupBy("k").agg(F.sum("f").alias("n_items"))
-    greater = hb.join(F.broadcast(tot), "k").select(  # one row per window
-        "k", "cnt", (F.col("n_items") - F.col("f_below") - F.col("f")).alias("greater")
-    )
-    tie = Window.partitionBy("k", "cnt").orderBy("item_id")
-    return (
-        pop.join(greater, ["k", "cnt"])
-        .select("k", "item_id", "cnt", (F.col("greater") + F.row_number().over(tie)).alias("pop_rank"))
-    )
+    order = Window.partitionBy("k").orderBy(F.desc("cnt"), "item_id")
+    return pop.withColumn("pop_rank", F.row_number().over(order))
 
 
-def recommend_top_n(train: DataFrame, test: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
+def recommend_top_n(train: DataFrame, test: DataFrame, n: int = EVAL_LIST_LENGTH,
+                    ranks: DataFrame | None = None) -> DataFrame:
     """REC3: top-``n`` unseen popular items for every test user of a window.
 
-    A user who has seen s items needs at most the first n + s items of the
-    popularity order; those ranks are generated per user and equi-joined on
-    (k, pop_rank), seen items are anti-joined away and the first n kept.
-    Work per user is bounded by n + s; no users x items product is formed.
+    A user who has seen s items needs at most the first n + s popularity
+    ranks. The ranks the user has seen are gathered into one array (bounded
+    by the user's distinct items), ``array_except`` removes them from
+    1..n+s in order, and the first n that remain are the list: no anti join
+    and no per-user sort, and no users x items product.
     """
-    ranks = popularity_ranks(train)
-    seen = train.select("k", "user_id", "item_id")
-    n_seen = seen.groupBy("k", "user_id").agg(F.count(F.lit(1)).alias("s"))
-    users = test.select("k", "user_id").distinct().join(n_seen, ["k", "user_id"])
-    wanted = users.select("k", "user_id", F.explode(F.sequence(F.lit(1), F.lit(n) + F.col("s"))).alias("pop_rank"))
-    cand = wanted.join(ranks, ["k", "pop_rank"]).join(seen, ["k", "user_id", "item_id"], "left_anti")
-    per_user = Window.partitionBy("k", "user_id").orderBy("pop_rank")
-    return (
-        cand.withColumn("rank", F.row_number().over(per_user))
-        .where(F.col("rank") <= n)
-        .select("k", "user_id", "item_id", "rank")
+    ranks = ranks if ranks is not None else popularity_ranks(train)
+    seen = train.select("k", "user_id", "item_id").join(ranks.select("k", "item_id", "pop_rank"), ["k", "item_id"])
+    seen_sets = seen.groupBy("k", "user_id").agg(F.collect_list("pop_rank").alias("seen"))
+    users = test.select("k", "user_id").distinct().join(seen_sets, ["k", "user_id"])
+    free = F.slice(F.array_except(F.sequence(F.lit(1), F.lit(n) + F.size("seen")), F.col("seen")), 1, n)
+    firsts = users.select("k", "user_id", F.posexplode(free).alias("pos", "pop_rank"))
+    return firsts.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"]).select(
+        "k", "user_id", "item_id", (F.col("pos") + 1).alias("rank")
     )
 
 
@@ -233,29 +229,36 @@ def evaluate(
     n: int = EVAL_LIST_LENGTH,
     step: int = EVAL_STEP_MONTHS,
     size: int = EVAL_WINDOW_MONTHS,
+    upto: str = "metrics",
 ) -> dict[str, DataFrame]:
-    """PIPE7: every stage of the evaluation as lazy DataFrames."""
-    # Stage outputs that later stages read several times are checkpointed to
-    # the shared checkpoint folder: each is computed once, a lost executor
-    # re-reads it instead of recomputing from the raw actions, and the plans
-    # of later stages stay small.
-    prepared = cut_lineage(prepare_actions(actions, data_from, data_to))
-    windows = cut_lineage(eval_windows(prepared, start, step, size))
+    """PIPE7: the evaluation stages as DataFrames, computed up to ``upto``
+    ('split', 'recs' or 'metrics').
+
+    Stage outputs read several times later are written to the shared
+    checkpoint folder (``cut_lineage``): each is computed once, a lost
+    executor re-reads it instead of recomputing from the raw actions, and
+    later plans stay small.
+    """
+    prepared = cut_lineage(prepare_actions(actions, data_from, data_to), "actions")
+    windows = cut_lineage(eval_windows(prepared, start, step, size), "windows")
     in_windows = assign_windows(prepared, windows, start, step, size)
-    train, test, sizes = (cut_lineage(x) for x in split_windows(in_windows, step))
-    recs = cut_lineage(recommend_top_n(train, test, n))
+    labelled = cut_lineage(split_windows(in_windows, step), "split")
+    sizes = window_sizes(labelled)
+    kept = labelled.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
+    train = kept.where(F.col("part") == "train")
+    test = kept.where(F.col("part") == "test")
+    out = {"windows": windows, "train": train, "test": test, "sizes": sizes}
+    if upto == "split":
+        return out
+    recs = recommend_top_n(train, test, n)
+    out["recs"] = recs
+    if upto == "recs":
+        return out
     per_user = user_metrics(recs, test)
-    metrics = (
+    out["per_user"] = per_user
+    out["metrics"] = (
         per_user.groupBy("k")
         .agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
-        .join(sizes, "k")
+        .join(F.broadcast(sizes), "k")
     )
-    return {
-        "windows": windows,
-        "train": train,
-        "test": test,
-        "sizes": sizes,
-        "recs": recs,
-        "per_user": per_user,
-        "metrics": metrics,
-    }
+    return out

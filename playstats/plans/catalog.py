@@ -753,6 +753,14 @@ def _ids(fx: Fixtures) -> DataFrame:
     return encode.build_id_dictionary(fx.plays_uuid)
 
 
+def _stored_ids(fx: Fixtures) -> DataFrame:
+    """The dictionary as a stored table (the reference writes it to Parquet
+    before encoding); encoding reads it once per key type."""
+    from playstats.session import cut_lineage
+
+    return cut_lineage(_ids(fx), "ids")
+
+
 @register("entity_ids", with_fixtures("select * from ids", IDS_CTE))
 def q_entity_ids(fx: Fixtures) -> DataFrame:
     """SET1-3, WIN1: the id dictionary with dense codes in UUID order."""
@@ -783,7 +791,7 @@ left join enc on enc.artist_ids = p.artist_ids""",
 )
 def q_encoded_plays(fx: Fixtures) -> DataFrame:
     """JN1-4: plays with integer codes; list order and misses kept."""
-    return encode.encode_plays(fx.plays_uuid, _ids(fx))
+    return encode.encode_plays(fx.plays_uuid, _stored_ids(fx))
 
 
 @register(
@@ -866,8 +874,8 @@ from ideal i left join hagg h using (window_start, user_id)""",
 }
 
 
-def _evaluation(fx: Fixtures) -> dict[str, DataFrame]:
-    return recsys.evaluate(fx.actions, EVAL_START, EVAL_DATA_FROM, EVAL_DATA_TO, n=EVAL_N)
+def _evaluation(fx: Fixtures, upto: str = "metrics") -> dict[str, DataFrame]:
+    return recsys.evaluate(fx.actions, EVAL_START, EVAL_DATA_FROM, EVAL_DATA_TO, n=EVAL_N, upto=upto)
 
 
 def _day(c: str):
@@ -892,7 +900,7 @@ def q_eval_windows(fx: Fixtures) -> DataFrame:
 )
 def q_window_split_sizes(fx: Fixtures) -> DataFrame:
     """REC2, FLT9-11, JN12-13, AGG32: train and test rows of every kept window."""
-    sizes = _evaluation(fx)["sizes"]
+    sizes = _evaluation(fx, "split")["sizes"]
     return sizes.select(_day("window_start"), _day("window_end"), "train_size", "test_size").orderBy("window_start")
 
 
@@ -903,7 +911,7 @@ def q_window_split_sizes(fx: Fixtures) -> DataFrame:
 )
 def q_top_n(fx: Fixtures) -> DataFrame:
     """REC3: top-100 unseen popular items for each test user of each window."""
-    ev = _evaluation(fx)
+    ev = _evaluation(fx, "recs")
     starts = ev["windows"].select("k", _day("window_start"))
     return ev["recs"].join(F.broadcast(starts), "k").select("window_start", "user_id", "item_id", "rank")
 

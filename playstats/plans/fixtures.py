@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playstats.session import apply_runtime_conf
 
@@ -119,10 +119,13 @@ class Fixtures:
     def plays(self) -> DataFrame:
         """Plays with integer keys, a ``segment`` and exact duplicate rows."""
         def build():
-            base = self.plays_base
+            # plays_base UNION ALL (plays_base where o_orderkey % 50 = 0),
+            # written as one pass that emits those rows twice
             cols = ["segment", "user_id", "timestamp", "artist_ids", "release_id", "rec_id"]
-            dup = base.where("o_orderkey % 50 = 0").select(*cols)
-            return base.select(*cols).unionByName(dup)
+            copies = F.when(F.col("o_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
+                F.array(F.lit(1))
+            )
+            return self.plays_base.select(*cols, F.explode(copies).alias("_copy")).drop("_copy")
 
         return self._memo("plays", build)
 
