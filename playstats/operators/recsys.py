@@ -239,17 +239,21 @@ def evaluate(
     executor re-reads it instead of recomputing from the raw actions, and
     later plans stay small.
     """
+    # ``prepared`` feeds the window table and every branch of the split
     prepared = cut_lineage(prepare_actions(actions, data_from, data_to), "actions")
-    windows = cut_lineage(eval_windows(prepared, start, step, size), "windows")
+    windows = eval_windows(prepared, start, step, size)  # one aggregate of ``prepared``
     in_windows = assign_windows(prepared, windows, start, step, size)
-    labelled = cut_lineage(split_windows(in_windows, step), "split")
+    labelled = split_windows(in_windows, step)
+    if upto == "split":  # sizes are the only consumer
+        sizes = window_sizes(labelled)
+        return {"windows": windows, "sizes": sizes}
+    # train and test feed popularity, seen sets, users, truth and sizes
+    labelled = cut_lineage(labelled, "split")
     sizes = window_sizes(labelled)
     kept = labelled.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
     train = kept.where(F.col("part") == "train")
     test = kept.where(F.col("part") == "test")
     out = {"windows": windows, "train": train, "test": test, "sizes": sizes}
-    if upto == "split":
-        return out
     recs = recommend_top_n(train, test, n)
     out["recs"] = recs
     if upto == "recs":

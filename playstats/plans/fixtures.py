@@ -23,14 +23,36 @@ TABLES = (
 ).split()
 
 
+MATERIALIZED_VIEWS = ("artist", "recording", "plays", "actions", "plays_uuid", "artist_uuid")
+_STORED: dict[tuple[str, str], "Fixtures"] = {}
+
+
 class Fixtures:
-    """Lazy fixture views for one table folder."""
+    """Fixture views for one table folder, lazy by default.
+
+    ``Fixtures.stored`` derives the views once per session and folder and
+    writes them under the checkpoint folder, the way the real plays are a
+    stored Parquet dataset; queries then scan them like any table.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_runtime_conf(spark)
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    @classmethod
+    def stored(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        if key not in _STORED:
+            from playstats.session import cut_lineage
+
+            lazy = cls(spark, sf_dir)
+            fx = cls(spark, sf_dir)
+            for name in MATERIALIZED_VIEWS:
+                fx._cache[name] = cut_lineage(getattr(lazy, name), f"fixture-{name}")
+            _STORED[key] = fx
+        return _STORED[key]
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 

@@ -54,7 +54,8 @@ def build_session(
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
-    for key, value in (extra or {}).items():
+    settings = {"spark.driver.memory": "8g", **(extra or {})}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
