@@ -116,18 +116,17 @@ def assign_windows(
     )
 
 
-def split_windows(
+def label_rows(
     in_windows: DataFrame,
     step: int = EVAL_STEP_MONTHS,
     min_rows: int = EVAL_MIN_WINDOW_ROWS,
 ) -> DataFrame:
-    """REC2, FLT11, JN12: temporal train/test split per window.
+    """REC2, FLT11: temporal train/test labels per window.
 
     ``test_start`` = last action - ``step`` months; train is up to
     ``test_start - 1 day`` (inclusive), test from ``test_start``; actions in
-    the day between belong to neither. Test keeps users seen in training.
-    Windows with fewer than ``min_rows`` actions are dropped. Returns the
-    actions labelled ``part`` = 'train' / 'test'.
+    the day between belong to neither and are dropped. Windows with fewer
+    than ``min_rows`` actions are dropped. Adds ``part`` = 'train' / 'test'.
     """
     stats = (
         in_windows.groupBy("k")
@@ -139,24 +138,7 @@ def split_windows(
     part = F.when(F.col("ts") <= shift_days(F.col("test_start"), -1), "train").when(
         F.col("ts") >= F.col("test_start"), "test"
     )
-    wd = wd.withColumn("part", part).where(F.col("part").isNotNull()).drop("test_start")
-    train = wd.where(F.col("part") == "train")
-    train_users = train.select("k", "user_id").distinct()
-    test = wd.where(F.col("part") == "test").join(train_users, ["k", "user_id"], "left_semi")
-    return train.unionByName(test)
-
-
-def window_sizes(labelled: DataFrame, min_test: int = EVAL_MIN_TEST_ROWS) -> DataFrame:
-    """AGG32, FLT11: train and test rows per window; windows with fewer than
-    ``min_test`` test rows are left out. One row per window."""
-    return (
-        labelled.groupBy("k", "window_start", "window_end")
-        .agg(
-            F.count(F.when(F.col("part") == "train", 1)).alias("train_size"),
-            F.count(F.when(F.col("part") == "test", 1)).alias("test_size"),
-        )
-        .where(F.col("test_size") >= min_test)
-    )
+    return wd.withColumn("part", part).where(F.col("part").isNotNull()).drop("test_start")
 
 
 def popularity_ranks(train: DataFrame) -> DataFrame:
@@ -171,22 +153,51 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     return pop.withColumn("pop_rank", F.row_number().over(order))
 
 
-def recommend_top_n(train: DataFrame, test: DataFrame, n: int = EVAL_LIST_LENGTH,
-                    ranks: DataFrame | None = None) -> DataFrame:
-    """REC3: top-``n`` unseen popular items for every test user of a window.
+def user_groups(labelled: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
+    """One row per (window, user) that has training actions (JN12).
 
-    A user who has seen s items needs at most the first n + s popularity
-    ranks. The ranks the user has seen are gathered into one array (bounded
-    by the user's distinct items), ``array_except`` removes them from
-    1..n+s in order, and the first n that remain are the list: no anti join
-    and no per-user sort, and no users x items product.
+    ``n_train``/``n_test`` count the user's rows; with ``ranks`` it also
+    holds ``seen`` (popularity ranks of the user's training items, bounded by
+    the user's distinct items) and ``truth`` (ranks of the test items that
+    were trained at all; others can never be recommended). Test rows of users
+    without training rows are dropped here, as the split requires.
+    """
+    is_train, is_test = F.col("part") == "train", F.col("part") == "test"
+    aggs = [F.count(F.when(is_train, 1)).alias("n_train"), F.count(F.when(is_test, 1)).alias("n_test")]
+    rows = labelled
+    if ranks is not None:
+        rows = labelled.join(ranks.select("k", "item_id", "pop_rank"), ["k", "item_id"], "left")
+        aggs += [
+            F.collect_list(F.when(is_train, F.col("pop_rank"))).alias("seen"),
+            F.collect_list(F.when(is_test, F.col("pop_rank"))).alias("truth"),
+        ]
+    return rows.groupBy("k", "user_id").agg(*aggs).where(F.col("n_train") > 0)
+
+
+def window_sizes(groups: DataFrame, windows: DataFrame, min_test: int = EVAL_MIN_TEST_ROWS) -> DataFrame:
+    """AGG32, FLT11: train and test rows per window; windows with fewer than
+    ``min_test`` test rows are left out. One row per window."""
+    sizes = (
+        groups.groupBy("k")
+        .agg(F.sum("n_train").cast("bigint").alias("train_size"), F.sum("n_test").cast("bigint").alias("test_size"))
+        .where(F.col("test_size") >= min_test)
+    )
+    return sizes.join(F.broadcast(windows), "k").select("k", "window_start", "window_end", "train_size", "test_size")
+
+
+def user_lists(groups: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
+    """REC3 per test user: the top-``n`` list as popularity ranks.
+
+    The first n of 1..n+seen that the user has not seen (``array_except``
+    keeps order): no users x items product, no per-user sort.
     """
-    ranks = ranks if ranks is not None else popularity_ranks(train)
-    seen = train.select("k", "user_id", "item_id").join(ranks.select("k", "item_id", "pop_rank"), ["k", "item_id"])
-    seen_sets = seen.groupBy("k", "user_id").agg(F.collect_list("pop_rank").alias("seen"))
-    users = test.select("k", "user_id").distinct().join(seen_sets, ["k", "user_id"])
     free = F.slice(F.array_except(F.sequence(F.lit(1), F.lit(n) + F.size("seen")), F.col("seen")), 1, n)
-    firsts = users.select("k", "user_id", F.posexplode(free).alias("pos", "pop_rank"))
+    return groups.where(F.col("n_test") > 0).select("k", "user_id", free.alias("recs"), "truth", "n_test")
+
+
+def recommend_top_n(lists: DataFrame, ranks: DataFrame) -> DataFrame:
+    """REC3: (k, user_id, item_id, rank); ranks past the window's items drop."""
+    firsts = lists.select("k", "user_id", F.posexplode("recs").alias("pos", "pop_rank"))
     return firsts.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"]).select(
         "k", "user_id", "item_id", (F.col("pos") + 1).alias("rank")
     )
@@ -196,28 +207,25 @@ def _inv_log_discount(r: Column) -> Column:
     return F.lit(1.0) / F.greatest(F.lit(1.0), F.log2(r.cast("double")))
 
 
-def user_metrics(recs: DataFrame, test: DataFrame, patience: float = RBP_PATIENCE) -> DataFrame:
-    """REC4-6 per (k, user): NDCG, RBP and reciprocal rank."""
-    truth = test.select("k", "user_id", "item_id")
-    hits = recs.join(truth, ["k", "user_id", "item_id"])
-    hagg = hits.groupBy("k", "user_id").agg(
-        F.sum(_inv_log_discount(F.col("rank"))).alias("dcg"),
-        F.sum(F.pow(F.lit(patience), F.col("rank") - 1)).alias("rbp_sum"),
-        F.max(F.lit(1.0) / F.col("rank")).alias("rr"),
-    )
-    ideal = truth.groupBy("k", "user_id").agg(F.count(F.lit(1)).alias("n_test")).select(
-        "k",
-        "user_id",
-        F.aggregate(
-            F.sequence(F.lit(1), F.col("n_test")), F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r)
-        ).alias("idcg"),
+def user_metrics(lists: DataFrame, patience: float = RBP_PATIENCE) -> DataFrame:
+    """REC4-6 per (k, user) from ``user_lists``: NDCG, RBP, reciprocal rank.
+
+    Hit positions are the 1-based positions of the list whose rank is among
+    the test ranks; all sums run inside the row (higher-order functions).
+    """
+    hit_pos = F.filter(
+        F.transform("recs", lambda x, i: F.when(F.array_contains("truth", x), i + 1)), lambda p: p.isNotNull()
     )
-    return ideal.join(hagg, ["k", "user_id"], "left").select(
+    with_hits = lists.select("k", "user_id", "n_test", hit_pos.alias("hits"))
+    dcg = F.aggregate("hits", F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r))
+    idcg = F.aggregate(F.sequence(F.lit(1), F.col("n_test")), F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r))
+    rbp = F.aggregate("hits", F.lit(0.0), lambda acc, r: acc + F.pow(F.lit(patience), r - 1))
+    return with_hits.select(
         "k",
         "user_id",
-        (F.coalesce("dcg", F.lit(0.0)) / F.col("idcg")).alias("ndcg"),
-        ((F.lit(1.0) - F.lit(patience)) * F.coalesce("rbp_sum", F.lit(0.0))).alias("rbp"),
-        F.coalesce("rr", F.lit(0.0)).alias("reciprank"),
+        (dcg / idcg).alias("ndcg"),
+        ((F.lit(1.0) - F.lit(patience)) * rbp).alias("rbp"),
+        F.when(F.size("hits") > 0, F.lit(1.0) / F.get("hits", 0)).otherwise(F.lit(0.0)).alias("reciprank"),
     )
 
 
@@ -239,26 +247,22 @@ def evaluate(
     executor re-reads it instead of recomputing from the raw actions, and
     later plans stay small.
     """
-    # ``prepared`` feeds the window table and every branch of the split
     prepared = cut_lineage(prepare_actions(actions, data_from, data_to), "actions")
     windows = eval_windows(prepared, start, step, size)  # one aggregate of ``prepared``
-    in_windows = assign_windows(prepared, windows, start, step, size)
-    labelled = split_windows(in_windows, step)
-    if upto == "split":  # sizes are the only consumer
-        sizes = window_sizes(labelled)
-        return {"windows": windows, "sizes": sizes}
-    # train and test feed popularity, seen sets, users, truth and sizes
-    labelled = cut_lineage(labelled, "split")
-    sizes = window_sizes(labelled)
-    kept = labelled.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
-    train = kept.where(F.col("part") == "train")
-    test = kept.where(F.col("part") == "test")
-    out = {"windows": windows, "train": train, "test": test, "sizes": sizes}
-    recs = recommend_top_n(train, test, n)
-    out["recs"] = recs
+    labelled = label_rows(assign_windows(prepared, windows, start, step, size), step)
+    if upto == "split":
+        return {"windows": windows, "sizes": window_sizes(user_groups(labelled), windows)}
+    # small (items x windows) and read by the grouping and by the lists
+    ranks = cut_lineage(popularity_ranks(labelled.where(F.col("part") == "train")), "ranks")
+    # one row per (window, user): read by sizes, lists and metrics
+    groups = cut_lineage(user_groups(labelled, ranks), "user_groups")
+    sizes = window_sizes(groups, windows)
+    kept = groups.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
+    lists = user_lists(kept, n)
+    out = {"windows": windows, "sizes": sizes, "ranks": ranks, "recs": recommend_top_n(lists, ranks)}
     if upto == "recs":
         return out
-    per_user = user_metrics(recs, test)
+    per_user = user_metrics(lists)
     out["per_user"] = per_user
     out["metrics"] = (
         per_user.groupBy("k")
