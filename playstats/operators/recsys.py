@@ -21,7 +21,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playstats.functions import shift_days, shift_months
-from playstats.operators.inequality import with_below
 from playstats.session import cut_lineage
 from playstats.schemas import (
     EVAL_LIST_LENGTH,

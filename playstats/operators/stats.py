@@ -3,9 +3,9 @@
 Inputs are plain DataFrames: ``plays`` (user_id, timestamp, artist_ids,
 release_id, rec_id), ``artists`` (artist_id, gender, type) and
 ``recordings`` (rec_id, artist_credit). Results carry the reference's column
-names. Ordering is applied by the caller (``ordered``) where a report wants
-it; every order ends in a unique key so ties neither change results nor pile
-into one range partition.
+names. Ordering is applied by the caller where a report wants it; every
+order ends in a unique key so ties neither change results nor pile into one
+range partition.
 """
 
 from __future__ import annotations
@@ -22,10 +22,6 @@ from playstats.operators.rollups import (
 )
 
 
-def ordered(df: DataFrame, *cols: Column | str) -> DataFrame:
-    return df.orderBy(*cols)
-
-
 # ---------------------------------------------------------------------------
 # Distribution of plays over an artist attribute (gender, type)
 # ---------------------------------------------------------------------------

@@ -91,8 +91,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = os.path.join(ensure_checkpoint_dir(spark), "stages", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
