@@ -110,9 +110,9 @@ def assign_windows(
     x = prepared.withColumn("k", F.explode(cand))
     # one row per window (time span / step): structurally small
     x = x.join(F.broadcast(windows), "k")
-    return x.where(
-        (F.col("ts") >= F.col("window_start")) & (F.col("ts") <= shift_days(F.col("window_end"), -1))
-    )
+    inside = (F.col("ts") >= F.col("window_start")) & (F.col("ts") <= shift_days(F.col("window_end"), -1))
+    # window bounds stay in the window table; rows carry only its key
+    return x.where(inside).select("k", "user_id", "item_id", "ts")
 
 
 def label_rows(

@@ -46,10 +46,10 @@ class Fixtures:
         if key not in _STORED:
             from playstats.session import cut_lineage
 
-            lazy = cls(spark, sf_dir)
             fx = cls(spark, sf_dir)
+            # in dependency order: later views are derived from stored ones
             for name in MATERIALIZED_VIEWS:
-                fx._cache[name] = cut_lineage(getattr(lazy, name), f"fixture-{name}")
+                fx._cache[name] = cut_lineage(getattr(fx, name), f"fixture-{name}")
             _STORED[key] = fx
         return _STORED[key]
 
