@@ -85,3 +85,17 @@ def test_late_filter_reaches_the_scan(spark):
                      "1998-01-01")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThanOrEqual(o_orderkey," in plan
+
+
+def test_single_partition_exchanges_only_carry_aggregates(spark):
+    """No query moves data rows into one task: every single-partition
+    exchange sits on a partial aggregate (global totals or bucket totals)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # inspect the static plan
+    try:
+        for name, build in entry.queries().items():
+            lines = build(spark, SMALL_SF)._jdf.queryExecution().executedPlan().toString().split("\n")
+            for i, line in enumerate(lines):
+                if "Exchange SinglePartition" in line:
+                    assert "Aggregate" in lines[i + 1], (name, lines[i + 1])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
