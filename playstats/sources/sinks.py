@@ -26,15 +26,17 @@ def write_segmented_plays(
     num_partitions: int | None = None,
 ) -> None:
     """SNK1: plays under ``path/segment=<s>/``, at most ``rows_per_file``
-    rows a file, each user's rows together.
+    rows a file, each user's rows kept together in (user, time) order.
 
-    A range partition on (segment, user_id) gives every task a contiguous
-    key range, so files hold whole users and no task receives a whole
-    segment; ``maxRecordsPerFile`` closes a file at the row limit.
+    A range partition on (segment, user_id, timestamp) gives every task a
+    contiguous key range: files hold runs of whole users, no task receives a
+    whole segment, and a user with a large share of all plays is split by
+    time across several tasks instead of landing in one.
+    ``maxRecordsPerFile`` closes a file at the row limit.
     """
     n = num_partitions or plays.sparkSession.conf.get("spark.sql.shuffle.partitions")
     (
-        plays.repartitionByRange(int(n), "segment", "user_id")
+        plays.repartitionByRange(int(n), "segment", "user_id", "timestamp")
         .sortWithinPartitions("segment", "user_id", "timestamp")
         .write.mode("overwrite")
         .partitionBy("segment")
