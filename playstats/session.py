@@ -88,6 +88,8 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     and compressed, unlike an RDD checkpoint's serialized rows.
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "stages", f"{name}-{uuid.uuid4().hex}")
+    # grouped per application, so a finished run's stages go in one folder
+    app = spark.sparkContext.applicationId
+    path = os.path.join(ensure_checkpoint_dir(spark), "playstats-stages", app, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
