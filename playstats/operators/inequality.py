@@ -30,17 +30,22 @@ def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None)
 
 
 def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str] | None = None) -> DataFrame:
-    """Adds ``<w>_below``: sum of weight ``w`` over smaller values of the group.
+    """Adds ``<w>_below`` (sum of weight ``w`` over smaller values of the
+    group) and ``<w>_total`` (over the whole group).
 
-    Bucket offsets come from a window over at most ~65 bucket rows per group;
-    the in-bucket part is a window partitioned by (group, bucket).
+    Bucket offsets and totals come from windows over at most ~65 bucket rows
+    per group; the in-bucket part is a window partitioned by (group, bucket).
     """
     groups = groups or []
     hb = hist.withColumn("__b", _bucket(F.col(value)))
     totals = hb.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    wall = Window.partitionBy(*groups)
     offsets = totals.select(
-        *groups, "__b", *[F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0)).alias(f"__o_{w}") for w in weights]
+        *groups,
+        "__b",
+        *[F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0)).alias(f"__o_{w}") for w in weights],
+        *[F.sum(f"__t_{w}").over(wall).alias(f"__a_{w}") for w in weights],
     )
     wi = Window.partitionBy(*groups, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inner = hb.select(
@@ -58,26 +63,10 @@ def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str
     return joined.select(
         *[c for c in hist.columns],
         *[(F.col(f"__o_{w}") + F.col(f"__i_{w}")).alias(f"{w}_below") for w in weights],
+        *[F.col(f"__a_{w}").alias(f"{w}_total") for w in weights],
     )
 
 
-def _attach_totals(left: DataFrame, totals: DataFrame, groups: list[str]) -> DataFrame:
-    """Add per-group totals: a NULL-safe join on the groups, or scalar
-    subqueries when there is a single global group."""
-    if not groups:
-        one = totals.select(F.struct(*totals.columns).alias("t")).scalar()
-        return left.select("*", *[one[c].alias(c) for c in totals.columns])
-    r = totals
-    for g in groups:
-        r = r.withColumnRenamed(g, f"__g_{g}")
-    cond = None
-    for g in groups:
-        c = left[g].eqNullSafe(r[f"__g_{g}"])
-        cond = c if cond is None else cond & c
-    # one row per group; sized at runtime by adaptive execution
-    return left.join(r, cond).drop(*[f"__g_{g}" for g in groups])
-
-
 def gini(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """Gini coefficient of ``value`` (per group): sum((2i-n-1) x_i) / (n sum x)
     with x ascending and i = 1..n.
@@ -89,16 +78,14 @@ def gini(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFram
     """
     groups = groups or []
     hist = value_histogram(df, value, groups).withColumn("vf", F.col(value) * F.col("f"))
-    hb = with_below(hist, value, ["f"], groups)
-    totals = hist.groupBy(*groups).agg(F.sum("f").alias("n"), F.sum("vf").alias("s"), F.min(value).alias("lo"))
-    hb = _attach_totals(hb, totals, groups)
+    hb = with_below(hist, value, ["f", "vf"], groups).withColumnsRenamed({"f_total": "n", "vf_total": "s"})
     f = F.col("f").cast(DEC)
     term = F.col(value).cast(DEC) * (
         F.lit(2).cast(DEC) * (f * F.col("f_below").cast(DEC)) + f * (f + F.lit(1).cast(DEC))
         - f * (F.col("n").cast(DEC) + F.lit(1).cast(DEC))
     )
     out = hb.groupBy(*groups).agg(
-        F.sum(term).alias("num"), F.first("n").alias("n"), F.first("s").alias("s"), F.first("lo").alias("lo")
+        F.sum(term).alias("num"), F.max("n").alias("n"), F.max("s").alias("s"), F.min(value).alias("lo")
     )
     g = F.col("num").cast("double") / (F.col("n").cast("double") * F.col("s").cast("double"))
     checked = F.when(F.col("lo") <= 0, F.raise_error(F.lit(f"gini: {value} must be > 0"))).otherwise(g)
@@ -115,9 +102,7 @@ def fractional_rank(df: DataFrame, value: str, out: str, descending: bool = True
     """
     groups = groups or []
     hist = value_histogram(df, value, groups)
-    hb = with_below(hist, value, ["f"], groups)
-    ntot = hist.groupBy(*groups).agg(F.sum("f").alias("__n"))
-    hb = _attach_totals(hb, ntot, groups)
+    hb = with_below(hist, value, ["f"], groups).withColumnRenamed("f_total", "__n")
     if descending:
         r = (F.col("__n") - F.col("f_below")) / F.col("__n")
     else:
@@ -141,9 +126,7 @@ def lorenz_points(df: DataFrame, value: str, groups: list[str] | None = None) ->
     """
     groups = groups or []
     hist = value_histogram(df, value, groups).withColumn("vf", F.col(value) * F.col("f"))
-    hb = with_below(hist, value, ["f", "vf"], groups)
-    totals = hist.groupBy(*groups).agg(F.sum("f").alias("__n"), F.sum("vf").alias("__s"))
-    hb = _attach_totals(hb, totals, groups)
+    hb = with_below(hist, value, ["f", "vf"], groups).withColumnsRenamed({"f_total": "__n", "vf_total": "__s"})
     return hb.select(
         *groups,
         value,
