@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from playstats.session import cut_lineage
+
 
 DEC = "decimal(38,0)"
 
@@ -117,6 +119,25 @@ def fractional_rank(df: DataFrame, value: str, out: str, descending: bool = True
     return joined.drop("__v", *[f"__g_{g}" for g in groups])
 
 
+def fractional_ranks(df: DataFrame, ranks: dict[str, str], descending: bool = True) -> DataFrame:
+    """Several ``fractional_rank`` columns (``{out: value}``) on one table.
+
+    ``df`` (one row per entity, computed from the plays) is read once per
+    rank and once for the result, so it is written to the checkpoint folder
+    first instead of being recomputed from the plays each time.
+    """
+    base = cut_lineage(df, "ranked") if len(ranks) > 1 else df
+    out = base
+    for name, value in ranks.items():
+        hist = value_histogram(base, value)
+        hb = with_below(hist, value, ["f"]).withColumnRenamed("f_total", "__n")
+        r = (F.col("__n") - F.col("f_below")) if descending else (F.col("f_below") + F.col("f"))
+        table = hb.select(F.col(value).alias("__v"), (r / F.col("__n")).cast("double").alias(name))
+        # one row per distinct value; sized at runtime by adaptive execution
+        out = out.join(table, out[value] == table["__v"], "left").drop("__v")
+    return out
+
+
 def lorenz_points(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """WIN4: one Lorenz point per distinct value (and group).
 

@@ -573,9 +573,7 @@ def _rank_sql(src: str, cols: str, ranks: dict[str, str], where: str = "") -> st
 
 
 def _ranked(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
-    for name, v in ranks.items():
-        df = inequality.fractional_rank(df, v, name, descending=True)
-    return df
+    return inequality.fractional_ranks(df, ranks, descending=True)
 
 
 @register(

@@ -77,13 +77,14 @@ def statistics_suite(plays: DataFrame, artists: DataFrame, recordings: DataFrame
     Here plays are read for three rollups: (artist, user) over the
     exploded credits, (recording, user) and (release, user), each written
     once. A pair row keeps ``n`` (plays with a user, as ``COUNT(user_id)``),
-    ``rows`` (all plays) and, for artists, ``n_solo``/``n_first`` for the
-    single-artist and first-artist variants. Distinct users of a key are the
-    pair rows with a user; sums of ``n`` are play counts.
+    ``rows`` (all plays) and, for artists, ``n_solo`` for the single-artist
+    variants. Distinct users of a key are the pair rows with a user; sums of
+    ``n`` are play counts. Distinct counts and the first-artist distribution
+    follow row-level list rules and read the plays directly.
     """
     ex = plays.select(
         "user_id",
-        F.posexplode("artist_ids").alias("pos", "artist_id"),
+        F.explode("artist_ids").alias("artist_id"),
         (F.array_size("artist_ids") == 1).alias("solo"),
     )
     ua = cut_lineage(
@@ -161,8 +162,8 @@ def analysis_report(spark: SparkSession, stats_dir: str) -> dict[str, DataFrame]
     releases, artists_c, genres = read("release_count"), read("artist_count"), read("genre_count")
     tracks, per_user, solo = read("track_count"), read("play_count"), read("fartist_unique_users")
     genres = genres.dropna(subset=["genre_name"])
-    rank2 = lambda df: inequality.fractional_rank(
-        inequality.fractional_rank(df, "n_plays", "rank_inplay"), "n_users", "rank_inuser"
+    rank2 = lambda df: inequality.fractional_ranks(
+        df, {"rank_inplay": "n_plays", "rank_inuser": "n_users"}
     )
     return {
         "gini_release_users": inequality.gini(releases, "n_users"),
