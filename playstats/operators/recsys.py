@@ -73,7 +73,10 @@ def eval_windows(
     """REC1: windows (k, window_start, window_end) with end <= the last action.
 
     Derived from one aggregate (the latest action), so the table has one
-    row per window: its size is the data's time span over the step.
+    row per window: its size is the data's time span over the step. Bounds
+    are start + k*step months (clipped to the month's end); advancing the
+    previous bound, as the reference does, gives the same windows for
+    starts on day 1-28.
     """
     s = _ts(start)
     mx = prepared.agg(F.max("ts").alias("max_ts"))
