@@ -201,7 +201,7 @@ def recommend_top_n(lists: DataFrame, ranks: DataFrame) -> DataFrame:
     """REC3: (k, user_id, item_id, rank); ranks past the window's items drop."""
     firsts = lists.select("k", "user_id", F.posexplode("recs").alias("pos", "pop_rank"))
     return firsts.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"]).select(
-        "k", "user_id", "item_id", (F.col("pos") + 1).alias("rank")
+        "k", "user_id", "item_id", (F.col("pos") + 1).cast("bigint").alias("rank")
     )
 
 

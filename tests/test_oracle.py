@@ -30,3 +30,20 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["gender", "n_plays", "n_users", "unique_count"]
     assert df.count() >= 0
+
+
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+def _duck_type(t):
+    s = t.simpleString()
+    if s.startswith("array<"):
+        return DUCK_TYPES.get(s[6:-1], s[6:-1]) + "[]"
+    return DUCK_TYPES.get(s, s)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, con, name):
+    spark_types = {f.name: _duck_type(f.dataType) for f in QUERIES[name](spark, ORACLE_SF).schema.fields}
+    rel = con.sql(ORACLE[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
