@@ -167,9 +167,10 @@ def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counted = logs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("users"))
+    # edges rounded to 9 places: ln may differ in the last bit between engines
     return counted.select(
         "bin",
-        (lo + F.col("bin") * width).alias("bin_start"),
-        (lo + (F.col("bin") + 1) * width).alias("bin_end"),
+        F.round(lo + F.col("bin") * width, 9).alias("bin_start"),
+        F.round(lo + (F.col("bin") + 1) * width, 9).alias("bin_end"),
         "users",
     )

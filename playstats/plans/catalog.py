@@ -551,7 +551,7 @@ def q_gini_by_gender(fx: Fixtures) -> DataFrame:
     "log_play_histogram",
     with_fixtures(
         """
-select bin, lo + bin * w as bin_start, lo + (bin + 1) * w as bin_end, users
+select bin, round(lo + bin * w, 9) as bin_start, round(lo + (bin + 1) * w, 9) as bin_end, users
 from (select cast(case when w > 0 then least(floor((x - lo) / w), 99) else 0 end as integer) as bin,
              count(*) as users
       from l, b group by 1) t, b""",
