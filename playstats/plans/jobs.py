@@ -28,28 +28,28 @@ from playstats.sources import (
 # -- PIPE4: metadata import ---------------------------------------------------
 def import_metadata(spark: SparkSession, dump_paths: dict[str, str], out_dir: str,
                     only: str | None = None) -> dict[str, DataFrame]:
-    """Dumps -> ``mb_artist`` / ``mb_recording`` tables; primary keys checked."""
+    """Dumps -> ``artist_metadata`` / ``recording_metadata`` tables; primary keys checked."""
     tables = read_dumps(spark, dump_paths, only)
     for kind, df in tables.items():
         key = "artist_id" if kind == "artist" else "rec_id"
         checks.require_not_null(df, [key])
         checks.require_unique(df, key)
-        write_parquet(df, os.path.join(out_dir, f"mb_{kind}"))
+        write_parquet(df, os.path.join(out_dir, f"{kind}_metadata"))
     return tables
 
 
 # -- PIPE2/PIPE3: dictionary and encoded plays ------------------------------------
 def import_plays(spark: SparkSession, play_root: str, out_dir: str, use_mapping: bool = True) -> None:
-    """Raw play files -> id dictionary (``mlhd_ids``) and plays by segment."""
+    """Raw play files -> id dictionary (``id_dictionary``) and plays by segment."""
     staging = cut_lineage(read_play_files(spark, play_root), "staging")
     plays = staging
     if use_mapping:
         ids = encode.build_id_dictionary(staging)
-        write_parquet(ids, os.path.join(out_dir, "mlhd_ids"))
-        ids = spark.read.parquet(os.path.join(out_dir, "mlhd_ids"))
+        write_parquet(ids, os.path.join(out_dir, "id_dictionary"))
+        ids = spark.read.parquet(os.path.join(out_dir, "id_dictionary"))
         encode.check_code_capacity(ids)
         plays = encode.encode_plays(staging, ids)
-    write_segmented_plays(plays, os.path.join(out_dir, "mlhd"))
+    write_segmented_plays(plays, os.path.join(out_dir, "plays"))
 
 
 # -- PIPE1 + AGG1 and AGG2 -----------------------------------------------------
@@ -57,15 +57,15 @@ def prep_plays(spark: SparkSession, plays: DataFrame, artists: DataFrame, out_di
                late_cut: str) -> DataFrame:
     """Exclusion waterfall -> clean plays by segment and the audit log."""
     audit = clean.exclusion_audit(plays, artists, late_cut)
-    write_audit(audit, os.path.join(out_dir, "prep_log.txt"))
+    write_audit(audit, os.path.join(out_dir, "exclusion_log.txt"))
     kept = clean.clean_plays(plays, artists, late_cut, keep_segment=True)
-    write_segmented_plays(kept, os.path.join(out_dir, "mlhdv2"))
-    return spark.read.parquet(os.path.join(out_dir, "mlhdv2"))
+    write_segmented_plays(kept, os.path.join(out_dir, "clean_plays"))
+    return spark.read.parquet(os.path.join(out_dir, "clean_plays"))
 
 
 def solo_artist_counts(clean_plays: DataFrame, out_dir: str) -> None:
-    """AGG2 -> ``solo-artist-count``."""
-    write_parquet(rollups.user_artist_rollup(clean_plays), os.path.join(out_dir, "solo-artist-count"))
+    """AGG2 -> ``user_artist_counts``."""
+    write_parquet(rollups.user_artist_rollup(clean_plays), os.path.join(out_dir, "user_artist_counts"))
 
 
 # -- PIPE5: statistics suite from shared rollups --------------------------------------
@@ -119,33 +119,33 @@ def statistics_suite(plays: DataFrame, artists: DataFrame, recordings: DataFrame
     )
     genres = broadcast_if_small(stats.recording_genres(recordings))
     return {
-        "gender_count": dist(uag, "gender"),
-        "gender_count_active": dist(uag.join(active, "user_id", "left_semi"), "gender"),
-        "type_count": dist(uag, "type"),
-        "artist_count": ua.groupBy("artist_id").agg(
+        "gender_distribution": dist(uag, "gender"),
+        "gender_distribution_active": dist(uag.join(active, "user_id", "left_semi"), "gender"),
+        "type_distribution": dist(uag, "type"),
+        "artist_popularity": ua.groupBy("artist_id").agg(
             F.sum("n").cast("bigint").alias("n_plays"), F.count("user_id").alias("n_users")
         ),
-        "artist_unique_users": per_artist,
-        "gender_avg_unique_users": per_artist.groupBy("gender").agg(F.avg("unique_users").alias("avg_unique_users")),
-        "fartist_unique_users": per_artist_solo,
-        "fartist_avg_unique_users": per_artist_solo.groupBy("gender").agg(
+        "artist_users": per_artist,
+        "gender_mean_users": per_artist.groupBy("gender").agg(F.avg("unique_users").alias("avg_unique_users")),
+        "artist_users_solo": per_artist_solo,
+        "gender_mean_users_solo": per_artist_solo.groupBy("gender").agg(
             F.avg("unique_users").alias("avg_unique_users")
         ),
-        "release_count": urel.groupBy("release_id").agg(
+        "release_popularity": urel.groupBy("release_id").agg(
             F.sum("n").cast("bigint").alias("n_plays"), F.count("user_id").alias("n_users")
         ),
-        "track_count": ur.groupBy("rec_id").agg(F.sum("n").cast("bigint").alias("n_plays")),
-        "play_count": ur.groupBy("user_id").agg(
+        "track_popularity": ur.groupBy("rec_id").agg(F.sum("n").cast("bigint").alias("n_plays")),
+        "plays_per_user": ur.groupBy("user_id").agg(
             F.sum(F.when(F.col("rec_id").isNotNull(), F.col("rows")).otherwise(0)).cast("bigint").alias("play_count"),
             F.count("rec_id").alias("unique_play_count"),
         ),
-        "genre_count": ur.join(genres, "rec_id", "left").groupBy("genre_name").agg(
+        "genre_distribution": ur.join(genres, "rec_id", "left").groupBy("genre_name").agg(
             F.sum("n").cast("bigint").alias("n_plays"), F.countDistinct("user_id").alias("n_users")
         ),
         # need the row-level list rules (explode drops empty lists; first element)
-        "unique_counts": stats.distinct_counts(plays),
-        "gender_count_first": stats.gender_distribution_first(plays, artists),
-        "time_dist": stats.monthly_plays(plays),
+        "distinct_counts": stats.distinct_counts(plays),
+        "gender_distribution_first": stats.gender_distribution_first(plays, artists),
+        "monthly_plays": stats.monthly_plays(plays),
     }
 
 
@@ -159,8 +159,8 @@ def analysis_report(spark: SparkSession, stats_dir: str) -> dict[str, DataFrame]
     """Gini, fractional ranks, Lorenz points, histogram and overview from
     the stored statistics."""
     read = lambda n: spark.read.parquet(os.path.join(stats_dir, f"{n}.parquet"))
-    releases, artists_c, genres = read("release_count"), read("artist_count"), read("genre_count")
-    tracks, per_user, solo = read("track_count"), read("play_count"), read("fartist_unique_users")
+    releases, artists_c, genres = read("release_popularity"), read("artist_popularity"), read("genre_distribution")
+    tracks, per_user, solo = read("track_popularity"), read("plays_per_user"), read("artist_users_solo")
     genres = genres.dropna(subset=["genre_name"])
     rank2 = lambda df: inequality.fractional_ranks(
         df, {"rank_inplay": "n_plays", "rank_inuser": "n_users"}
@@ -179,7 +179,7 @@ def analysis_report(spark: SparkSession, stats_dir: str) -> dict[str, DataFrame]
         "play_count_profile": stats.numeric_profile(per_user, ["play_count", "unique_play_count"]),
         "track_count_profile": stats.numeric_profile(tracks, ["n_plays"]),
         "density": stats.density(per_user),
-        "overview": stats.overview(read("unique_counts"), stats.density(per_user), read("time_dist")),
+        "overview": stats.overview(read("distinct_counts"), stats.density(per_user), read("monthly_plays")),
         "top_genres_users": genres.orderBy(F.desc("n_users"), "genre_name").limit(5).select("genre_name", "n_users"),
         "top_genres_plays": genres.orderBy(F.desc("n_plays"), "genre_name").limit(5).select("genre_name", "n_plays"),
     }

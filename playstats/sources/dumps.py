@@ -29,8 +29,8 @@ class DumpSource:
 
 
 DUMPS = {
-    "artist": DumpSource("mb_artist", ARTIST_DUMP_SCHEMA, ARTIST_DUMP_COLUMNS, "artist_id"),
-    "recording": DumpSource("mb_recording", RECORDING_DUMP_SCHEMA, RECORDING_DUMP_COLUMNS, "rec_id"),
+    "artist": DumpSource("artist_metadata", ARTIST_DUMP_SCHEMA, ARTIST_DUMP_COLUMNS, "artist_id"),
+    "recording": DumpSource("recording_metadata", RECORDING_DUMP_SCHEMA, RECORDING_DUMP_COLUMNS, "rec_id"),
 }
 
 

@@ -8,23 +8,12 @@ from playstats.plans import jobs
 from playstats.plans.catalog import EVAL_DATA_FROM, EVAL_DATA_TO, EVAL_START, LATE_CUT
 from playstats.plans.fixtures import Fixtures
 
-SUITE_TO_QUERY = {
-    "gender_count": "gender_distribution",
-    "gender_count_active": "gender_distribution_active",
-    "type_count": "type_distribution",
-    "artist_count": "artist_popularity",
-    "artist_unique_users": "artist_users",
-    "gender_avg_unique_users": "gender_mean_users",
-    "fartist_unique_users": "artist_users_solo",
-    "fartist_avg_unique_users": "gender_mean_users_solo",
-    "release_count": "release_popularity",
-    "track_count": "track_popularity",
-    "play_count": "plays_per_user",
-    "genre_count": "genre_distribution",
-    "unique_counts": "distinct_counts",
-    "gender_count_first": "gender_distribution_first",
-    "time_dist": "monthly_plays",
-}
+SUITE_QUERIES = [
+    "gender_distribution", "gender_distribution_active", "type_distribution", "artist_popularity",
+    "artist_users", "gender_mean_users", "artist_users_solo", "gender_mean_users_solo", "release_popularity",
+    "track_popularity", "plays_per_user", "genre_distribution", "distinct_counts", "gender_distribution_first",
+    "monthly_plays",
+]
 
 
 def _same(a, b):
@@ -38,8 +27,9 @@ def test_statistics_suite_equals_queries(spark, workdir):
     fx = Fixtures(spark, SMALL_SF)
     suite = jobs.statistics_suite(fx.plays, fx.artist, fx.recording)
     q = entry.queries()
-    for name, qname in SUITE_TO_QUERY.items():
-        assert _same(suite[name], q[qname](spark, SMALL_SF)), name
+    assert sorted(suite) == sorted(SUITE_QUERIES)
+    for name in SUITE_QUERIES:
+        assert _same(suite[name], q[name](spark, SMALL_SF)), name
     jobs.write_statistics(suite, workdir)
     report = jobs.analysis_report(spark, workdir)
     for name in ("gini_release_users", "gini_by_gender", "lorenz_by_gender", "log_play_histogram", "artist_rank",
@@ -52,10 +42,10 @@ def test_prep_and_rollup_jobs(spark, workdir):
     kept = jobs.prep_plays(spark, fx.plays, fx.artist, workdir, LATE_CUT)
     assert _same(kept.select("user_id", "timestamp", "artist_id", "release_id", "rec_id"),
                  entry.queries()["clean_plays"](spark, SMALL_SF))
-    log = open(os.path.join(workdir, "prep_log.txt")).read()
+    log = open(os.path.join(workdir, "exclusion_log.txt")).read()
     assert log.startswith("initial: ")
     jobs.solo_artist_counts(kept, workdir)
-    assert _same(spark.read.parquet(os.path.join(workdir, "solo-artist-count")),
+    assert _same(spark.read.parquet(os.path.join(workdir, "user_artist_counts")),
                  entry.queries()["user_artist_rollup"](spark, SMALL_SF))
 
 
