@@ -63,6 +63,12 @@ def build_session(
     return spark
 
 
+# Per application: the private folder made when none is configured (tests),
+# and the folder already handed to the SparkContext.
+_LOCAL_DIRS: dict[str, str] = {}
+_ACTIVE_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -73,9 +79,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="playstats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="playstats-ckpt-")
+            try:
+                spark.conf.set("spark.checkpoint.dir", _LOCAL_DIRS[app])
+            except Exception:  # some sessions reject setting core configs
+                pass
+            spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
+        return _LOCAL_DIRS[app]
+    if _ACTIVE_DIRS.get(spark.sparkContext.applicationId) != configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        _ACTIVE_DIRS[spark.sparkContext.applicationId] = configured
     return configured
 
 
