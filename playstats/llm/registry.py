@@ -1,11 +1,14 @@
 """The queries of this subpackage by name, and their DuckDB SQL where SQL can express them."""
 
-from playstats.llm import q_quality_rules
+from playstats.llm import q_license_scan, q_quality_rules, q_url_filter
 
 QUERIES = {
+    "op1_url_filter": q_url_filter.op1_url_filter,
+    "op3_license_scan": q_license_scan.op3_license_scan,
     "op6_quality_rules": q_quality_rules.op6_quality_rules,
 }
 
 SQL = {
+    "op1_url_filter": q_url_filter.SQL,
     "op6_quality_rules": q_quality_rules.SQL,
 }
