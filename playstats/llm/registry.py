@@ -1,6 +1,6 @@
 """The queries of this subpackage by name, and their DuckDB SQL where SQL can express them."""
 
-from playstats.llm import q_exact_dedup, q_license_scan, q_line_dedup, q_quality_rules, q_url_filter
+from playstats.llm import q_exact_dedup, q_license_scan, q_line_dedup, q_mixing, q_quality_rules, q_url_filter
 
 QUERIES = {
     "op1_url_filter": q_url_filter.op1_url_filter,
@@ -8,6 +8,7 @@ QUERIES = {
     "op6_quality_rules": q_quality_rules.op6_quality_rules,
     "op8_line_dedup": q_line_dedup.op8_line_dedup,
     "op9_exact_dedup": q_exact_dedup.op9_exact_dedup,
+    "op10_mixing": q_mixing.op10_mixing,
 }
 
 SQL = {
@@ -15,4 +16,5 @@ SQL = {
     "op6_quality_rules": q_quality_rules.SQL,
     "op8_line_dedup": q_line_dedup.SQL,
     "op9_exact_dedup": q_exact_dedup.SQL,
+    "op10_mixing": q_mixing.SQL,
 }
