@@ -1,10 +1,11 @@
 """The queries of this subpackage by name, and their DuckDB SQL where SQL can express them."""
 
-from playstats.llm import q_bpe, q_exact_dedup, q_license_scan, q_line_dedup, q_mixing, q_quality_rules, q_url_filter
+from playstats.llm import q_bpe, q_exact_dedup, q_license_scan, q_line_dedup, q_mixing, q_quality_classifier, q_quality_rules, q_url_filter
 
 QUERIES = {
     "op1_url_filter": q_url_filter.op1_url_filter,
     "op3_license_scan": q_license_scan.op3_license_scan,
+    "op5_quality_classifier": q_quality_classifier.op5_quality_classifier,
     "op6_quality_rules": q_quality_rules.op6_quality_rules,
     "op7_byte_bpe": q_bpe.op7_byte_bpe,
     "op8_line_dedup": q_line_dedup.op8_line_dedup,
