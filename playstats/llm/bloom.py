@@ -44,6 +44,15 @@ def add_hashes(flags: np.ndarray, hashes: np.ndarray, log2_bits: int) -> None:
 
 def seen_twice(hashes: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
     """The merged second filter over ``hashes`` (one column of longs), packed to ``2 ** log2_bits / 8`` bytes."""
+    return _merged(hashes, log2_bits, "twice")
+
+
+def seen_once(hashes: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
+    """The merged first filter: a plain Bloom filter of the column."""
+    return _merged(hashes, log2_bits, "once")
+
+
+def _merged(hashes: DataFrame, log2_bits: int, which: str) -> bytes:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = None
@@ -66,16 +75,17 @@ def seen_twice(hashes: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
         for a, b in zip(table.column("once"), table.column("twice"), strict=True):
             a, b = np.frombuffer(a.as_py(), np.uint8), np.frombuffer(b.as_py(), np.uint8)
             once, twice = (a.copy(), b.copy()) if once is None else (once | a, twice | b | (once & a))
-        return pa.table({"slice": table.column("slice")[:1], "twice": pa.array([twice.tobytes()])})
+        chosen = {"once": once, "twice": twice}[which]
+        return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([chosen.tobytes()])})
 
     # one filter for each core, not for each split of the input
     tasks = hashes.sparkSession.sparkContext.defaultParallelism
     slices = hashes.coalesce(tasks).mapInArrow(build, "slice int, once binary, twice binary")
-    merged = slices.groupBy("slice").applyInArrow(merge, "slice int, twice binary")
+    merged = slices.groupBy("slice").applyInArrow(merge, "slice int, bits binary")
     size = min(SLICE, (1 << log2_bits) // 8)
     out = bytearray((1 << log2_bits) // 8)
     for row in merged.toLocalIterator():  # 2 ** log2_bits / 8 bytes in all, at any input
-        out[row["slice"] * size : (row["slice"] + 1) * size] = row["twice"]
+        out[row["slice"] * size : (row["slice"] + 1) * size] = row["bits"]
     return bytes(out)
 
 
