@@ -1,9 +1,10 @@
 """The queries of this subpackage by name, and their DuckDB SQL where SQL can express them."""
 
-from playstats.llm import q_bpe, q_exact_dedup, q_jaccard_join, q_license_scan, q_line_dedup, q_mixing, q_quality_classifier, q_quality_rules, q_url_filter
+from playstats.llm import q_bpe, q_exact_dedup, q_jaccard_join, q_license_scan, q_line_dedup, q_lm_scoring, q_mixing, q_quality_classifier, q_quality_rules, q_url_filter
 
 QUERIES = {
     "op1_url_filter": q_url_filter.op1_url_filter,
+    "op2_lm_scoring": q_lm_scoring.op2_lm_scoring,
     "op3_license_scan": q_license_scan.op3_license_scan,
     "op4_ngram_jaccard_join": q_jaccard_join.op4_ngram_jaccard_join,
     "op5_quality_classifier": q_quality_classifier.op5_quality_classifier,
