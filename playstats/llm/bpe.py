@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from playstats.llm.common import prepare, text_column
 
 #: Bytes of text whose pieces are merged together.
-CORPUS_BYTES = 12 << 20
+CORPUS_BYTES = 8 << 20
 #: Ranks whose index entries are sorted together.
 BAND_BITS = 8
 NONE = np.int32(2**31 - 1)

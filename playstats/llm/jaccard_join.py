@@ -24,7 +24,7 @@ Shingles and classes are known by 64-bit hashes; a class id that two
 different sets share is found by a second hash, and the classes get new ids.
 
 Defined results: a null or empty text has no shingles, size 0, and links with
-nothing. Rows with equal ids and different texts are different texts. The
+nothing. Rows with equal ids and different texts are two documents. The
 component of a row is the smallest id among the rows of its component, nulls
 last. Extra columns are not read, or passed on by ``drop_near_copies``.
 """
@@ -87,6 +87,12 @@ def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
+def _identified(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """id, text and a hash of the text, which tells rows with the same id apart."""
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("t"), *more)
+
+
 def _probe_length(counts: np.ndarray, percent: int) -> np.ndarray:
     """How many of a set's first shingles a linked set may share only one of."""
     return np.where(counts > 0, counts - (percent * counts + 99) // 100 + 1, 0)
@@ -97,7 +103,7 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, log2: int = LOG2_COUNTERS):
         self.spark = prepare(docs.sparkSession)
-        self.docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+        self.docs = _identified(docs, id_col, text_col)
         self.words, self.percent, self.log2 = words, percent, log2
         self.seed = 0
         self.entries, self.levels = self._enter()
@@ -117,12 +123,12 @@ class JaccardJoin:
     # passes over the texts
 
     def _enter(self) -> tuple[DataFrame, np.ndarray]:
-        """(id, k, k2, n) of every row, and the sketches' levels."""
+        """(id, t, k, k2, n) of every row, and the sketches' levels."""
         words, log2, seed = self.words, self.log2, self.seed
 
         def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros((ORDERS, 1 << log2), np.uint32)
-            names = ["id", "k", "k2", "n", "slice", "counts"]
+            names = ["id", "t", "k", "k2", "n", "slice", "counts"]
             for batch in batches:
                 for part in slices(batch, "text", 4 << 20):
                     h, r = shingle_sets(text_column(part, "text"), words)
@@ -130,11 +136,11 @@ class JaccardJoin:
                     for order in range(ORDERS):
                         np.add.at(counts[order], _counters(h, order, log2), 1)
                     none = [pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())]
-                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(k), pa.array(k2), pa.array(n.astype(np.int64)), *none], names=names)
+                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(k), pa.array(k2), pa.array(n.astype(np.int64)), *none], names=names)
             size = min(SLICE, 1 << log2)
             for at, block in enumerate(counts.reshape(-1, size)):
                 if block.any():
-                    none = [pa.nulls(1, pa.int64())] * 4
+                    none = [pa.nulls(1, pa.int64())] * 5
                     yield pa.RecordBatch.from_arrays([*none, pa.array([at], pa.int32()), pa.array([block.tobytes()])], names=names)
 
         def merge(table: pa.Table) -> pa.Table:
@@ -144,7 +150,7 @@ class JaccardJoin:
             level = np.minimum(np.round(8 * np.log2(1 + total.astype(float))), 255).astype(np.uint8)
             return pa.table({"slice": table.column("slice")[:1], "level": pa.array([level.tobytes()])})
 
-        schema = "id bigint, k bigint, k2 bigint, n bigint, slice int, counts binary"
+        schema = "id bigint, t bigint, k bigint, k2 bigint, n bigint, slice int, counts binary"
         # few tasks, so that there are few sketches to add up
         made = cut_lineage(self.docs.coalesce(self.spark.sparkContext.defaultParallelism).mapInArrow(enter, schema), "jaccard-entries")
         size = min(SLICE, 1 << log2)
@@ -152,7 +158,7 @@ class JaccardJoin:
         merged = made.where("slice is not null").groupBy("slice").applyInArrow(merge, "slice int, level binary")
         for row in merged.toLocalIterator():  # ORDERS * 2 ** log2 bytes at any input
             levels[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(row["level"], np.uint8)
-        return made.where("slice is null").select("id", "k", "k2", "n"), levels.reshape(ORDERS, -1)
+        return made.where("slice is null").select("id", "t", "k", "k2", "n"), levels.reshape(ORDERS, -1)
 
     def _prefixes(self) -> DataFrame:
         """(token, k, n, place): the prefix of every class under order A."""
@@ -243,17 +249,34 @@ class JaccardJoin:
         return links, components(links, classes)
 
     def row_components(self) -> DataFrame:
-        """(id, n, k, component, first): of every row; ``first`` is the id of the class's smallest row."""
+        """Of every row: id, t, n, the ``component`` (its smallest id) and whether the row ``leads`` it.
+
+        The leading rows have the smallest id and its class; a text without
+        shingles leads itself.
+        """
         _, labels = self.links()
-        classes = self.classes().select("k", F.col("label.id").alias("own"))
-        found = classes.join(labels.select("k", F.col("label.id").alias("component")), "k", "left")
-        found = found.select("k", F.coalesce("component", "own").alias("component"))
-        out = self.entries.withColumn("key", F.when(F.col("n") > 0, F.col("k")))
-        out = out.join(found.withColumnRenamed("k", "key"), "key", "left")
-        return out.select("id", "n", "k", F.coalesce("component", "id").alias("component"))
+        found = self.classes().select("k", F.col("label").alias("own")).join(labels, "k", "left")
+        found = found.select(F.col("k").alias("key"), F.coalesce("label", "own").alias("label"))
+        out = self.entries.withColumn("key", F.when(F.col("n") > 0, F.col("k"))).join(found, "key", "left")
+        leads = (F.col("n") == 0) | (F.col("id").eqNullSafe(F.col("label.id")) & (F.col("k") == F.col("label.k")))
+        component = F.when(F.col("n") > 0, F.col("label.id")).otherwise(F.col("id"))
+        return out.select("id", "t", "n", component.alias("component"), leads.alias("leads"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row: id, ``n_shingles`` and ``component_id``."""
     found = JaccardJoin(docs, id_col, text_col, words, percent).row_components()
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs``, all columns, with one row for each component: the one with the smallest id.
+
+    Rows that repeat an id and its text are one document.
+    """
+    found = JaccardJoin(docs, id_col, text_col, words, percent).row_components()
+    lead = found.where("leads").select(F.col("id").alias("lead_id"), F.col("t").alias("lead_t")).distinct()
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = _identified(docs, id_col, text_col, packed).select("id", "t", "row")
+    same = F.col("id").eqNullSafe(F.col("lead_id")) & F.col("t").eqNullSafe(F.col("lead_t"))
+    return rows.join(lead, same, "left_semi").dropDuplicates(["id", "t"]).select("row.*")

@@ -13,8 +13,8 @@
    are taken in hashed order while their running sum fits.
 
 Only DataFrame expressions are used. The sources' table is never collected:
-every round of the bisection evaluates 31 exponents by one aggregation and
-so halves the interval five times. Sums over blocks come before any window,
+every round of the bisection evaluates 15 exponents by one aggregation and
+so halves the interval four times. Sums over blocks come before any window,
 so a source with most of the rows is a few rows a block in its window, and
 single documents are ordered in the crossing blocks only.
 
@@ -34,7 +34,7 @@ from playstats.llm.common import prepare, words_of
 from playstats.session import cut_lineage
 
 TARGET_ENTROPY, MAX_REPEATS, BLOCK_TOKENS = 0.99, 2.0, 200_000
-ROUNDS, POINTS = 7, 31
+ROUNDS, POINTS = 9, 15
 
 
 def block_of(doc_id: Column, n_blocks: int) -> Column:
