@@ -89,6 +89,53 @@ def string_hashes(values: pa.Array) -> np.ndarray:
     return np.fromiter((h(v) for v in values.to_pylist()), dtype=np.uint64, count=len(values))
 
 
+#: A random value for each byte, and an odd base with its inverse, for hashes of many words at once.
+_BYTE_VALUES = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word, from running sums over the bytes of all of them.
+
+    A word's sum of ``value(byte) * base ** place`` is a difference of two
+    running sums, moved to place 0 by the base's inverse.
+    """
+    if not len(words):
+        return np.empty(0, np.uint64)
+    words = words if words.offset == 0 else pa.concat_arrays([words])
+    ends = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
+    low, high = int(ends[0]), int(ends[-1])
+    data = np.frombuffer(words.buffers()[2], np.uint8)[low:high] if high > low else np.empty(0, np.uint8)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data)), out=sums[1:])
+        at = sums[ends - low]
+        hashes = (at[1:] - at[:-1]) * _powers(_INVERSE, len(data) + 1)[ends[:-1] - low]
+        return mix64(hashes + np.diff(ends).astype(np.uint64))
+
+
+def sort_rows(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The order by row, then by 64-bit key.
+
+    One sort of both packed into 64 bits; should two keys of a row differ in
+    their cut-off bits only, both are sorted in full.
+    """
+    bits = max(int(rows.max(initial=0)).bit_length(), 1)
+    packed = rows.astype(np.uint64) << np.uint64(64 - bits) | keys >> np.uint64(bits)
+    order = np.argsort(packed)
+    packed, sorted_keys = packed[order], keys[order]
+    if ((packed[1:] == packed[:-1]) & (sorted_keys[1:] != sorted_keys[:-1])).any():
+        return np.lexsort((keys, rows))
+    return order
+
+
 def word_codes(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Each word's place in the list of the distinct words, and that list."""
     encoded = pc.dictionary_encode(words)

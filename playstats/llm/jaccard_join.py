@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playstats.llm import bloom
-from playstats.llm.common import mix64, prepare, slices, text_column
+from playstats.llm.common import mix64, prepare, slices, sort_rows, text_column
 from playstats.llm.components import components
 from playstats.llm.shingles import shingle_sets
 from playstats.session import cut_lineage
 
 WORDS, PERCENT = 5, 80
 #: Counters of one sketch, and of one slice of it.
-LOG2_COUNTERS, SLICE = 23, 1 << 14
+LOG2_COUNTERS, SLICE = 22, 1 << 12
 ORDERS = 2
 
 
@@ -74,7 +74,7 @@ def _prefix_keys(h: np.ndarray, levels: np.ndarray, order: int, log2: int) -> np
 
 def _in_order(h: np.ndarray, r: np.ndarray, keys: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The first ``length[row]`` shingles of each row by ``keys``: hashes, rows, places."""
-    order = np.lexsort((keys, r))
+    order = sort_rows(r, keys)
     h, r = h[order], r[order]
     counts = np.bincount(r, minlength=len(length))
     place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -134,7 +134,7 @@ class JaccardJoin:
                     h, r = shingle_sets(text_column(part, "text"), words)
                     k, k2, n = _set_ids(h, r, part.num_rows, seed)
                     for order in range(ORDERS):
-                        np.add.at(counts[order], _counters(h, order, log2), 1)
+                        counts[order] += np.bincount(_counters(h, order, log2), minlength=1 << log2).astype(np.uint32)
                     none = [pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())]
                     yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(k), pa.array(k2), pa.array(n.astype(np.int64)), *none], names=names)
             size = min(SLICE, 1 << log2)

@@ -139,11 +139,13 @@ def quality_metrics(
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep.
 
-    The verdict is computed in the same projection as the row, so nothing is
-    joined back and repeated ids are judged by their own texts.
+    Row and verdict come from the same projection, so nothing is joined back
+    and repeated ids are judged by their own texts. The generator keeps the
+    optimizer from pushing the verdict, and all metrics with it, down as a
+    filter condition in which every metric is written out again.
     """
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text")
     )
     judged = quality_metrics(packed, "row", "text", **options)
-    return judged.where("kept").select("row.*")
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("row"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from playstats.llm.common import flat_words, mix64, string_hashes, word_codes
+from playstats.llm.common import flat_words, mix64, sort_rows, word_hashes
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -15,8 +15,7 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     words has none.
     """
     words, rows = flat_words(texts, lower=True)
-    codes, distinct = word_codes(words)
-    hashes = mix64(string_hashes(distinct))[codes] if len(distinct) else np.empty(0, np.uint64)
+    hashes = word_hashes(words)
     n = len(texts)
     counts = np.bincount(rows, minlength=n)
     out_hash, out_row = [], []
@@ -39,7 +38,7 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     if not out_hash:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     h, r = np.concatenate(out_hash), np.concatenate(out_row)
-    order = np.lexsort((h, r))
+    order = sort_rows(r, h)
     h, r = h[order], r[order]
     first = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])
     return h[first], r[first]
