@@ -44,8 +44,15 @@ def words_of(text: Column) -> Column:
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    """A text column of a batch, null as empty, with 64-bit offsets."""
-    return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
+    """A text column of a batch, null as empty, with 64-bit offsets.
+
+    The rows are copied if the batch is a part of another: some string
+    kernels misread arrays that begin inside their buffers.
+    """
+    column = batch.column(name)
+    if column.offset or batch.num_rows and np.frombuffer(column.buffers()[1], np.int32, 1)[0]:
+        column = column.take(pa.array(np.arange(len(column))))
+    return pc.fill_null(column.cast(pa.large_string()), "")
 
 
 def flat_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:

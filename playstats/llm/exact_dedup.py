@@ -70,13 +70,13 @@ class Directory:
             cells = {r["prefix"]: (r["n"], r["one"]) for r in rows}
             again = []
             for start in todo:
-                cls._split(start, depth, below, cells, capacity, done, again)
+                cls._split(start, depth, below, cells, capacity, done, again, below + step > 63)
             todo, depth = again, below
         starts = sorted(done)
         return cls(starts, [done[k] for k in starts])
 
     @staticmethod
-    def _split(start, depth, below, cells, capacity, done, again) -> None:
+    def _split(start, depth, below, cells, capacity, done, again, deepest) -> None:
         """Halve the range at ``start`` until its parts fit or the count resolves no more."""
         stack = [(start, depth)]
         while stack:
@@ -86,10 +86,10 @@ class Directory:
             if sum(n for n, _ in part) <= capacity or (len(part) == 1 and part[0][1]):
                 done[first] = d
             elif d == below:
-                if below + step < 64:
-                    again.append(first)
-                else:
+                if deepest:  # keys that differ in the last bits only
                     done[first] = d
+                else:
+                    again.append(first)
             else:
                 stack += [(first, d + 1), (first + (1 << (63 - d)), d + 1)]
 

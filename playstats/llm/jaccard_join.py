@@ -47,6 +47,8 @@ WORDS, PERCENT = 5, 80
 #: Counters of one sketch, and of one slice of it.
 LOG2_COUNTERS, SLICE = 22, 1 << 12
 ORDERS = 2
+#: Bytes of text whose shingles a worker holds at once.
+SLICE_BYTES = 1 << 20
 
 
 def _set_ids(h: np.ndarray, r: np.ndarray, n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,16 +129,24 @@ class JaccardJoin:
         words, log2, seed = self.words, self.log2, self.seed
 
         def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros((ORDERS, 1 << log2), np.uint32)
+            counts, held = np.zeros((ORDERS, 1 << log2), np.uint32), []
+
+            def add_up() -> None:
+                for order in range(ORDERS if held else 0):
+                    counts[order] += np.bincount(_counters(np.concatenate(held), order, log2), minlength=1 << log2).astype(np.uint32)
+                held.clear()
+
             names = ["id", "t", "k", "k2", "n", "slice", "counts"]
             for batch in batches:
-                for part in slices(batch, "text", 4 << 20):
+                for part in slices(batch, "text", SLICE_BYTES):
                     h, r = shingle_sets(text_column(part, "text"), words)
                     k, k2, n = _set_ids(h, r, part.num_rows, seed)
-                    for order in range(ORDERS):
-                        counts[order] += np.bincount(_counters(h, order, log2), minlength=1 << log2).astype(np.uint32)
+                    held.append(h)
+                    if sum(map(len, held)) >= 1 << 20:
+                        add_up()
                     none = [pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())]
                     yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(k), pa.array(k2), pa.array(n.astype(np.int64)), *none], names=names)
+            add_up()
             size = min(SLICE, 1 << log2)
             for at, block in enumerate(counts.reshape(-1, size)):
                 if block.any():
@@ -168,7 +178,7 @@ class JaccardJoin:
         def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for batch in batches:
-                for part in slices(batch, "text", 4 << 20):
+                for part in slices(batch, "text", SLICE_BYTES):
                     h, r = shingle_sets(text_column(part, "text"), words)
                     k, _, n = _set_ids(h, r, part.num_rows, seed)
                     # a set that this task has had already is not repeated
@@ -190,7 +200,7 @@ class JaccardJoin:
             held = np.frombuffer(wanted.value, np.uint8)
             for batch in batches:
                 near = bloom.in_filter(held, batch.column("id").fill_null(-1).to_numpy(), bloom.LOG2_BITS) | batch.column("id").is_null().to_numpy(zero_copy_only=False)
-                for part in slices(batch.filter(pa.array(near)), "text", 4 << 20):
+                for part in slices(batch.filter(pa.array(near)), "text", SLICE_BYTES):
                     h, r = shingle_sets(text_column(part, "text"), words)
                     k, _, n = _set_ids(h, r, part.num_rows, seed)
                     b, br, _ = _in_order(h, r, _prefix_keys(h, shared.value, 1, log2), _probe_length(n, percent))
@@ -208,13 +218,19 @@ class JaccardJoin:
         indexed = F.when(na <= nb, pa_ < self._index_length(na)).otherwise(pb < self._index_length(nb))
         return sizes & rest & indexed
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The linked ones of distinct pairs (a, b)."""
+    def _verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """The linked ones of stored distinct pairs (a, b)."""
+        if pairs.isEmpty():
+            return pairs
+        wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b"))).distinct()
+        ids = wanted.join(classes, "k").select(F.col("label.id").alias("id"))
+        sets = cut_lineage(self._sets(ids).join(wanted, "k", "left_semi").dropDuplicates(["k"]), f"jaccard-sets-{name}")
         a, b = (sets.select(F.col("k").alias(s), F.col("under_b").alias(f"u{s}"), F.col("shingles").alias(f"s{s}")) for s in ("a", "b"))
         both = pairs.join(a.select("a", "ua"), "a").join(b.select("b", "ub"), "b").where(F.arrays_overlap("ua", "ub")).select("a", "b")
         whole = both.join(a.select("a", "sa"), "a").join(b.select("b", "sb"), "b")
         whole = whole.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-        return whole.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * self.percent).select("a", "b")
+        linked = whole.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * self.percent)
+        return cut_lineage(linked.select("a", "b"), f"jaccard-links-{name}")
 
     def classes(self) -> DataFrame:
         """(k, label, n): the classes with shingles; a label is (no id, smallest id, k)."""
@@ -232,20 +248,15 @@ class JaccardJoin:
         led = groups.alias("x").join(leaders.select("token", "lead.*").alias("y"), "token").where(F.col("x.k") != F.col("y.k"))
         pair = (F.least("x.k", "y.k").alias("a"), F.greatest("x.k", "y.k").alias("b"))
         first = cut_lineage(led.where(self._bounded("x", "y")).select(*pair).distinct(), "jaccard-first")
-        # a pair that sizes and places drop at the leader may yet meet another class: those classes need sets too
-        x, y = groups.alias("x"), groups.alias("y")
-        ids = groups.select("k").distinct().join(classes, "k").select(F.col("label.id").alias("id"))
-        sets = cut_lineage(self._sets(ids).join(groups.select("k").distinct(), "k", "left_semi").dropDuplicates(["k"]), "jaccard-sets")
-
-        links = cut_lineage(self._verified(first, sets), "jaccard-links")
+        links = self._verified(first, classes, "first")
         joined = components(links, classes)
         part = groups.join(joined.select("k", F.col("label.k").alias("part")), "k", "left")
         part = cut_lineage(part.withColumn("part", F.coalesce("part", "k")), "jaccard-parts")
         x, y = part.alias("x"), part.alias("y")
         meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.k") < F.col("y.k")) & (F.col("x.part") != F.col("y.part"))
         rest = x.join(y, meets & self._bounded("x", "y")).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
-        more = cut_lineage(self._verified(rest.join(first, ["a", "b"], "left_anti"), sets), "jaccard-more")
-        links = links.union(more)
+        rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "jaccard-rest")
+        links = links.union(self._verified(rest, classes, "rest"))
         return links, components(links, classes)
 
     def row_components(self) -> DataFrame:

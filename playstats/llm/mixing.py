@@ -19,7 +19,7 @@ so a source with most of the rows is a few rows a block in its window, and
 single documents are ordered in the crossing blocks only.
 
 Defined results: a null text has no tokens; documents without tokens fit any
-quota. A null source is a source of its own. Rows that share an id within a
+quota, but a source without any tokens has no weight and is left out. A null source is a source of its own. Rows that share an id within a
 source and block are chosen together. With no tokens at all the result is
 empty. Extra columns are passed on by ``mix_sources``.
 """
