@@ -133,19 +133,18 @@ def quality_metrics(
     ratio = {n: F.when(F.col(w) > 0, F.col(p) / F.col(w)).otherwise(0.0).alias(n) for n, (p, w) in RATIOS.items()}
     df = df.select("*", *ratio.values())
     df = df.withColumn("base_failed", ~_passes(base_rules)).withColumn("kept", ~F.col("base_failed") & _passes(rules))
-    return df.withColumnRenamed("id", id_col)
+    # A generator of one row: a filter on a metric stays above it. Pushed down,
+    # the condition would write out every metric anew wherever another uses it.
+    return df.withColumnRenamed("id", id_col).select(F.inline(F.array(F.struct("*"))))
 
 
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep.
 
     Row and verdict come from the same projection, so nothing is joined back
-    and repeated ids are judged by their own texts. The generator keeps the
-    optimizer from pushing the verdict, and all metrics with it, down as a
-    filter condition in which every metric is written out again.
+    and repeated ids are judged by their own texts.
     """
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text")
     )
-    judged = quality_metrics(packed, "row", "text", **options)
-    return judged.select(F.inline(F.when(F.col("kept"), F.array("row"))))
+    return quality_metrics(packed, "row", "text", **options).where("kept").select("row.*")
