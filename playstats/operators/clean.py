@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playstats.functions import first_element, list_length
-from playstats.operators.joins import broadcast_if_small
 from playstats.schemas import (
     DEFAULT_LATE_CUT,
     KEEP,
@@ -44,7 +43,7 @@ def reason_expr(late_cut: str = DEFAULT_LATE_CUT) -> Column:
 
 def with_reason(plays: DataFrame, artists: DataFrame, late_cut: str = DEFAULT_LATE_CUT) -> DataFrame:
     """Adds ``artist_id`` (first artist) and ``reason``."""
-    dim = broadcast_if_small(artists.select("artist_id", "gender", "type"))
+    dim = artists.select("artist_id", "gender", "type")
     first = plays.withColumn("artist_id", first_element("artist_ids"))
     return (
         first.join(dim, "artist_id", "left")

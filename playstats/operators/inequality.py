@@ -13,6 +13,7 @@ adds the rest. Results are joined back by value where rows are needed.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from playstats.session import cut_lineage
 
@@ -75,16 +76,19 @@ def gini(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFram
 
     On the histogram a block of f equal values v that follows ``below``
     smaller items holds ranks below+1 .. below+f, so it adds
-    v * (2 (f below + f (f+1)/2) - f (n+1)). The numerator is exact
-    (decimal(38,0)); like the reference, a value <= 0 is an error (C4).
+    v * (2 (f below + f (f+1)/2) - f (n+1)). For integer values the numerator
+    is exact (decimal(38,0)); other values are added up as doubles. Like the
+    reference, a value <= 0 is an error (C4).
     """
     groups = groups or []
+    exact = isinstance(df.schema[value].dataType, IntegralType)
+    number = DEC if exact else "double"
     hist = value_histogram(df, value, groups).withColumn("vf", F.col(value) * F.col("f"))
     hb = with_below(hist, value, ["f", "vf"], groups).withColumnsRenamed({"f_total": "n", "vf_total": "s"})
-    f = F.col("f").cast(DEC)
-    term = F.col(value).cast(DEC) * (
-        F.lit(2).cast(DEC) * (f * F.col("f_below").cast(DEC)) + f * (f + F.lit(1).cast(DEC))
-        - f * (F.col("n").cast(DEC) + F.lit(1).cast(DEC))
+    f = F.col("f").cast(number)
+    term = F.col(value).cast(number) * (
+        F.lit(2).cast(number) * (f * F.col("f_below").cast(number)) + f * (f + F.lit(1).cast(number))
+        - f * (F.col("n").cast(number) + F.lit(1).cast(number))
     )
     out = hb.groupBy(*groups).agg(
         F.sum(term).alias("num"), F.max("n").alias("n"), F.max("s").alias("s"), F.min(value).alias("lo")
@@ -160,13 +164,16 @@ def lorenz_points(df: DataFrame, value: str, groups: list[str] | None = None) ->
 def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """AGG31: histogram of ln(value) in ``bins`` equal-width bins between the
     smallest and largest log; the last bin is closed on the right. Values
-    <= 0 have no log and are left out. Only non-empty bins are returned."""
+    <= 0 have no log and are left out. Every bin is returned, empty ones with
+    0 users; without any value there is no bin."""
     logs = df.where(F.col(value) > 0).select(F.ln(F.col(value).cast("double")).alias("x"))
     bounds = logs.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counted = logs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("users"))
+    every = logs.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).where(lo.isNotNull())
+    counted = every.join(counted, "bin", "left").withColumn("users", F.coalesce("users", F.lit(0)))
     # edges rounded to 9 places: ln may differ in the last bit between engines
     return counted.select(
         "bin",

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playstats.functions import credit_genres, epoch_to_date, month_of, year_of
-from playstats.operators.joins import broadcast_if_small
+from playstats.functions import credit_genres, epoch_to_date, list_length, month_of, year_of
 from playstats.operators.rollups import (
     explode_artists,
     first_artist,
@@ -37,13 +36,18 @@ def attribute_distribution(artist_user: DataFrame, artists: DataFrame, attr: str
 
 
 def _distribution_of_pairs(pairs: DataFrame, artists: DataFrame, attr: str) -> DataFrame:
-    dim = broadcast_if_small(artists.select("artist_id", attr))
-    joined = pairs.join(dim, "artist_id", "left")
-    return joined.groupBy(attr).agg(
-        F.sum("n").cast("bigint").alias("n_plays"),
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("artist_id").alias("unique_count"),
+    """An artist has one value of the attribute, so artists are counted after
+    grouping by artist, users after a distinct of (attribute, user): no row is
+    copied for a second distinct count."""
+    dim = artists.select("artist_id", attr)
+    per_artist = pairs.groupBy("artist_id").agg(F.sum("n").alias("n")).join(dim, "artist_id", "left")
+    plays = per_artist.groupBy(attr).agg(
+        F.sum("n").cast("bigint").alias("n_plays"), F.count("artist_id").alias("unique_count")
     )
+    users = pairs.join(dim, "artist_id", "left").select(F.col(attr).alias("__attr"), "user_id").distinct()
+    users = users.groupBy("__attr").agg(F.count("user_id").alias("n_users"))
+    both = plays.join(users, F.col(attr).eqNullSafe(F.col("__attr")))
+    return both.select(attr, "n_plays", "n_users", "unique_count")
 
 
 def gender_distribution(plays: DataFrame, artists: DataFrame) -> DataFrame:
@@ -125,7 +129,7 @@ def genre_distribution(plays: DataFrame, recordings: DataFrame) -> DataFrame:
     """AGG10: plays joined to genre mentions (a genre named twice in one
     credit counts twice); recordings without a genre form the NULL group."""
     pairs = key_user_pairs(plays.select("rec_id", "user_id"), "rec_id")
-    genres = broadcast_if_small(recording_genres(recordings))
+    genres = recording_genres(recordings)
     joined = pairs.join(genres, "rec_id", "left")
     return joined.groupBy("genre_name").agg(
         F.sum("n").cast("bigint").alias("n_plays"),
@@ -136,22 +140,33 @@ def genre_distribution(plays: DataFrame, recordings: DataFrame) -> DataFrame:
 def distinct_counts(plays: DataFrame) -> DataFrame:
     """AGG14: counted after UNNEST, so rows with an empty/NULL list count for
     nothing."""
-    ex = explode_artists(plays, "rec_id", "release_id", "user_id")
-    return ex.agg(
-        F.countDistinct("rec_id").alias("n_tracks"),
-        F.countDistinct("artist_id").alias("n_artists"),
-        F.countDistinct("release_id").alias("n_releases"),
-        F.countDistinct("user_id").alias("n_users"),
+    credited = plays.where(list_length("artist_ids") > 0)
+    artists = plays.select(F.explode("artist_ids").alias("artist_id"))
+    return _distinct_counts(
+        n_tracks=credited.select("rec_id"),
+        n_artists=artists,
+        n_releases=credited.select("release_id"),
+        n_users=credited.select("user_id"),
     )
 
 
+def _distinct_counts(**columns: DataFrame) -> DataFrame:
+    """One row with the distinct non-NULL values of each one-column frame;
+    each is combined before its own shuffle, and no row is copied."""
+    counted = None
+    for name, column in columns.items():
+        one = column.distinct().agg(F.count(column.columns[0]).alias(name))
+        counted = one if counted is None else counted.crossJoin(one)  # rows: one and one
+    return counted
+
+
 def clean_distinct_counts(clean_plays: DataFrame) -> DataFrame:
     """AGG26: the same on clean plays with a scalar artist."""
-    return clean_plays.agg(
-        F.countDistinct("rec_id").alias("n_tracks"),
-        F.countDistinct("artist_id").alias("n_artists"),
-        F.countDistinct("release_id").alias("n_releases"),
-        F.countDistinct("user_id").alias("n_users"),
+    return _distinct_counts(
+        n_tracks=clean_plays.select("rec_id"),
+        n_artists=clean_plays.select("artist_id"),
+        n_releases=clean_plays.select("release_id"),
+        n_users=clean_plays.select("user_id"),
     )
 
 
@@ -168,7 +183,7 @@ def artist_users(plays: DataFrame, artists: DataFrame, solo_only: bool = False)
     per_artist = explode_artists(rows, "user_id").groupBy("artist_id").agg(
         F.countDistinct("user_id").alias("unique_users")
     )
-    dim = broadcast_if_small(artists.select("artist_id", "gender"))
+    dim = artists.select("artist_id", "gender")
     return per_artist.join(dim, "artist_id", "left").select("artist_id", "gender", "unique_users")
 
 

@@ -286,7 +286,7 @@ def q_rec_stats(fx: Fixtures) -> DataFrame:
 )
 def q_user_stats(fx: Fixtures) -> DataFrame:
     """AGG4."""
-    return rollups.entity_stats(fx.plays, "user_id").orderBy(asc("first_time"), asc("user_id"))
+    return rollups.entity_stats(fx.plays, "user_id").orderBy(F.asc_nulls_last("first_time"), asc("user_id"))
 
 
 @register(
@@ -298,7 +298,7 @@ def q_user_stats(fx: Fixtures) -> DataFrame:
 )
 def q_release_stats(fx: Fixtures) -> DataFrame:
     """AGG5."""
-    return rollups.entity_stats(fx.plays, "release_id").orderBy(asc("first_time"), asc("release_id"))
+    return rollups.entity_stats(fx.plays, "release_id").orderBy(F.asc_nulls_last("first_time"), asc("release_id"))
 
 
 @register("type_histogram", with_fixtures("select type, count(*) as count from artist group by type"))
@@ -547,14 +547,30 @@ def q_gini_by_gender(fx: Fixtures) -> DataFrame:
     return inequality.gini(stats.artist_users(fx.plays, fx.artist, solo_only=True), "unique_users", ["gender"])
 
 
+@register(
+    "gini_order_price",
+    """
+select o_orderpriority as priority, n as n_items, round(sum((2 * i - n - 1) * x) / (n * s), 9) as gini
+from (select o_orderpriority, o_totalprice as x, row_number() over (partition by o_orderpriority order by o_totalprice) as i,
+             count(*) over (partition by o_orderpriority) as n, sum(o_totalprice) over (partition by o_orderpriority) as s
+      from orders where o_totalprice is not null) t
+group by o_orderpriority, n, s""",
+)
+def q_gini_order_price(fx: Fixtures) -> DataFrame:
+    """AGG30 on a double column: Gini of order prices, per priority."""
+    prices = fx.table("orders").select(F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"))
+    return inequality.gini(prices, "price", ["priority"]).withColumn("gini", F.round("gini", 9))
+
+
 @register(
     "log_play_histogram",
     with_fixtures(
         """
-select bin, round(lo + bin * w, 9) as bin_start, round(lo + (bin + 1) * w, 9) as bin_end, users
-from (select cast(case when w > 0 then least(floor((x - lo) / w), 99) else 0 end as integer) as bin,
+select bin, round(lo + bin * w, 9) as bin_start, round(lo + (bin + 1) * w, 9) as bin_end,
+       coalesce(users, 0) as users
+from (select cast(unnest(range(100)) as integer) as bin) every left join (select cast(case when w > 0 then least(floor((x - lo) / w), 99) else 0 end as integer) as bin,
              count(*) as users
-      from l, b group by 1) t, b""",
+      from l, b group by 1) t using (bin), b""",
         {
             **PPU_CTE,
             "l": "select ln(cast(play_count as double)) as x from ppu where play_count > 0",

@@ -1,10 +1,11 @@
 """Play-history views derived from the driver's test tables.
 
 The test tables are TPC-H shaped; these views give them the shape of the
-reference's inputs (FIXTURES.md §2): an order is a play, the suppliers of
-its first two lines are its artists, its smallest part is the recording.
-Modulo rules below do not subset data; they plant edge cases that the
-reference's rules must handle (unknown artists, empty lists, duplicate rows).
+reference's inputs (FIXTURES.md §2): a line of an order is a play, its
+supplier the first artist, its part the recording; even lines have a second
+artist. Modulo rules below do not subset data; they add rows with the edge
+cases that the reference's rules must handle (unknown artists, empty and NULL
+lists, duplicate rows).
 
 Every view is lazy and derived from whole tables.
 """
@@ -24,6 +25,8 @@ TABLES = (
 
 
 MATERIALIZED_VIEWS = ("artist", "recording", "plays", "actions", "plays_uuid", "artist_uuid")
+#: Planted artists have keys from here on; no supplier has.
+UNKNOWN_ARTIST = 1_000_000_000
 _STORED: dict[tuple[str, str], "Fixtures"] = {}
 
 
@@ -64,8 +67,8 @@ class Fixtures:
     # -- metadata -----------------------------------------------------------
     @property
     def artist(self) -> DataFrame:
-        """Artist dimension: suppliers ending in 9 are left out on purpose
-        so that plays reference unknown artists."""
+        """Artist dimension: every supplier. Planted plays refer to artists
+        beyond it."""
         return self._memo(
             "artist",
             lambda: self.spark.sql(
@@ -75,7 +78,7 @@ class Fixtures:
                        when 2 then 'Non-binary' when 3 then 'Not applicable' end as gender,
                   case when s_suppkey % 7 < 5 then 'Person'
                        when s_suppkey % 7 = 5 then 'Group' end as type
-                from {supplier} where s_suppkey % 10 <> 9
+                from {supplier}
                 """,
                 supplier=self.table("supplier"),
             ),
@@ -108,29 +111,18 @@ class Fixtures:
     @property
     def plays_base(self) -> DataFrame:
         def build():
-            order_lists = self.spark.sql(
-                """
-                select l_orderkey, case when size(a0) > 0 then a0 end as a, rec_id
-                from (select l_orderkey,
-                             transform(array_sort(collect_list(struct(l_linenumber, l_suppkey, l_partkey))
-                                                  filter (where l_linenumber <= 2)),
-                                       x -> x.l_suppkey) as a0,
-                             min(l_partkey) as rec_id
-                      from {lineitem} group by l_orderkey)
-                """,
-                lineitem=self.table("lineitem"),
-            )
             return self.spark.sql(
                 """
                 select o_custkey % 4 as segment, o_custkey as user_id,
-                       unix_timestamp(cast(o_orderdate as timestamp)) as timestamp,
-                       case when l_orderkey % 23 = 0 then cast(array() as array<bigint>) else a end
-                         as artist_ids,
-                       cast(p_size as bigint) as release_id, rec_id, o_orderkey
-                from {order_lists} join {orders} on o_orderkey = l_orderkey
-                     join {part} on p_partkey = rec_id
+                       unix_timestamp(cast(o_orderdate as timestamp)) + 60 * l_linenumber as timestamp,
+                       case when l_linenumber % 2 = 0
+                            then array(cast(l_suppkey as bigint), cast((7 * l_suppkey + l_linenumber) % 10 + 1 as bigint))
+                            else array(cast(l_suppkey as bigint)) end as artist_ids,
+                       cast(p_size as bigint) as release_id, l_partkey as rec_id, o_orderkey, l_linenumber
+                from {lineitem} join {orders} on o_orderkey = l_orderkey
+                     join {part} on p_partkey = l_partkey
                 """,
-                order_lists=order_lists,
+                lineitem=self.table("lineitem"),
                 orders=self.table("orders"),
                 part=self.table("part"),
             )
@@ -141,13 +133,20 @@ class Fixtures:
     def plays(self) -> DataFrame:
         """Plays with integer keys, a ``segment`` and exact duplicate rows."""
         def build():
-            # plays_base UNION ALL (plays_base where o_orderkey % 50 = 0),
-            # written as one pass that emits those rows twice
-            cols = ["segment", "user_id", "timestamp", "artist_ids", "release_id", "rec_id"]
-            copies = F.when(F.col("o_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-                F.array(F.lit(1))
-            )
-            return self.plays_base.select(*cols, F.explode(copies).alias("_copy")).drop("_copy")
+            # one pass that emits every row, and beside the first line of some
+            # orders a copy of it with no, an unknown, a NULL or the same artist
+            cols = ["segment", "user_id", "timestamp", "release_id", "rec_id"]
+            first, order = F.col("l_linenumber") == 1, F.col("o_orderkey")
+            unknown = F.array((F.lit(UNKNOWN_ARTIST) + F.col("user_id") % 50).cast("bigint"))
+            added = [
+                F.when(first & (order % 23 == 0), F.struct(F.array().cast("array<bigint>").alias("artist_ids"))),
+                F.when(first & (order % 29 == 0), F.struct(unknown.alias("artist_ids"))),
+                F.when(first & (order % 31 == 0), F.struct(F.lit(None).cast("array<bigint>").alias("artist_ids"))),
+                F.when(order % 50 == 0, F.struct("artist_ids")),
+            ]
+            lists = F.array_compact(F.array(F.struct("artist_ids"), *added))
+            rows = self.plays_base.select(*cols, F.explode(lists).alias("x"))
+            return rows.select(*cols[:3], "x.artist_ids", *cols[3:])
 
         return self._memo("plays", build)
 

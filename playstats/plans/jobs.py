@@ -12,7 +12,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playstats.operators import checks, clean, encode, inequality, recsys, rollups, stats
-from playstats.operators.joins import broadcast_if_small
 from playstats.session import cut_lineage
 from playstats.sources import (
     read_dumps,
@@ -101,7 +100,7 @@ def statistics_suite(plays: DataFrame, artists: DataFrame, recordings: DataFrame
     urel = cut_lineage(
         plays.groupBy("release_id", "user_id").agg(F.count("user_id").alias("n")), "user_release"
     )
-    dim = broadcast_if_small(artists.select("artist_id", "gender", "type"))
+    dim = artists.select("artist_id", "gender", "type")
     uag = ua.join(dim, "artist_id", "left")
 
     def dist(pairs: DataFrame, attr: str) -> DataFrame:
@@ -117,7 +116,7 @@ def statistics_suite(plays: DataFrame, artists: DataFrame, recordings: DataFrame
     per_artist_solo = (
         uag.where(F.col("n_solo") > 0).groupBy("artist_id", "gender").agg(F.count("user_id").alias("unique_users"))
     )
-    genres = broadcast_if_small(stats.recording_genres(recordings))
+    genres = stats.recording_genres(recordings)
     return {
         "gender_distribution": dist(uag, "gender"),
         "gender_distribution_active": dist(uag.join(active, "user_id", "left_semi"), "gender"),

@@ -9,7 +9,7 @@ involved.
 
 from __future__ import annotations
 
-from playstats.plans.fixtures import uuid_sql
+from playstats.plans.fixtures import UNKNOWN_ARTIST, uuid_sql
 
 FIXTURE_CTES = {
     "artist": """
@@ -17,7 +17,7 @@ select cast(s_suppkey as bigint) as artist_id, s_name as name,
   case s_suppkey % 5 when 0 then 'Male' when 1 then 'Female' when 2 then 'Non-binary'
        when 3 then 'Not applicable' end as gender,
   case when s_suppkey % 7 < 5 then 'Person' when s_suppkey % 7 = 5 then 'Group' end as type
-from supplier where s_suppkey % 10 <> 9""",
+from supplier""",
     "recording": """
 select p_partkey as rec_id, p_name as title,
   case when p_partkey % 11 = 0 then null
@@ -27,22 +27,28 @@ select p_partkey as rec_id, p_name as title,
                    lower(p_type), '"}]}},{"artist":{"genres":[{"name":"', lower(p_type), '"}]}}]')
   end as artist_credit
 from part""",
-    "order_lists": """
-select l_orderkey, list(l_suppkey order by l_linenumber, l_suppkey, l_partkey)
-         filter (where l_linenumber <= 2) as a,
-       min(l_partkey) as rec_id
-from lineitem group by l_orderkey""",
     "plays_base": """
 select o_custkey % 4 as segment, o_custkey as user_id,
-       cast(epoch(o_orderdate) as bigint) as timestamp,
-       case when l_orderkey % 23 = 0 then []::bigint[] else a end as artist_ids,
-       cast(p_size as bigint) as release_id, rec_id, o_orderkey
-from order_lists join orders on o_orderkey = l_orderkey join part on p_partkey = rec_id""",
-    "plays": """
+       cast(epoch(o_orderdate) as bigint) + 60 * l_linenumber as timestamp,
+       case when l_linenumber % 2 = 0
+            then [l_suppkey::bigint, ((7 * l_suppkey + l_linenumber) % 10 + 1)::bigint]
+            else [l_suppkey::bigint] end as artist_ids,
+       cast(p_size as bigint) as release_id, l_partkey as rec_id, o_orderkey, l_linenumber
+from lineitem join orders on o_orderkey = l_orderkey join part on p_partkey = l_partkey""",
+    "plays": f"""
 select segment, user_id, timestamp, artist_ids, release_id, rec_id from plays_base
 union all
 select segment, user_id, timestamp, artist_ids, release_id, rec_id from plays_base
-where o_orderkey % 50 = 0""",
+where o_orderkey % 50 = 0
+union all
+select segment, user_id, timestamp, []::bigint[], release_id, rec_id from plays_base
+where l_linenumber = 1 and o_orderkey % 23 = 0
+union all
+select segment, user_id, timestamp, [{UNKNOWN_ARTIST} + user_id % 50]::bigint[], release_id, rec_id from plays_base
+where l_linenumber = 1 and o_orderkey % 29 = 0
+union all
+select segment, user_id, timestamp, null::bigint[], release_id, rec_id from plays_base
+where l_linenumber = 1 and o_orderkey % 31 = 0""",
     "actions": """
 select user_id as "user", artist_id as item, min(timestamp) as first_time
 from (select user_id, timestamp, unnest(artist_ids) as artist_id from plays) t

@@ -42,8 +42,8 @@ EVAL_MIN_TEST_ROWS = 2
 EVAL_MIN_USER_ACTIONS = 5
 RBP_PATIENCE = 0.85
 
-# Raw play-file names: "<segment dir>/<user uuid>.txt.zst".
-PLAY_FILE_RE = r"([a-f0-9]+)/([a-f0-9-]+)\.txt\.zst$"
+# Raw play-file paths end in "/<segment dir>/<user uuid>.txt.zst".
+PLAY_FILE_RE = r"/([a-f0-9]+)/([a-f0-9-]+)\.txt\.zst$"
 UUID_RE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 # Rows per output file of the chunked writer.

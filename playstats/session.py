@@ -73,19 +73,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local tests) is a private scratch folder created.
+    unset and all tasks run in this process (local tests) is a private scratch
+    folder created; on a cluster that would lose rows, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_DIRS:
             _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="playstats-ckpt-")
-            try:
-                spark.conf.set("spark.checkpoint.dir", _LOCAL_DIRS[app])
-            except Exception:  # some sessions reject setting core configs
-                pass
             spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
         return _LOCAL_DIRS[app]
     if _ACTIVE_DIRS.get(spark.sparkContext.applicationId) != configured:

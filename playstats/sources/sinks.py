@@ -6,8 +6,6 @@ an order.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playstats.schemas import ROWS_PER_FILE
@@ -51,28 +49,22 @@ def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame([], df.schema)
 
 
-def append_segments(df: DataFrame, path: str, partition_col: str = "segment") -> None:
-    """SNK7: incremental load, segment by segment.
+def append_segments(df: DataFrame, path: str, load: str, partition_col: str = "segment") -> None:
+    """SNK7: incremental load, input file by input file.
 
-    The reference appends file by file, so a rerun appends twice. Here each
-    write replaces only the partitions it contains (dynamic partition
-    overwrite): rerunning a segment is idempotent.
+    Rows land under ``segment=<s>/load=<load>/``. ``load`` names what is
+    loaded (an input file): a second file of a segment adds to the first, and
+    loading a file again replaces only its own rows. The overwrite mode is an
+    option of this write, so the session's other queries keep theirs.
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            df.write.mode("overwrite")
-            .partitionBy(partition_col)
-            .option("compression", "zstd")
-            .parquet(path)
-        )
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    (
+        df.withColumn("load", F.lit(load))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col, "load")
+        .option("compression", "zstd")
+        .parquet(path)
+    )
 
 
 def write_recommendations(recs: DataFrame, path: str) -> None:
@@ -95,8 +87,8 @@ def audit_lines(audit: DataFrame) -> list[str]:
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
-    """SNK8: audit counts as a text log next to the data."""
-    lines = audit_lines(audit)
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w") as fh:
-        fh.write("\n".join(lines) + "\n")
+    """SNK8: audit counts as a text log (a folder with one part) next to the
+    data, written by Spark, so that any store it can write to will do."""
+    spark = audit.sparkSession
+    lines = "\n".join(audit_lines(audit))
+    spark.createDataFrame([(lines,)], "value string").coalesce(1).write.mode("overwrite").text(path)

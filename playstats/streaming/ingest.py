@@ -23,7 +23,9 @@ def play_file_stream(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """STR1 source: staging plays from files as they arrive (same columns
     as ``read_play_files``)."""
-    reader = spark.readStream.schema(RAW_PLAY_SCHEMA).option("sep", "\t").option("header", "false")
+    reader = (
+        spark.readStream.schema(RAW_PLAY_SCHEMA).option("sep", "\t").option("header", "false").option("mode", "FAILFAST")
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(os.path.join(root, pattern))

@@ -42,7 +42,7 @@ def test_prep_and_rollup_jobs(spark, workdir):
     kept = jobs.prep_plays(spark, fx.plays, fx.artist, workdir, LATE_CUT)
     assert _same(kept.select("user_id", "timestamp", "artist_id", "release_id", "rec_id"),
                  entry.queries()["clean_plays"](spark, SMALL_SF))
-    log = open(os.path.join(workdir, "exclusion_log.txt")).read()
+    log = "\n".join(r["value"] for r in spark.read.text(os.path.join(workdir, "exclusion_log.txt")).collect()) + "\n"
     assert log.startswith("initial: ")
     jobs.solo_artist_counts(kept, workdir)
     assert _same(spark.read.parquet(os.path.join(workdir, "user_artist_counts")),

@@ -5,10 +5,11 @@ import pytest
 from conftest import ORACLE_SF
 
 import __spark_entry__ as entry
+from playstats.plans.catalog import CATALOG
 from playstats.plans.compare import compare_frames, duck_connection
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {name: q for name, q in entry.queries().items() if name in CATALOG}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in CATALOG}
 
 
 @pytest.fixture(scope="module")

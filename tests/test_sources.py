@@ -89,10 +89,14 @@ def test_segmented_write_and_idempotent_append(spark, workdir):
     assert len(files) >= plays.count() // 500
     solo = os.path.join(workdir, "solo")
     part = plays.where(F.size("artist_ids") == 1)
-    append_segments(part.where("segment = 0"), solo)
-    append_segments(part.where("segment = 0"), solo)  # rerun: no double append
-    append_segments(part.where("segment = 1"), solo)
-    assert read_table(spark, solo).count() == part.where("segment in (0, 1)").count()
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    append_segments(part.where("segment = 0 and user_id % 2 = 0"), solo, "file-a")
+    append_segments(part.where("segment = 0 and user_id % 2 = 1"), solo, "file-b")
+    append_segments(part.where("segment = 1"), solo, "file-c")
+    for _ in range(2):  # a second file of a segment adds to the first, a file loaded again adds nothing
+        append_segments(part.where("segment = 0 and user_id % 2 = 0"), solo, "file-a")
+        assert read_table(spark, solo).count() == part.where("segment in (0, 1)").count()
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
 
 
 def test_small_writers(spark, workdir):
