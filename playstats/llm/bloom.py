@@ -19,7 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-LOG2_BITS, N_HASHES = 26, 3
+from playstats.llm.common import released
+
+LOG2_BITS, N_HASHES = 25, 3
 #: Bytes of one slice of a filter; slices are merged independently.
 SLICE = 1 << 15
 
@@ -80,7 +82,7 @@ def _merged(hashes: DataFrame, log2_bits: int, which: str) -> bytes:
 
     # one filter for each core, not for each split of the input
     tasks = hashes.sparkSession.sparkContext.defaultParallelism
-    slices = hashes.coalesce(tasks).mapInArrow(build, "slice int, once binary, twice binary")
+    slices = hashes.coalesce(tasks).mapInArrow(released(build), "slice int, once binary, twice binary")
     merged = slices.groupBy("slice").applyInArrow(merge, "slice int, bits binary")
     size = min(SLICE, (1 << log2_bits) // 8)
     out = bytearray((1 << log2_bits) // 8)

@@ -22,14 +22,13 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from playstats.llm.common import prepare, text_column
+from playstats.llm.common import prepare, released, text_column
 
 #: Bytes of text whose pieces are merged together.
 CORPUS_BYTES = 8 << 20
@@ -235,11 +234,12 @@ def encode_pieces(vocabulary: Vocabulary, pieces: pa.Array) -> tuple[np.ndarray,
 
 def encode_texts(vocabulary: Vocabulary, pattern, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and how many each text has. ``pattern`` is compiled."""
-    split = [pattern.findall(t) for t in texts]
+    # one text's pieces at a time are Python strings
+    split = [pa.array(pattern.findall(t), pa.large_string()) for t in texts]
     per_text = np.array([len(s) for s in split], np.int64)
     if not per_text.sum():
         return np.empty(0, np.int32), per_text
-    flat = pc.dictionary_encode(pa.array(list(chain.from_iterable(split)), pa.large_string()))
+    flat = pc.dictionary_encode(pa.concat_arrays(split))
     del split
     codes = flat.indices.to_numpy(zero_copy_only=False)
     ids, counts = encode_pieces(vocabulary, flat.dictionary)
@@ -280,7 +280,7 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
             yield flush()
 
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return plain.mapInArrow(encode, "id bigint, ids array<int>").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(released(encode), "id bigint, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode_lists(vocabulary: Vocabulary, lists: pa.Array) -> list[bytes]:
@@ -304,4 +304,4 @@ def bpe_decode(encoded: DataFrame, rank_file: str, id_col: str = "doc_id", ids_c
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=["id", "ids", "decoded"])
 
     plain = encoded.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
-    return plain.mapInArrow(decode, "id bigint, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(released(decode), "id bigint, ids array<int>, decoded binary").withColumnRenamed("id", id_col)

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from playstats.llm import bloom
-from playstats.llm.common import prepare, string_hashes, text_column
+from playstats.llm.common import prepare, released, string_hashes, text_column
 from playstats.session import cut_lineage
 
 #: Entries that a bucket holds before it is split, and bits that one count of the entries resolves.
@@ -104,7 +104,7 @@ def _entries(docs: DataFrame) -> DataFrame:
             sha = [hashlib.sha256(t.encode()).hexdigest() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(text_keys(texts)), pa.array(sha)], names=["id", "key", "sha256"])
 
-    entered = docs.mapInArrow(enter, "id bigint, key bigint, sha256 string")
+    entered = docs.mapInArrow(released(enter), "id bigint, key bigint, sha256 string")
     return cut_lineage(entered.withColumn("row", F.monotonically_increasing_id()), "dedup-entries")
 
 
@@ -168,10 +168,10 @@ def _chained(docs: DataFrame, entries: DataFrame, directory: Directory, log2_bit
                 names=list(out),
             )
 
-    merged = docs.mapInArrow(merge_own, "bucket bigint, key bigint, text binary")
+    merged = docs.mapInArrow(released(merge_own), "bucket bigint, key bigint, text binary")
     # buckets are ranges of keys, and so are the owners' partitions; a key has one owner
     owners = merged.repartition("bucket").sortWithinPartitions("bucket", "key")
-    return owners.mapInArrow(own, "bucket bigint, key bigint, sha256 string, chain bigint")
+    return owners.mapInArrow(released(own), "bucket bigint, key bigint, sha256 string, chain bigint")
 
 
 def exact_dedup(

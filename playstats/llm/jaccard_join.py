@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playstats.llm import bloom
-from playstats.llm.common import mix64, prepare, slices, sort_rows, text_column
+from playstats.llm.common import mix64, prepare, released, slices, sort_rows, text_column
 from playstats.llm.components import components
 from playstats.llm.shingles import shingle_sets
 from playstats.session import cut_lineage
@@ -162,7 +162,7 @@ class JaccardJoin:
 
         schema = "id bigint, t bigint, k bigint, k2 bigint, n bigint, slice int, counts binary"
         # few tasks, so that there are few sketches to add up
-        made = cut_lineage(self.docs.coalesce(self.spark.sparkContext.defaultParallelism).mapInArrow(enter, schema), "jaccard-entries")
+        made = cut_lineage(self.docs.coalesce(self.spark.sparkContext.defaultParallelism).mapInArrow(released(enter), schema), "jaccard-entries")
         size = min(SLICE, 1 << log2)
         levels = np.zeros((ORDERS << log2) // size * size, np.uint8)
         merged = made.where("slice is not null").groupBy("slice").applyInArrow(merge, "slice int, level binary")
@@ -188,7 +188,7 @@ class JaccardJoin:
                     columns = [h.view(np.int64), k[r], n[r].astype(np.int32), place.astype(np.int32)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "k", "n", "place"])
 
-        return self.docs.mapInArrow(prefixes, "token bigint, k bigint, n int, place int")
+        return self.docs.mapInArrow(released(prefixes), "token bigint, k bigint, n int, place int")
 
     def _sets(self, ids: DataFrame) -> DataFrame:
         """(k, under_b, shingles) of the rows with these ids."""
@@ -206,7 +206,7 @@ class JaccardJoin:
                     b, br, _ = _in_order(h, r, _prefix_keys(h, shared.value, 1, log2), _probe_length(n, percent))
                     yield pa.RecordBatch.from_arrays([pa.array(k), _lists(b, br, part.num_rows), _lists(h, r, part.num_rows)], names=["k", "under_b", "shingles"])
 
-        return self.docs.mapInArrow(sets, "k bigint, under_b array<bigint>, shingles array<bigint>")
+        return self.docs.mapInArrow(released(sets), "k bigint, under_b array<bigint>, shingles array<bigint>")
 
     # candidates and links
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from playstats.llm import bloom
-from playstats.llm.common import SPACE, prepare, slices, string_hashes, text_column
+from playstats.llm.common import SPACE, prepare, released, slices, string_hashes, text_column
 
 MIN_CHARS = 10
 
@@ -61,7 +61,7 @@ def _lost_keys(docs: DataFrame, min_chars: int, log2_bits: int) -> DataFrame:
                 keys, _ = line_keys(text_column(part, "text"), min_chars)
                 yield pa.RecordBatch.from_arrays([pa.array(string_hashes(keys).view(np.int64))], names=["h"])
 
-    packed = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(docs.select("text").mapInArrow(hash_keys, "h bigint"), log2_bits))
+    packed = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(docs.select("text").mapInArrow(released(hash_keys), "h bigint"), log2_bits))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(packed.value, np.uint8)
@@ -72,7 +72,7 @@ def _lost_keys(docs: DataFrame, min_chars: int, log2_bits: int) -> DataFrame:
                 ids = pc.take(part.column("id"), pa.array(rows[hit]))
                 yield pa.RecordBatch.from_arrays([ids, pc.filter(keys, pa.array(hit)).cast(pa.string())], names=["id", "key"])
 
-    held = docs.mapInArrow(suspects, "id bigint, key string")
+    held = docs.mapInArrow(released(suspects), "id bigint, key string")
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"))
     first = held.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("first <> end")
     losing = held.join(first.select("key", "first"), "key").where(place != F.col("first"))
@@ -104,7 +104,7 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, min_chars: int, log2_bit
     schema = "id bigint, text string, n_lines bigint, n_dropped bigint"
     if row:
         schema += f", row {joined.schema['row'].dataType.simpleString()}"
-    return joined.mapInArrow(rewrite, schema)
+    return joined.mapInArrow(released(rewrite), schema)
 
 
 def line_dedup_report(

@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from playstats.llm.common import flat_words, prepare, slices, text_column, word_codes
+from playstats.llm.common import flat_words, prepare, released, slices, text_column, word_codes
 from playstats.session import cut_lineage
 
 FEATURES = (
@@ -161,7 +161,7 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists], names=["id", "x"])
 
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return cut_lineage(plain.mapInArrow(measure, "id bigint, x array<double>"), "quality-features")
+    return cut_lineage(plain.mapInArrow(released(measure), "id bigint, x array<double>"), "quality-features")
 
 
 def fit_classifier(measured: DataFrame, labels: DataFrame, **options) -> QuadraticDiscriminant:
