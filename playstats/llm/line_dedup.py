@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from playstats.llm import bloom
 from playstats.llm.common import SPACE, prepare, released, slices, string_hashes, text_column
+from playstats.session import cut_lineage
 
 MIN_CHARS = 10
 
@@ -72,10 +73,12 @@ def _lost_keys(docs: DataFrame, min_chars: int, log2_bits: int) -> DataFrame:
                 ids = pc.take(part.column("id"), pa.array(rows[hit]))
                 yield pa.RecordBatch.from_arrays([ids, pc.filter(keys, pa.array(hit)).cast(pa.string())], names=["id", "key"])
 
-    held = docs.mapInArrow(released(suspects), "id bigint, key string")
+    # stored: read twice below, and a join of stored tables can split a hot line's rows
+    held = cut_lineage(docs.mapInArrow(released(suspects), "id bigint, key string"), "line-suspects")
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"))
     first = held.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("first <> end")
-    losing = held.join(first.select("key", "first"), "key").where(place != F.col("first"))
+    first = cut_lineage(first.select("key", "first"), "line-firsts")
+    losing = held.join(first, "key").where(place != F.col("first"))
     return losing.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 
