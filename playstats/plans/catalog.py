@@ -12,10 +12,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from playstats.functions import fill_unknown
 from playstats.operators import clean, encode, inequality, recsys, rollups, stats
 from playstats.plans.fixtures import Fixtures
 from playstats.plans.oracle_fixtures import with_fixtures
 from playstats.schemas import epoch_seconds
+from playstats.session import stage_path
+from playstats.sources.playfiles import parse_plays, reject_counts
+from playstats.sources.sinks import append_segments
 
 # Parameters of the registered queries on the test tables. Orders run from
 # 1995-01-01 to 2001-08-01, so the reference's 2014 cut would remove nothing;
@@ -369,6 +373,67 @@ def q_distinct_plays(fx: Fixtures) -> DataFrame:
     return clean.distinct_plays(fx.plays)
 
 
+# ---------------------------------------------------------------------------
+# Ingestion (SRC2-4, PRJ1, FN1-2, C2-3, SNK7)
+# ---------------------------------------------------------------------------
+_UUID = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+_NAME = "/([a-f0-9]+)/([a-f0-9-]+)[.]txt[.]zst$"
+PARSED_CTE = {
+    "named": f"""
+select case when regexp_matches(file_path, '{_NAME}') then regexp_extract(file_path, '{_NAME}', 1) end as segment,
+       case when regexp_matches(file_path, '{_NAME}') then regexp_extract(file_path, '{_NAME}', 2) end as user_id,
+       timestamp, string_split(lower(artist_ids), ',') as artist_ids, lower(release_id) as release_id, lower(rec_id) as rec_id
+from raw_plays""",
+    "parsed": f"""
+select *, case when user_id is null then 'file_name'
+               when not regexp_full_match(user_id, '{_UUID}') then 'user_id'
+               when timestamp is null then 'timestamp'
+               when len(list_filter(artist_ids, lambda x: not regexp_full_match(x, '{_UUID}'))) > 0 then 'artist_ids'
+               when not regexp_full_match(release_id, '{_UUID}') then 'release_id'
+               when not regexp_full_match(rec_id, '{_UUID}') then 'rec_id' end as reject
+from named""",
+}
+
+
+@register(
+    "parsed_plays",
+    with_fixtures("select segment, user_id, timestamp, artist_ids, release_id, rec_id from parsed where reject is null", PARSED_CTE),
+)
+def q_parsed_plays(fx: Fixtures) -> DataFrame:
+    """SRC2-3, PRJ1, FN1-2: raw rows that load, as plays."""
+    return parse_plays(fx.raw_plays).where("reject is null").drop("reject", "file_path")
+
+
+@register(
+    "rejected_rows",
+    with_fixtures("select reject, count(*) as n_rows from parsed where reject is not null group by reject", PARSED_CTE),
+)
+def q_rejected_rows(fx: Fixtures) -> DataFrame:
+    """SRC4, C2-3: raw rows that do not load, by reason."""
+    return reject_counts(parse_plays(fx.raw_plays))
+
+
+@register("appended_solo_plays", with_fixtures("select * from plays where len(artist_ids) = 1"))
+def q_appended_solo_plays(fx: Fixtures) -> DataFrame:
+    """SNK7: single-artist plays of two files appended to the same segments,
+    the first of them loaded twice, and read back."""
+    path = stage_path(fx.spark, "appended-solo")
+    solo, odd = clean.solo_plays(fx.plays), F.col("user_id") % 8 >= 4
+    for load, part in (("a", odd), ("b", ~odd), ("a", odd)):
+        append_segments(solo.where(part), path, load)
+    # a partition folder's value is read back as an int
+    return fx.spark.read.parquet(path).select(*[F.col(c).cast(solo.schema[c].dataType) for c in solo.columns])
+
+
+@register(
+    "artist_labels",
+    with_fixtures("select artist_id, coalesce(gender, 'Unknown') as gender, coalesce(type, 'Unknown') as type from artist"),
+)
+def q_artist_labels(fx: Fixtures) -> DataFrame:
+    """FN16: artists with the label for unknown values."""
+    return fx.artist.select("artist_id", fill_unknown("gender").alias("gender"), fill_unknown("type").alias("type"))
+
+
 @register("solo_plays", with_fixtures("select * from plays where len(artist_ids) = 1"))
 def q_solo_plays(fx: Fixtures) -> DataFrame:
     """SNK7, FLT2: single-artist plays (what the incremental append keeps)."""
@@ -487,14 +552,14 @@ def q_overview(fx: Fixtures) -> DataFrame:
     return stats.overview(stats.distinct_counts(fx.plays), dens, stats.monthly_plays(fx.plays))
 
 
-def _profile_sql(col: str) -> str:
+def _profile_sql(col: str, src: str = "ppu") -> str:
     return (
         f"select '{col}' as variable, round_even(cast(count({col}) as double), 2) as count, "
         f"round_even(avg({col}), 2) as mean, round_even(stddev_samp({col}), 2) as std, "
         f"round_even(cast(min({col}) as double), 2) as min, "
         f"round_even(quantile_cont({col}, 0.25), 2) as p25, round_even(quantile_cont({col}, 0.5), 2) as p50, "
         f"round_even(quantile_cont({col}, 0.75), 2) as p75, round_even(cast(max({col}) as double), 2) as max "
-        "from ppu"
+        f"from {src}"
     )
 
 
@@ -547,6 +612,15 @@ def q_gini_by_gender(fx: Fixtures) -> DataFrame:
     return inequality.gini(stats.artist_users(fx.plays, fx.artist, solo_only=True), "unique_users", ["gender"])
 
 
+@register(
+    "track_count_profile",
+    with_fixtures(_profile_sql("n_plays", "tp"), {"tp": "select rec_id, count(user_id) as n_plays from plays group by rec_id"}),
+)
+def q_track_count_profile(fx: Fixtures) -> DataFrame:
+    """AGG29: describe().round(2) of plays per track."""
+    return stats.numeric_profile(stats.track_popularity(fx.plays), ["n_plays"])
+
+
 @register(
     "gini_order_price",
     """

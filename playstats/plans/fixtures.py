@@ -182,6 +182,29 @@ class Fixtures:
             ),
         )
 
+    @property
+    def raw_plays(self) -> DataFrame:
+        """Raw text rows of play files: every play, and added rows with
+        upper-case keys, bad keys, no time, or a bad file name."""
+        return self._memo(
+            "raw_plays",
+            lambda: self.spark.sql(
+                """
+                with t as (select concat('/data/0', segment, '/', user_id, '.txt.zst') as file_path, timestamp,
+                                  array_join(artist_ids, ',') as artist_ids, release_id, rec_id
+                           from {plays})
+                select * from t
+                union all select file_path, timestamp, artist_ids, upper(release_id), upper(rec_id) from t where timestamp % 101 = 0
+                union all select file_path, timestamp, concat(artist_ids, ',x'), release_id, rec_id from t where timestamp % 103 = 0
+                union all select file_path, timestamp, artist_ids, 'bad', rec_id from t where timestamp % 107 = 0
+                union all select file_path, cast(null as bigint), artist_ids, release_id, rec_id from t where timestamp % 109 = 0
+                union all select replace(file_path, '/data/', '/data/xyz'), timestamp, artist_ids, release_id, rec_id
+                          from t where timestamp % 113 = 0
+                """,
+                plays=self.plays_uuid,
+            ),
+        )
+
     @property
     def artist_uuid(self) -> DataFrame:
         """Artist metadata keyed by UUID, as the metadata dump provides it."""

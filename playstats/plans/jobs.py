@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playstats.operators import checks, clean, encode, inequality, recsys, rollups, stats
 from playstats.session import cut_lineage
+from playstats.sources.playfiles import parse_plays, require_no_rejects, scan_play_files
 from playstats.sources import (
     read_dumps,
-    read_play_files,
     write_audit,
     write_csv_report,
     write_parquet,
@@ -40,13 +40,14 @@ def import_metadata(spark: SparkSession, dump_paths: dict[str, str], out_dir: st
 # -- PIPE2/PIPE3: dictionary and encoded plays ------------------------------------
 def import_plays(spark: SparkSession, play_root: str, out_dir: str, use_mapping: bool = True) -> None:
     """Raw play files -> id dictionary (``id_dictionary``) and plays by segment."""
-    staging = cut_lineage(read_play_files(spark, play_root), "staging")
+    parsed = cut_lineage(parse_plays(scan_play_files(spark, play_root)), "staging")
+    require_no_rejects(parsed)
+    staging = parsed.where("reject is null").drop("reject", "file_path")
     plays = staging
     if use_mapping:
-        ids = encode.build_id_dictionary(staging)
+        ids = cut_lineage(encode.build_id_dictionary(staging), "id-dictionary")
+        encode.check_code_capacity(ids)  # before anything is published
         write_parquet(ids, os.path.join(out_dir, "id_dictionary"))
-        ids = spark.read.parquet(os.path.join(out_dir, "id_dictionary"))
-        encode.check_code_capacity(ids)
         plays = encode.encode_plays(staging, ids)
     write_segmented_plays(plays, os.path.join(out_dir, "plays"))
 

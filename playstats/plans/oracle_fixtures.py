@@ -59,6 +59,17 @@ select segment, {uuid_sql('u', 'user_id')} as user_id, timestamp,
        {uuid_sql('r', 'release_id')} as release_id,
        {uuid_sql('c', 'rec_id')} as rec_id
 from plays""",
+    "raw_plays": """
+with t as (select concat('/data/0', segment, '/', user_id, '.txt.zst') as file_path, timestamp,
+                  case when len(artist_ids) = 0 then '' else array_to_string(artist_ids, ',') end as artist_ids,
+                  release_id, rec_id from plays_uuid)
+select * from t
+union all select file_path, timestamp, artist_ids, upper(release_id), upper(rec_id) from t where timestamp % 101 = 0
+union all select file_path, timestamp, artist_ids || ',x', release_id, rec_id from t where timestamp % 103 = 0
+union all select file_path, timestamp, artist_ids, 'bad', rec_id from t where timestamp % 107 = 0
+union all select file_path, null, artist_ids, release_id, rec_id from t where timestamp % 109 = 0
+union all select replace(file_path, '/data/', '/data/xyz'), timestamp, artist_ids, release_id, rec_id
+          from t where timestamp % 113 = 0""",
     "artist_uuid": f"""
 select {uuid_sql('a', 'artist_id')} as artist_id, name, gender, type from artist""",
 }

@@ -94,6 +94,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, grouped by application,
+    so that a finished run's stages go in one folder."""
+    app = spark.sparkContext.applicationId
+    return os.path.join(ensure_checkpoint_dir(spark), "playstats-stages", app, f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -102,9 +109,6 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     the lineage, and later plans start from a plain scan. Parquet is columnar
     and compressed, unlike an RDD checkpoint's serialized rows.
     """
-    spark = df.sparkSession
-    # grouped per application, so a finished run's stages go in one folder
-    app = spark.sparkContext.applicationId
-    path = os.path.join(ensure_checkpoint_dir(spark), "playstats-stages", app, f"{name}-{uuid.uuid4().hex}")
+    spark, path = df.sparkSession, stage_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

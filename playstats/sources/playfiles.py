@@ -13,14 +13,45 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playstats.functions import split_list
-from playstats.schemas import PLAY_FILE_RE, RAW_PLAY_SCHEMA
+from playstats.schemas import PLAY_FILE_RE, RAW_PLAY_SCHEMA, UUID_RE
 
 DEFAULT_GLOB = "*/*.txt.zst"
 
 
+def parse_plays(raw: DataFrame) -> DataFrame:
+    """SRC2-4, PRJ1, FN1-2, C2-3: raw rows (``file_path`` and the four text
+    columns) as plays, each with a ``reject`` reason, NULL for a good row.
+
+    Segment and user come from the file name; keys are lower-cased and must
+    be UUIDs; the user and the time must be known. Batch reads, streams and
+    queries all parse with this function.
+    """
+    path = F.col("file_path")
+    matched = F.regexp_extract(path, PLAY_FILE_RE, 0) != ""
+    bad = lambda c: F.col(c).isNotNull() & ~F.col(c).rlike(UUID_RE)
+    rows = raw.select(
+        F.when(matched, F.regexp_extract(path, PLAY_FILE_RE, 1)).alias("segment"),
+        F.when(matched, F.lower(F.regexp_extract(path, PLAY_FILE_RE, 2))).alias("user_id"),
+        "timestamp",
+        split_list(F.lower("artist_ids")).alias("artist_ids"),
+        F.lower("release_id").alias("release_id"),
+        F.lower("rec_id").alias("rec_id"),
+        path.alias("file_path"),
+    )
+    reject = (
+        F.when(F.col("user_id").isNull(), "file_name")
+        .when(bad("user_id"), "user_id")
+        .when(F.col("timestamp").isNull(), "timestamp")
+        .when(F.coalesce(F.exists("artist_ids", lambda x: ~x.rlike(UUID_RE)), F.lit(False)), "artist_ids")
+        .when(bad("release_id"), "release_id")
+        .when(bad("rec_id"), "rec_id")
+    )
+    return rows.withColumn("reject", reject)
+
+
 def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
-    """SRC1-3: rows of every play file with ``file_path``, ``segment`` and
-    ``user_id`` (NULL for names that do not match). Types are fixed."""
+    """SRC1, SRC5: raw rows of every play file with their ``file_path``.
+    Types are fixed; a line that does not parse fails the read."""
     raw = (
         spark.read.schema(RAW_PLAY_SCHEMA)
         .option("sep", "\t")
@@ -28,32 +59,29 @@ def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB)
         .option("mode", "FAILFAST")
         .csv(os.path.join(root, pattern))
     )
-    path = F.col("_metadata.file_path")
-    matched = F.regexp_extract(path, PLAY_FILE_RE, 0) != ""
-    return raw.select(
-        path.alias("file_path"),
-        F.when(matched, F.regexp_extract(path, PLAY_FILE_RE, 1)).alias("segment"),
-        F.when(matched, F.lower(F.regexp_extract(path, PLAY_FILE_RE, 2))).alias("user_id"),
-        "timestamp",
-        "artist_ids",
-        "release_id",
-        "rec_id",
-    )
+    return raw.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
 def read_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
     """SRC1-4 + PRJ1: staging plays (segment, user_id, timestamp, artist_ids
     array, release_id, rec_id). Files whose name is not ``<hex>/<uuid>.txt.zst``
-    are skipped (see ``rejected_files``)."""
-    rows = scan_play_files(spark, root, pattern)
-    return rows.where(F.col("user_id").isNotNull()).select(
-        "segment",
-        "user_id",
-        "timestamp",
-        split_list(F.lower("artist_ids")).alias("artist_ids"),
-        F.lower("release_id").alias("release_id"),
-        F.lower("rec_id").alias("rec_id"),
-    )
+    are skipped (see ``rejected_files``); other rejects are left to the load
+    (``require_no_rejects``)."""
+    rows = parse_plays(scan_play_files(spark, root, pattern))
+    return rows.where(F.col("user_id").isNotNull()).drop("reject", "file_path")
+
+
+def reject_counts(parsed: DataFrame) -> DataFrame:
+    """(reject, n_rows) of parsed rows that are not good."""
+    return parsed.where(F.col("reject").isNotNull()).groupBy("reject").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def require_no_rejects(parsed: DataFrame) -> None:
+    """C2/C3 as a hard check: a row with a bad key aborts the load; rows of
+    skipped files do not count."""
+    found = {r["reject"]: r["n_rows"] for r in reject_counts(parsed).collect() if r["reject"] != "file_name"}
+    if found:
+        raise ValueError(f"rows that cannot be loaded: {found}")
 
 
 def rejected_files(spark: SparkSession, root: str, pattern: str = "*/*") -> DataFrame:

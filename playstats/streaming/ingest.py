@@ -14,9 +14,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playstats.functions import first_element, split_list
-from playstats.schemas import PLAY_FILE_RE, RAW_PLAY_SCHEMA
-from playstats.sources.playfiles import DEFAULT_GLOB
+from playstats.functions import first_element
+from playstats.schemas import RAW_PLAY_SCHEMA
+from playstats.sources.playfiles import DEFAULT_GLOB, parse_plays
 
 
 def play_file_stream(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB,
@@ -29,15 +29,8 @@ def play_file_stream(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(os.path.join(root, pattern))
-    path = F.col("_metadata.file_path")
-    return raw.where(F.regexp_extract(path, PLAY_FILE_RE, 0) != "").select(
-        F.regexp_extract(path, PLAY_FILE_RE, 1).alias("segment"),
-        F.lower(F.regexp_extract(path, PLAY_FILE_RE, 2)).alias("user_id"),
-        "timestamp",
-        split_list(F.lower("artist_ids")).alias("artist_ids"),
-        F.lower("release_id").alias("release_id"),
-        F.lower("rec_id").alias("rec_id"),
-    )
+    parsed = parse_plays(raw.select("*", F.col("_metadata.file_path").alias("file_path")))
+    return parsed.where(F.col("user_id").isNotNull()).drop("reject", "file_path")
 
 
 def start_ingest(stream: DataFrame, out_path: str, checkpoint: str,

@@ -179,3 +179,71 @@ def test_file_name_pattern(spark):
     )
     ok = [r["ok"] for r in df.select((F.regexp_extract("p", PLAY_FILE_RE, 0) != "").alias("ok")).collect()]
     assert ok == [True, False, False]
+
+
+def test_file_name_pattern_is_anchored(spark):
+    from playstats.sources.playfiles import parse_plays, require_no_rejects
+
+    uid, key = "0" * 8 + "-0000-0000-0000-" + "0" * 12, "a" * 8 + "-0000-0000-0000-" + "b" * 12
+    rows = [
+        (f"/data/0a/{uid}.txt.zst", 1, key, key.upper(), key, None),
+        (f"/data/xyz0a/{uid}.txt.zst", 1, key, key, key, "file_name"),
+        (f"/data/0a/{uid}.txt", 1, key, key, key, "file_name"),
+        ("/data/0a/ab-12.txt.zst", 1, key, key, key, "user_id"),
+        (f"/data/0a/{uid}.txt.zst", None, key, key, key, "timestamp"),
+        (f"/data/0a/{uid}.txt.zst", 1, f"{key},", key, key, "artist_ids"),
+        (f"/data/0a/{uid}.txt.zst", 1, None, "x", key, "release_id"),
+        (f"/data/0a/{uid}.txt.zst", 1, None, None, "x", "rec_id"),
+        (f"/data/0a/{uid}.txt.zst", 1, None, None, None, None),
+    ]
+    raw = spark.createDataFrame(rows, "file_path string, timestamp bigint, artist_ids string, release_id string, rec_id string, want string")
+    parsed = parse_plays(raw)
+    assert [r["reject"] for r in parsed.collect()] == [r[5] for r in rows]
+    with pytest.raises(ValueError, match="artist_ids"):
+        require_no_rejects(parsed)
+    require_no_rejects(parse_plays(raw.limit(3)))
+
+
+def test_gini_of_doubles(spark):
+    from playstats.operators.inequality import gini
+
+    values = [0.5, 1.5, 2.4, 7.3, 7.3, 0.1]
+    x = sorted(values)
+    n = len(x)
+    want = sum((2 * i - n - 1) * v for i, v in enumerate(x, 1)) / (n * sum(x))
+    got = gini(spark.createDataFrame([(v,) for v in values], "v double"), "v").first()["gini"]
+    assert got == pytest.approx(want)
+
+
+def test_log_histogram_has_all_bins(spark):
+    from playstats.operators.inequality import log_histogram
+
+    df = spark.createDataFrame([(1,), (1,), (1000,)], "v bigint")
+    rows = {r["bin"]: r["users"] for r in log_histogram(df, "v", 10).collect()}
+    assert rows == {b: {0: 2, 9: 1}.get(b, 0) for b in range(10)}
+    assert log_histogram(df.limit(0), "v", 10).count() == 0
+
+
+def test_building_queries_starts_no_size_probe(spark):
+    from conftest import SMALL_SF
+    from playstats.plans.catalog import CATALOG
+    from playstats.plans.fixtures import Fixtures
+
+    fx = Fixtures.stored(spark, SMALL_SF)
+    spark.sparkContext.setJobGroup("building", "queries are only built")
+    for name in ("gender_distribution", "clean_plays", "genre_distribution", "type_distribution"):
+        CATALOG[name].build(fx)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+
+
+def test_views_hold_every_line_and_supplier(spark):
+    from conftest import SMALL_SF
+    from playstats.plans.fixtures import Fixtures
+
+    fx = Fixtures.stored(spark, SMALL_SF)
+    assert fx.artist.count() == fx.table("supplier").count()
+    assert fx.plays_base.count() == fx.table("lineitem").count()
+    suppliers = fx.plays.select(F.explode("artist_ids").alias("a")).distinct()
+    assert fx.table("lineitem").select(F.col("l_suppkey").alias("a")).distinct().join(suppliers, "a", "left_anti").count() == 0
