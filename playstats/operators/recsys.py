@@ -34,6 +34,10 @@ from playstats.schemas import (
 )
 
 
+#: Item ids of one run when items are ranked, and ranks of a window that are broadcast.
+ITEMS_OF_A_RUN, HEAD_RANKS = 4096, 1000
+
+
 def _ts(day: str) -> Column:
     return F.lit(day).cast("date").cast("timestamp")
 
@@ -147,12 +151,18 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     """REC3 model: (k, item_id, cnt, pop_rank) — rank 1 is the item with the
     most training actions in window k, ties by item id.
 
-    The ranking window is partitioned by evaluation window; its rows are the
-    distinct items trained in that window, bounded by the item catalogue.
+    Items of a window are cut into runs of ids with the same count. A run is
+    numbered inside, and the runs' sizes, one row a run, give each its offset,
+    so no task sorts all items of a window.
     """
     pop = train.groupBy("k", "item_id").agg(F.count(F.lit(1)).alias("cnt"))
-    order = Window.partitionBy("k").orderBy(F.desc("cnt"), "item_id")
-    return pop.withColumn("pop_rank", F.row_number().over(order))
+    pop = pop.withColumn("run", F.floor(F.col("item_id") / ITEMS_OF_A_RUN))
+    runs = pop.groupBy("k", "cnt", "run").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("k").orderBy(F.desc("cnt"), "run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("k", "cnt", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("k", "cnt", "run").orderBy("item_id")
+    ranked = pop.withColumn("place", F.row_number().over(inside)).join(runs, ["k", "cnt", "run"])
+    return ranked.select("k", "item_id", "cnt", (F.col("offset") + F.col("place")).cast("int").alias("pop_rank"))
 
 
 def user_groups(labelled: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
@@ -197,12 +207,25 @@ def user_lists(groups: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
     return groups.where(F.col("n_test") > 0).select("k", "user_id", free.alias("recs"), "truth", "n_test")
 
 
-def recommend_top_n(lists: DataFrame, ranks: DataFrame) -> DataFrame:
-    """REC3: (k, user_id, item_id, rank); ranks past the window's items drop."""
-    firsts = lists.select("k", "user_id", F.posexplode("recs").alias("pos", "pop_rank"))
-    return firsts.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"]).select(
-        "k", "user_id", "item_id", (F.col("pos") + 1).cast("bigint").alias("rank")
+def recommend_top_n(lists: DataFrame, ranks: DataFrame, head: int = HEAD_RANKS) -> DataFrame:
+    """REC3: (k, user_id, item_id, rank); ranks past the window's items drop.
+
+    Almost all lists end among a window's first ranks. Those ranks' items are
+    one array a window (at most ``head`` ids), broadcast and looked up in the
+    row, so the users of a window do not meet on its few popular ranks. Lists
+    that reach further are joined to the ranks.
+    """
+    place = (F.col("pos") + 1).cast("bigint").alias("rank")
+    first = ranks.where(F.col("pop_rank") <= head).groupBy("k").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pop_rank", "item_id"))), lambda x: x["item_id"]).alias("items")
     )
+    near = F.array_max("recs") <= head
+    items = F.transform("recs", lambda r: F.get("items", r - 1))
+    looked_up = lists.where(near).join(F.broadcast(first), "k").select("k", "user_id", F.posexplode(items).alias("pos", "item_id"))
+    far = lists.where(~near).select("k", "user_id", F.posexplode("recs").alias("pos", "pop_rank"))
+    joined = far.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"])
+    columns = ("k", "user_id", "item_id", place)
+    return looked_up.where(F.col("item_id").isNotNull()).select(*columns).unionByName(joined.select(*columns))
 
 
 def _inv_log_discount(r: Column) -> Column:

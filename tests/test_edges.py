@@ -247,3 +247,33 @@ def test_views_hold_every_line_and_supplier(spark):
     assert fx.plays_base.count() == fx.table("lineitem").count()
     suppliers = fx.plays.select(F.explode("artist_ids").alias("a")).distinct()
     assert fx.table("lineitem").select(F.col("l_suppkey").alias("a")).distinct().join(suppliers, "a", "left_anti").count() == 0
+
+
+def test_ranks_and_lists_past_the_broadcast_head(spark, monkeypatch):
+    from playstats.operators import recsys
+
+    rows = [(0, u, i) for u in range(6) for i in range(0, 40, u + 1)] + [(1, 1, 7), (1, 2, 9)] + [(0, 50, i) for i in range(40)]
+    train = spark.createDataFrame(rows, "k int, user_id bigint, item_id bigint")
+    monkeypatch.setattr(recsys, "ITEMS_OF_A_RUN", 4)
+    ranks = recsys.popularity_ranks(train)
+    count = {}
+    for k, _, i in rows:
+        count[k, i] = count.get((k, i), 0) + 1
+    want = {}
+    for k in (0, 1):
+        for r, (_, i) in enumerate(sorted((-n, i) for (kk, i), n in count.items() if kk == k), 1):
+            want[k, i] = r
+    assert {(r["k"], r["item_id"]): r["pop_rank"] for r in ranks.collect()} == want
+    labelled = train.withColumn("part", F.lit("train")).union(train.withColumn("part", F.lit("test")))
+    lists = recsys.user_lists(recsys.user_groups(labelled, ranks), 5)
+    got = [sorted(map(tuple, recsys.recommend_top_n(lists, ranks, head).collect())) for head in (1, 7, 1000)]
+    assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_codes_of_keys_with_one_prefix(spark):
+    ents = spark.range(50_000).select(F.lit("user_id").alias("entity_type"), F.concat(F.lit("user-"), "id").alias("entity_uuid"))
+    ents = ents.union(spark.range(3).select(F.lit("rec_id"), F.concat(F.lit("r"), "id")))
+    rows = encode.dense_codes(ents).collect()
+    users = sorted((r["entity_uuid"], r["id_num"]) for r in rows if r["entity_type"] == "user_id")
+    first = users[0][1]
+    assert [n for _, n in users] == list(range(first, first + 50_000)) and len(rows) == 50_003

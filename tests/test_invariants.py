@@ -17,7 +17,7 @@ def fx(spark):
 
 
 def test_codes_dense_unique_in_range(fx):
-    ids = encode.build_id_dictionary(fx.plays_uuid, prefix_len=1)
+    ids = encode.build_id_dictionary(fx.plays_uuid)
     per_type = ids.groupBy("entity_type").agg(
         F.min("id_num").alias("lo"), F.max("id_num").alias("hi"), F.count("*").alias("n"),
         F.countDistinct("id_num").alias("d"),
@@ -29,9 +29,9 @@ def test_codes_dense_unique_in_range(fx):
     assert encode.check_code_capacity(ids)["user_id"] == fx.plays.select("user_id").distinct().count()
 
 
-def test_prefix_buckets_do_not_change_codes(fx):
-    a = encode.build_id_dictionary(fx.plays_uuid, prefix_len=1)
-    b = encode.build_id_dictionary(fx.plays_uuid, prefix_len=3)
+def test_partitioning_does_not_change_codes(fx):
+    a = encode.build_id_dictionary(fx.plays_uuid)
+    b = encode.build_id_dictionary(fx.plays_uuid.repartition(3))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
