@@ -17,6 +17,7 @@ QUERIES = {
 
 SQL = {
     "op1_url_filter": q_url_filter.SQL,
+    "op4_ngram_jaccard_join": q_jaccard_join.SQL,
     "op6_quality_rules": q_quality_rules.SQL,
     "op8_line_dedup": q_line_dedup.SQL,
     "op9_exact_dedup": q_exact_dedup.SQL,
