@@ -225,7 +225,7 @@ def test_log_histogram_has_all_bins(spark):
 
 
 def test_building_queries_starts_no_size_probe(spark):
-    from conftest import SMALL_SF
+    from table_folders import SMALL_SF
     from playstats.plans.catalog import CATALOG
     from playstats.plans.fixtures import Fixtures
 
@@ -239,7 +239,7 @@ def test_building_queries_starts_no_size_probe(spark):
 
 
 def test_views_hold_every_line_and_supplier(spark):
-    from conftest import SMALL_SF
+    from table_folders import SMALL_SF
     from playstats.plans.fixtures import Fixtures
 
     fx = Fixtures.stored(spark, SMALL_SF)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF
+from table_folders import SMALL_SF
 import __spark_entry__ as entry
 from playstats.operators import encode, stats
 from playstats.operators.checks import bad_uuids, duplicate_keys, null_counts

@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SMALL_SF
+from table_folders import SMALL_SF
 import __spark_entry__ as entry
 from playstats.plans import jobs
 from playstats.plans.catalog import EVAL_DATA_FROM, EVAL_DATA_TO, EVAL_START, LATE_CUT

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import ORACLE_SF
+from table_folders import ORACLE_SF
 
 import __spark_entry__ as entry
 from playstats.plans.catalog import CATALOG

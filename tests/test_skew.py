@@ -3,7 +3,7 @@ brute-force forms (no rows dropped, capped or sampled)."""
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF
+from table_folders import SMALL_SF
 from playstats.operators import clean, inequality, stats
 from playstats.plans.fixtures import Fixtures
 

@@ -6,7 +6,7 @@ import os
 import zstandard
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF
+from table_folders import SMALL_SF
 from playstats.plans.fixtures import Fixtures
 from playstats.sources import (
     append_segments,
