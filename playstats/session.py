@@ -111,4 +111,13 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark, path = df.sparkSession, stage_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    stored._stage_path = path
+    return stored
+
+
+def remove_stage(*stored: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that nothing will read again, in whatever store they are."""
+    for df in stored:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

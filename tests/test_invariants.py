@@ -100,3 +100,15 @@ def test_single_partition_exchanges_only_carry_aggregates(spark):
                     assert "Aggregate" in child, (name, child)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_removed_stage_is_gone(spark):
+    import os
+
+    from playstats.session import cut_lineage, remove_stage
+
+    stored = cut_lineage(spark.range(5), "removed")
+    path = stored._stage_path.removeprefix("file:")
+    assert stored.count() == 5 and os.path.isdir(path)
+    remove_stage(stored)
+    assert not os.path.exists(path)
