@@ -69,14 +69,15 @@ def _merged(hashes: DataFrame, log2_bits: int, which: str) -> bytes:
         for k in range((1 << log2_bits) // 8 // size):
             part = flags[k * size * 8 : (k + 1) * size * 8]
             if part.any():
-                once, twice = np.packbits(part & 1).tobytes(), np.packbits(part >> 1).tobytes()
+                once, twice = np.packbits(part & 1).tobytes(), np.packbits(part >> 1).tobytes() if which == "twice" else b""
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([once]), pa.array([twice])], names=["slice", "once", "twice"])
 
     def merge(table: pa.Table) -> pa.Table:
         once = twice = None
         for a, b in zip(table.column("once"), table.column("twice"), strict=True):
-            a, b = np.frombuffer(a.as_py(), np.uint8), np.frombuffer(b.as_py(), np.uint8)
-            once, twice = (a.copy(), b.copy()) if once is None else (once | a, twice | b | (once & a))
+            a = np.frombuffer(a.as_py(), np.uint8)
+            b = np.frombuffer(b.as_py(), np.uint8) if which == "twice" else a
+            once, twice = (a, b) if once is None else (once | a, twice | b | (once & a))
         chosen = {"once": once, "twice": twice}[which]
         return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([chosen.tobytes()])})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from playstats.session import cut_lineage
+from playstats.session import cut_lineage, remove_stage
 
 
 def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -19,13 +19,15 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     linked = both.select(F.col("a").alias("k")).distinct()
     labels = cut_lineage(nodes.join(linked, "k").select("k", "label"), "component-labels")
     while True:
-        near = both.join(labels.withColumnRenamed("k", "b"), "b").groupBy(F.col("a").alias("k")).agg(F.min("label").alias("near"))
+        near = both.join(labels.select(F.col("k").alias("b"), "label"), "b").groupBy(F.col("a").alias("k")).agg(F.min("label").alias("near"))
         stepped = labels.join(near, "k").select("k", "label", F.least("label", "near").alias("new"))
         stepped = cut_lineage(stepped, "component-step")
         # jump: the label of the node that the label names
         named = stepped.select(F.col("k").alias("at"), F.col("new").alias("far"))
         jumped = stepped.join(named, F.col("new.k") == F.col("at"), "left")
-        jumped = cut_lineage(jumped.select("k", F.least("new", F.coalesce("far", "new")).alias("label"), (F.col("label") != F.col("new")).alias("moved")), "component-labels")
-        labels = jumped.select("k", "label")
+        before, jumped = labels, cut_lineage(jumped.select("k", F.least("new", F.coalesce("far", "new")).alias("label"), (F.col("label") != F.col("new")).alias("moved")), "component-labels")
+        remove_stage(before, stepped)
+        labels = jumped
         if jumped.where("moved").isEmpty():
-            return labels
+            remove_stage(both)
+            return labels.select("k", "label")

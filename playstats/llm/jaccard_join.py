@@ -41,7 +41,7 @@ from playstats.llm import bloom
 from playstats.llm.common import mix64, prepare, released, slices, sort_rows, text_column
 from playstats.llm.components import components
 from playstats.llm.shingles import shingle_sets
-from playstats.session import cut_lineage
+from playstats.session import cut_lineage, remove_stage
 
 WORDS, PERCENT = 5, 80
 #: Counters of one sketch, and of one slice of it.
@@ -151,12 +151,16 @@ class JaccardJoin:
             for at, block in enumerate(counts.reshape(-1, size)):
                 if block.any():
                     none = [pa.nulls(1, pa.int64())] * 5
+                    # in the fewest bytes that hold the counts
+                    block = block.astype(np.min_scalar_type(block.max()))
                     yield pa.RecordBatch.from_arrays([*none, pa.array([at], pa.int32()), pa.array([block.tobytes()])], names=names)
 
         def merge(table: pa.Table) -> pa.Table:
-            total = np.zeros(min(SLICE, 1 << log2), np.uint64)
+            size = min(SLICE, 1 << log2)
+            total = np.zeros(size, np.uint64)
             for block in table.column("counts"):
-                total += np.frombuffer(block.as_py(), np.uint32)
+                block = block.as_py()
+                total += np.frombuffer(block, f"u{len(block) // size}")
             level = np.minimum(np.round(8 * np.log2(1 + total.astype(float))), 255).astype(np.uint8)
             return pa.table({"slice": table.column("slice")[:1], "level": pa.array([level.tobytes()])})
 
@@ -230,7 +234,9 @@ class JaccardJoin:
         whole = both.join(a.select("a", "sa"), "a").join(b.select("b", "sb"), "b")
         whole = whole.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
         linked = whole.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * self.percent)
-        return cut_lineage(linked.select("a", "b"), f"jaccard-links-{name}")
+        linked = cut_lineage(linked.select("a", "b"), f"jaccard-links-{name}")
+        remove_stage(sets)
+        return linked
 
     def classes(self) -> DataFrame:
         """(k, label, n): the classes with shingles; a label is (no id, smallest id, k)."""
@@ -257,6 +263,7 @@ class JaccardJoin:
         rest = x.join(y, meets & self._bounded("x", "y")).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
         rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "jaccard-rest")
         links = links.union(self._verified(rest, classes, "rest"))
+        remove_stage(groups, leaders, part)
         return links, components(links, classes)
 
     def row_components(self) -> DataFrame:
