@@ -6,7 +6,8 @@ first artist, so one pass yields both the kept rows and every count.
 
 Three-valued logic is kept: a row whose list is NULL or empty has no first
 artist; ``NULL NOT IN (...)`` is NULL in SQL, so the reference's deletes
-leave such rows in place. The rule below keeps them too.
+leave such rows in place. The rule below keeps them too. Only when the
+dimension has no person does ``NOT IN`` hold for them.
 """
 
 from __future__ import annotations
@@ -27,14 +28,19 @@ PLAY_COLUMNS = ["segment", "user_id", "timestamp", "artist_ids", "release_id", "
 CLEAN_COLUMNS = ["user_id", "timestamp", "artist_id", "release_id", "rec_id"]
 
 
-def reason_expr(late_cut: str = DEFAULT_LATE_CUT) -> Column:
+def reason_expr(late_cut: str = DEFAULT_LATE_CUT, no_person: Column | None = None) -> Column:
     """First matching exclusion reason; needs ``artist_ids``, ``timestamp``,
-    ``artist_id`` (first element) and the dimension's ``gender``/``type``."""
+    ``artist_id`` (first element) and the dimension's ``gender``/``type``.
+
+    ``no_person`` says that the dimension has no person at all: nothing is
+    then in the set of persons, a row without artist included.
+    """
     aid = F.col("artist_id")
+    no_person = F.lit(False) if no_person is None else no_person
     return (
         F.when(list_length("artist_ids") > 1, "group")
         .when(F.col("timestamp") >= F.lit(epoch_seconds(late_cut)), "late")
-        .when(aid.isNotNull() & ~F.col("type").eqNullSafe(PERSON_TYPE), "nonperson")
+        .when(no_person | (aid.isNotNull() & ~F.col("type").eqNullSafe(PERSON_TYPE)), "nonperson")
         .when(aid.isNotNull() & F.col("gender").isNull(), "nullgender")
         .when(F.col("gender") == NOT_APPLICABLE_GENDER, "na")
         .otherwise(KEEP)
@@ -44,10 +50,11 @@ def reason_expr(late_cut: str = DEFAULT_LATE_CUT) -> Column:
 def with_reason(plays: DataFrame, artists: DataFrame, late_cut: str = DEFAULT_LATE_CUT) -> DataFrame:
     """Adds ``artist_id`` (first artist) and ``reason``."""
     dim = artists.select("artist_id", "gender", "type")
+    no_person = artists.where(F.col("type") == PERSON_TYPE).agg((F.count(F.lit(1)) == 0).alias("none")).scalar()
     first = plays.withColumn("artist_id", first_element("artist_ids"))
     return (
         first.join(dim, "artist_id", "left")
-        .withColumn("reason", reason_expr(late_cut))
+        .withColumn("reason", reason_expr(late_cut, no_person))
         .drop("gender", "type")
     )
 

@@ -277,3 +277,13 @@ def test_codes_of_keys_with_one_prefix(spark):
     users = sorted((r["entity_uuid"], r["id_num"]) for r in rows if r["entity_type"] == "user_id")
     first = users[0][1]
     assert [n for _, n in users] == list(range(first, first + 50_000)) and len(rows) == 50_003
+
+
+def test_no_person_in_the_dimension_excludes_rows_without_artist(spark):
+    plays = spark.createDataFrame([(1, 10, [], 1, 1), (1, 11, None, 1, 1), (1, 12, [2], 1, 1)],
+                                  "user_id int, timestamp bigint, artist_ids array<bigint>, release_id bigint, rec_id bigint")
+    groups = spark.createDataFrame([(2, "Male", "Group")], "artist_id bigint, gender string, type string")
+    people = spark.createDataFrame([(3, "Male", "Person")], "artist_id bigint, gender string, type string")
+    reasons = lambda dim: {r["timestamp"]: r["reason"] for r in clean.with_reason(plays, dim).collect()}
+    assert reasons(groups) == {10: "nonperson", 11: "nonperson", 12: "nonperson"}
+    assert reasons(people) == {10: "keep", 11: "keep", 12: "nonperson"}
