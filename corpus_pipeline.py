@@ -7,7 +7,7 @@ the last returns the encoded texts.
 
 from pyspark.sql import functions as F
 
-from playstats.llm.bpe import bpe_decode, bpe_encode
+from playstats.llm.bpe import bpe_round_trip
 from playstats.llm.common import read_table
 from playstats.llm.jaccard_join import drop_near_copies
 from playstats.llm.line_dedup import line_dedup
@@ -45,8 +45,7 @@ def encode(spark, docs, sf_dir):
     """doc_id, token ids, their number, and the SHA-256 of the bytes that they decode to."""
     import public_tokenizers
 
-    ranks = public_tokenizers.path(RANK_FILE)
-    decoded = bpe_decode(bpe_encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = bpe_round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

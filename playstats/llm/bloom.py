@@ -44,25 +44,33 @@ def add_hashes(flags: np.ndarray, hashes: np.ndarray, log2_bits: int) -> None:
     flags[at] |= 1
 
 
-def seen_twice(hashes: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
-    """The merged second filter over ``hashes`` (one column of longs), packed to ``2 ** log2_bits / 8`` bytes."""
-    return _merged(hashes, log2_bits, "twice")
+def _first_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).drop_null().to_numpy(zero_copy_only=False)
 
 
-def seen_once(hashes: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
-    """The merged first filter: a plain Bloom filter of the column."""
-    return _merged(hashes, log2_bits, "once")
+def seen_twice(rows: DataFrame, log2_bits: int = LOG2_BITS, hashes_of=_first_column) -> bytes:
+    """The merged second filter, packed to ``2 ** log2_bits / 8`` bytes.
 
+    ``hashes_of`` yields the hashes of a batch of ``rows``, in parts; by
+    default the first column holds them.
+    """
+    return _merged(rows, log2_bits, "twice", hashes_of)
 
-def _merged(hashes: DataFrame, log2_bits: int, which: str) -> bytes:
+
+def seen_once(rows: DataFrame, log2_bits: int = LOG2_BITS) -> bytes:
+    """The merged first filter: a plain Bloom filter of the first column."""
+    return _merged(rows, log2_bits, "once", _first_column)
+
+
+def _merged(rows: DataFrame, log2_bits: int, which: str, hashes_of) -> bytes:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = None
         for batch in batches:
-            values = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
-            if len(values):
-                flags = np.zeros(1 << log2_bits, np.uint8) if flags is None else flags
-                add_hashes(flags, values, log2_bits)
+            for values in hashes_of(batch):
+                if len(values):
+                    flags = np.zeros(1 << log2_bits, np.uint8) if flags is None else flags
+                    add_hashes(flags, values, log2_bits)
         if flags is None:
             return
         size = min(SLICE, (1 << log2_bits) // 8)
@@ -82,8 +90,8 @@ def _merged(hashes: DataFrame, log2_bits: int, which: str) -> bytes:
         return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([chosen.tobytes()])})
 
     # one filter for each core, not for each split of the input
-    tasks = hashes.sparkSession.sparkContext.defaultParallelism
-    slices = hashes.coalesce(tasks).mapInArrow(released(build), "slice int, once binary, twice binary")
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    slices = rows.coalesce(tasks).mapInArrow(released(build), "slice int, once binary, twice binary")
     merged = slices.groupBy("slice").applyInArrow(merge, "slice int, bits binary")
     size = min(SLICE, (1 << log2_bits) // 8)
     out = bytearray((1 << log2_bits) // 8)

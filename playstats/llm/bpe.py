@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from playstats.llm.common import prepare, released, text_column
 
 #: Bytes of text whose pieces are merged together.
-CORPUS_BYTES = 8 << 20
+CORPUS_BYTES = 4 << 20
 #: Ranks whose index entries are sorted together.
 BAND_BITS = 8
 NONE = np.int32(2**31 - 1)
@@ -251,8 +251,8 @@ def encode_texts(vocabulary: Vocabulary, pattern, texts: list[str]) -> tuple[np.
     return out, np.diff(text_ends, prepend=0)
 
 
-def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", corpus_bytes: int = CORPUS_BYTES) -> DataFrame:
-    """One row per document: id and ``ids``, an array of token ids."""
+def _encoded(docs: DataFrame, rank_file: str, pattern: str, id_col: str, text_col: str, corpus_bytes: int, output, schema: str) -> DataFrame:
+    """Rows of ``schema``; ``output`` makes their columns after the id from (vocabulary, ids of all texts, counts)."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(Vocabulary(read_ranks(rank_file)))  # as large as the rank file allows
 
@@ -264,9 +264,8 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
 
         def flush() -> pa.RecordBatch:
             tokens, counts = encode_texts(vocabulary, compiled, texts)
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.astype(np.int32)))
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "ids"])
+            made = output(vocabulary, tokens.astype(np.int32), counts)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *made.values()], names=["id", *made])
 
         for batch in batches:
             for key, text in zip(batch.column("id").to_pylist(), text_column(batch, "text").to_pylist(), strict=True):
@@ -280,16 +279,41 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
             yield flush()
 
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return plain.mapInArrow(released(encode), "id bigint, ids array<int>").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(released(encode), f"id bigint, {schema}").withColumnRenamed("id", id_col)
+
+
+def _id_lists(vocabulary: Vocabulary, tokens: np.ndarray, counts: np.ndarray) -> dict[str, pa.Array]:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))}
+
+
+def _round_trip(vocabulary: Vocabulary, tokens: np.ndarray, counts: np.ndarray) -> dict[str, pa.Array]:
+    lists = _id_lists(vocabulary, tokens, counts)
+    ends, data = (4 * np.cumsum(counts)).tolist(), tokens.astype("<u4").tobytes()
+    packed = pa.array([data[a:b] for a, b in zip([0, *ends], ends)], pa.binary())
+    return lists | {"packed_ids": packed, "decoded": pa.array(decode_lists(vocabulary, lists["ids"]), pa.binary())}
+
+
+def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", corpus_bytes: int = CORPUS_BYTES) -> DataFrame:
+    """One row per document: id and ``ids``, an array of token ids."""
+    return _encoded(docs, rank_file, pattern, id_col, text_col, corpus_bytes, _id_lists, "ids array<int>")
+
+
+def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", corpus_bytes: int = CORPUS_BYTES) -> DataFrame:
+    """``bpe_encode``, and the ids decoded again, in one pass of one worker.
+
+    Beside ``ids`` there are ``packed_ids``, the ids as little-endian unsigned
+    32-bit integers, and ``decoded``, the bytes that the ids stand for.
+    """
+    return _encoded(docs, rank_file, pattern, id_col, text_col, corpus_bytes, _round_trip, "ids array<int>, packed_ids binary, decoded binary")
 
 
 def decode_lists(vocabulary: Vocabulary, lists: pa.Array) -> list[bytes]:
     """The bytes of each list of ids."""
     ids = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
     counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    data = vocabulary.decode(ids).tobytes()
-    ends = np.concatenate([[0], np.cumsum(vocabulary.lengths[ids])])[np.cumsum(counts)].tolist()
-    return [data[a:b] for a, b in zip([0, *ends], ends)]
+    ends = np.cumsum(counts).tolist()
+    return [vocabulary.decode(ids[a:b]).tobytes() for a, b in zip([0, *ends], ends)]
 
 
 def bpe_decode(encoded: DataFrame, rank_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

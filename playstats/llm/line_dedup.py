@@ -33,6 +33,8 @@ from playstats.llm.common import SPACE, prepare, released, slices, string_hashes
 from playstats.session import cut_lineage
 
 MIN_CHARS = 10
+#: Bytes of text whose lines a worker holds at once.
+SLICE_BYTES = 4 << 20
 
 
 def line_keys(texts: pa.Array, min_chars: int = MIN_CHARS) -> tuple[pa.Array, np.ndarray]:
@@ -56,18 +58,16 @@ def _rewritten(text: str, drop: set[str]) -> tuple[str, int]:
 def _lost_keys(docs: DataFrame, min_chars: int, log2_bits: int) -> DataFrame:
     """(id, keys): the keys that a document must lose; one row for each id that loses any."""
 
-    def hash_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                keys, _ = line_keys(text_column(part, "text"), min_chars)
-                yield pa.RecordBatch.from_arrays([pa.array(string_hashes(keys).view(np.int64))], names=["h"])
+    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for part in slices(batch, "text", SLICE_BYTES):
+            yield string_hashes(line_keys(text_column(part, "text"), min_chars)[0])
 
-    packed = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(docs.select("text").mapInArrow(released(hash_keys), "h bigint"), log2_bits))
+    packed = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(docs.select("text"), log2_bits, hashes_of))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(packed.value, np.uint8)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 keys, rows = line_keys(text_column(part, "text"), min_chars)
                 hit = bloom.in_filter(twice, string_hashes(keys), log2_bits)
                 ids = pc.take(part.column("id"), pa.array(rows[hit]))

@@ -2,42 +2,21 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playstats.llm.bpe import bpe_decode, bpe_encode
+from playstats.llm.bpe import bpe_round_trip
 from playstats.llm.common import read_table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
-def _id_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False).astype(np.int64)
-        data = pc.list_flatten(batch.column("ids")).to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        ends = (4 * np.cumsum(counts)).tolist()
-        sha = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip([0, *ends], ends)]
-        decoded = [hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts), pa.array(sha), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-        )
-
-
-def digests(encoded_and_decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of rows with ``ids`` and ``decoded``."""
-    return encoded_and_decoded.select("doc_id", "ids", "decoded").mapInArrow(
-        _id_digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
-
-
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ranks = public_tokenizers.path(RANK_FILE)
-    encoded = bpe_encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return digests(bpe_decode(encoded, ranks))
+    out = bpe_round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("packed_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

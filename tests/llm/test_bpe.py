@@ -1,11 +1,12 @@
 import random
+import struct
 
 import public_tokenizers
 import pytest
 import regex
 import tiktoken
 
-from playstats.llm.bpe import Vocabulary, bpe_decode, bpe_encode, encode_texts, read_ranks
+from playstats.llm.bpe import Vocabulary, bpe_decode, bpe_encode, bpe_round_trip, encode_texts, read_ranks
 
 PATTERN = public_tokenizers.PATTERN
 
@@ -32,6 +33,9 @@ def test_as_tiktoken_and_back(spark, rank_file):
     want = sorted((str(i), tuple(usual.encode_ordinary(t or "")), (t or "").encode()) for i, t in rows)
     assert sorted((str(r["doc_id"]), tuple(r["ids"]), bytes(r["decoded"])) for r in got) == want
     assert bpe_encode(df.limit(0), rank_file, PATTERN).count() == 0
+    both = bpe_round_trip(df, rank_file, PATTERN).collect()
+    assert sorted((str(r["doc_id"]), tuple(r["ids"]), bytes(r["decoded"])) for r in both) == want
+    assert all(struct.unpack(f"<{len(r['ids'])}I", r["packed_ids"]) == tuple(r["ids"]) for r in both)
 
 
 def test_out_of_order_ranks():
