@@ -1,13 +1,19 @@
-"""Licence scan: blocks of a text compared to licence templates by Dice over word bigrams.
+"""Licence scan: word spans of a text compared to licence templates by Dice over word bigrams.
 
-A block is the whole text, a run of one to ``max_lines`` consecutive lines,
-or, inside a line, a run of as many words as a template has. Blocks and templates are normalised alike: lower case, every run of
-other characters than letters and digits is one space. Their word bigrams
-are sets; Dice is ``2 * common / (size of block + size of template)``.
+A span is any run of consecutive words, across line ends. Texts and templates
+are normalised alike: lower case, every run of other characters than letters
+and digits is one space. Their word bigrams are sets; Dice is
+``2 * common / (size of span + size of template)``.
 
-Dice of at least t needs ``t / (2 - t) * b <= a <= (2 - t) / t * b``, so a
-block is compared only with the templates whose size lies in that band, and
-only if it holds one of their bigrams; both bounds drop no match.
+For a template, spans are grown from each of its bigrams in the text. No match
+is better than those found this way: a span that begins or ends with another
+bigram, or with one that it holds again, scores no higher than the shorter
+span without it. Growing ends at the bigram it began with, and when the
+span has so many other bigrams that even the whole template would score less
+than the threshold. So the work grows with the text, also if it repeats.
+
+A match is the best span grown from a place, the shortest of these, reported
+by its first and last line; matches of the same lines are one.
 
 Each document is scanned alone, in Arrow batches, without a shuffle.
 
@@ -50,7 +56,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
-THRESHOLD, MAX_LINES = 0.8, 4
+THRESHOLD = 0.8
 SCHEMA = "doc_id bigint, license string, score double, n_matches bigint, spans array<struct<license: string, first_line: int, last_line: int, score: double>>"
 _GAPS = re.compile(r"[\W_]+")
 
@@ -69,22 +75,22 @@ def dice(a: frozenset, b: frozenset) -> float:
 
 
 class Scanner:
-    """Templates by size, ready to be compared with blocks."""
+    """Templates by size, ready to be compared with spans of at most ``max_lines`` lines (none: any number)."""
 
-    def __init__(self, templates: dict[str, str], threshold: float, max_lines: int):
+    def __init__(self, templates: dict[str, str], threshold: float, max_lines: int | None = None):
         self.threshold, self.max_lines = threshold, max_lines
         made = ((name, bigrams(normalise(text))) for name, text in templates.items())
         self.templates = sorted((len(g), name, g) for name, g in made if g)
-        self.lengths = sorted({len(normalise(text)) for text in templates.values()})
-        self.known = frozenset(x for _, _, g in self.templates for x in g)
-        self.most = (2 - threshold) / threshold * max((size for size, _, _ in self.templates), default=0)
-        # a match shares this many bigrams with the smallest template at least
-        self.need = threshold / (2 - threshold) * min((size for size, _, _ in self.templates), default=0) - 1e-9
+        self.known: dict[tuple, list[int]] = {}  # bigram -> templates that hold it
+        for i, (_, _, grams) in enumerate(self.templates):
+            for x in grams:
+                self.known.setdefault(x, []).append(i)
+        self.one_word = any(len(x) == 1 for x in self.known)
 
     def compare(self, grams: frozenset) -> list[tuple[float, str]]:
         """Score and name of every template that a block with these bigrams matches."""
         t, a, found = self.threshold, len(grams), []
-        shared = len(grams & self.known)
+        shared = len(grams & self.known.keys())
         for b, name, template in self.templates:
             if a * t > (2 - t) * b or b * t > (2 - t) * a or 2 * shared < t * (a + b):
                 continue
@@ -93,45 +99,61 @@ class Scanner:
                 found.append((score, name))
         return found
 
-    def scan(self, text: str) -> list[tuple[str, int, int, float]]:
-        """(template, first line, last line, score) of every matching block, line numbers from 0.
-
-        Blocks begin and end with lines that hold a part of a template's
-        bigram: with any other line at an end a block scores lower.
-        """
-        lines = [normalise(x) for x in text.split("\n")]
-        hits = [len(self.known.intersection(bigrams(x) if len(x) == 1 else zip(x, x[1:]))) for x in lines]
-        full = [i for i, x in enumerate(lines) if x]
-        for i, j in zip(full, full[1:]):
-            if (lines[i][-1], lines[j][0]) in self.known:
-                hits[i] += 1
-                hits[j] += 1
-        if sum(hits) < self.need:
-            return []
-        found: dict[tuple[str, int, int], float] = {}
-
-        def add(i: int, j: int, grams: frozenset) -> None:
-            for score, name in self.compare(grams):
-                found[name, i, j] = max(score, found.get((name, i, j), 0.0))
-
-        for i, n in enumerate(hits):
-            if n >= self.need:
-                line = lines[i]
-                for k in (k for k, x in enumerate(zip(line, line[1:])) if x in self.known):
-                    for length in self.lengths:
-                        add(i, i, bigrams(line[k : k + length]))
-        for i in (i for i, n in enumerate(hits) if n and sum(hits[i : i + self.max_lines]) >= self.need):
-            words: list[str] = []
-            for j in range(i, min(i + self.max_lines, len(lines))):
-                words = words + lines[j]
-                grams = bigrams(words)
-                if len(grams) > self.most and len(words) > 1:
+    def grow(self, grams: list[tuple], lines: list[int], k: int, size: int, template: frozenset) -> tuple[float, int]:
+        """Score and last bigram of the best span that begins with bigram ``k``."""
+        seen, common, best = set(), 0, (0.0, k)
+        last_line = len(lines) if self.max_lines is None else lines[k] + self.max_lines - 1
+        for p in range(k, len(grams)):
+            x = grams[p]
+            if x in seen:
+                if x == grams[k]:
                     break
-                if hits[j]:
-                    add(i, j, grams)
-        if len(lines) > self.max_lines and len(grams := bigrams([w for x in lines for w in x])) <= self.most:
-            add(0, len(lines) - 1, grams)
-        return [(name, i, j, score) for (name, i, j), score in found.items()]
+                continue
+            if lines[min(p + 1, len(lines) - 1)] > last_line:
+                break
+            seen.add(x)
+            if x in template:
+                common += 1
+                score = 2 * common / (len(seen) + size)
+                if score > best[0]:
+                    best = score, p
+            elif 2 * size / (len(seen) - common + size + size) < self.threshold:
+                break
+        return best
+
+    def scan(self, text: str) -> list[tuple[str, int, int, float]]:
+        """(template, first line, last line, score) of every match, line numbers from 0."""
+        words, lines = [], []
+        for i, line in enumerate(text.split("\n")):
+            found = normalise(line)
+            words += found
+            lines += [i] * len(found)
+        grams = list(zip(words, words[1:]))
+        known, places = self.known, {}
+        for k, x in enumerate(grams):
+            if x in known:
+                for i in known[x]:
+                    places.setdefault(i, []).append(k)
+        matches: dict[tuple[str, int, int], float] = {}
+
+        def add(name: str, i: int, j: int, score: float) -> None:
+            matches[name, i, j] = max(score, matches.get((name, i, j), 0.0))
+
+        t = self.threshold
+        for i, at in places.items():
+            size, name, template = self.templates[i]
+            # a match shares so many different bigrams with the template at least
+            if len(at) < t / (2 - t) * size - 1e-9 or len({grams[k] for k in at}) < t / (2 - t) * size - 1e-9:
+                continue
+            for k in at:
+                score, p = self.grow(grams, lines, k, size, template)
+                if score >= t:
+                    add(name, lines[k], lines[p + 1], score)
+        if self.one_word:
+            for word, line in zip(words, lines):
+                for i in known.get((word,), ()):
+                    add(self.templates[i][1], line, line, 1.0)
+        return [(name, i, j, score) for (name, i, j), score in matches.items()]
 
 
 def license_scan(
@@ -140,9 +162,9 @@ def license_scan(
     text_col: str = "text",
     templates: dict[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
-    max_lines: int = MAX_LINES,
+    max_lines: int | None = None,
 ) -> DataFrame:
-    """One row per document: the best licence (null if none), its score, and all matching spans."""
+    """One row per document: the best licence (null if none), its score, and the matching spans."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, threshold, max_lines)
