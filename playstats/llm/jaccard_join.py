@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from playstats.llm import bloom
 from playstats.llm.common import mix64, prepare, released, slices, sort_rows, text_column
@@ -245,9 +245,11 @@ class JaccardJoin:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links (a, b) that join all components, and (k, label) of every linked class."""
-        group = Window.partitionBy("token")
-        found = self._prefixes().select("*", F.min("k").over(group).alias("least"), F.max("k").over(group).alias("most"))
-        groups = cut_lineage(found.where("least < most").select("token", "k", "n", "place").dropDuplicates(["token", "k"]), "jaccard-groups")
+        prefixes = cut_lineage(self._prefixes().select("token", "k", "n", "place").dropDuplicates(["token", "k"]), "jaccard-prefixes")
+        # added up before the shuffle, and joined so that a token of many classes can be split
+        shared = prefixes.groupBy("token").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least < most")
+        groups = cut_lineage(prefixes.join(shared.select("token"), "token"), "jaccard-groups")
+        remove_stage(prefixes)
         classes = cut_lineage(self.classes(), "jaccard-classes")
 
         leaders = cut_lineage(groups.groupBy("token").agg(F.min(F.struct("place", "n", "k")).alias("lead")), "jaccard-leaders")
