@@ -239,8 +239,8 @@ class JaccardJoin:
         return linked
 
     def classes(self) -> DataFrame:
-        """(k, label, n): the classes with shingles; a label is (no id, smallest id, k)."""
-        label = F.struct(F.min("id").isNull().alias("last"), F.min("id").alias("id"), F.col("k").alias("k"))
+        """(k, label, n): the classes with shingles; a label is (no id, smallest id, k, smallest text hash t with that id)."""
+        label = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "k", "t"))
         return self.entries.where("n > 0").groupBy("k").agg(label.alias("label"), F.first("n").alias("n"))
 
     def links(self) -> tuple[DataFrame, DataFrame]:
@@ -271,14 +271,14 @@ class JaccardJoin:
     def row_components(self) -> DataFrame:
         """Of every row: id, t, n, the ``component`` (its smallest id) and whether the row ``leads`` it.
 
-        The leading rows have the smallest id and its class; a text without
-        shingles leads itself.
+        The leading rows have the smallest id, and of its texts one; a text
+        without shingles leads itself.
         """
         _, labels = self.links()
         found = self.classes().select("k", F.col("label").alias("own")).join(labels, "k", "left")
         found = found.select(F.col("k").alias("key"), F.coalesce("label", "own").alias("label"))
         out = self.entries.withColumn("key", F.when(F.col("n") > 0, F.col("k"))).join(found, "key", "left")
-        leads = (F.col("n") == 0) | (F.col("id").eqNullSafe(F.col("label.id")) & (F.col("k") == F.col("label.k")))
+        leads = (F.col("n") == 0) | (F.col("id").eqNullSafe(F.col("label.id")) & (F.col("k") == F.col("label.k")) & (F.col("t") == F.col("label.t")))
         component = F.when(F.col("n") > 0, F.col("label.id")).otherwise(F.col("id"))
         return out.select("id", "t", "n", component.alias("component"), leads.alias("leads"))
 
