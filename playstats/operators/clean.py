@@ -12,7 +12,7 @@ dimension has no person does ``NOT IN`` hold for them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from playstats.functions import first_element, list_length
 from playstats.schemas import (
@@ -23,6 +23,7 @@ from playstats.schemas import (
     REASONS,
     epoch_seconds,
 )
+from playstats.session import cut_lineage
 
 PLAY_COLUMNS = ["segment", "user_id", "timestamp", "artist_ids", "release_id", "rec_id"]
 CLEAN_COLUMNS = ["user_id", "timestamp", "artist_id", "release_id", "rec_id"]
@@ -81,35 +82,44 @@ def clean_plays(
 AUDIT_STEPS = ("initial", "duplicates") + REASONS + ("final",)
 
 
-def exclusion_audit(plays: DataFrame, artists: DataFrame, late_cut: str = DEFAULT_LATE_CUT) -> DataFrame:
-    """AGG1: (step, rows) for the waterfall, plus the dimension sizes.
-
-    One aggregation: distinct rows with their copy count, a reason each,
-    then one global row of conditional counts. ``duplicates`` is
-    initial - distinct (the reference's log subtracts a running total; this
-    is the corrected figure).
+def clean_with_audit(
+    plays: DataFrame,
+    artists: DataFrame,
+    late_cut: str = DEFAULT_LATE_CUT,
+    sizes: dict[str, DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """PIPE1, MUT1 and AGG1 in one pass: the clean plays (with ``segment`` if
+    plays have one), stored, and the audit (step, n_rows).
+
+    Distinct rows with their copy count get a reason each; the counts of all
+    steps are observed while the kept rows are written, so plays are scanned
+    and shuffled once. The counts are taken after the last shuffle, where a
+    task's figures enter once, also if it or an executor was lost and the task
+    ran again. ``duplicates`` is initial - distinct (the reference's log
+    subtracts a running total; this is the corrected figure). ``sizes`` names
+    tables whose row counts the audit lists too.
     """
     key = PLAY_COLUMNS if "segment" in plays.columns else PLAY_COLUMNS[1:]
     distinct_rows = plays.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
-    reasons = with_reason(distinct_rows, artists, late_cut)
-    counts = reasons.agg(
-        F.sum("copies").cast("bigint").alias("initial"),
-        (F.sum("copies") - F.count(F.lit(1))).cast("bigint").alias("duplicates"),
+    seen = Observation()
+    reasons = with_reason(distinct_rows, artists, late_cut).observe(
+        seen,
+        F.sum("copies").alias("initial"),
+        (F.sum("copies") - F.count(F.lit(1))).alias("duplicates"),
         *[F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS],
         F.count(F.when(F.col("reason") == KEEP, 1)).alias("final"),
     )
-    steps = counts.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(s).alias("step"), F.col(s).alias("n_rows")) for s in AUDIT_STEPS])
-        ).alias("s")
-    ).select("s.step", "s.n_rows")
-    dims = artists.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("artists").alias("step"), "n_rows")
-    coded = (
-        plays.select(F.explode("artist_ids").alias("artist_id"))
-        .agg(F.countDistinct("artist_id").alias("n_rows"))
-        .select(F.lit("coded_artists").alias("step"), "n_rows")
-    )
-    return steps.unionByName(dims).unionByName(coded)
+    segment = ["segment"] if "segment" in plays.columns else []
+    kept = cut_lineage(reasons.where(F.col("reason") == KEEP).select(*segment, *CLEAN_COLUMNS), "clean-plays")
+    counts = [(step, seen.get[step] or 0) for step in AUDIT_STEPS]
+    counts += [(name, df.count()) for name, df in (sizes or {}).items()]
+    return kept, plays.sparkSession.createDataFrame(counts, "step string, n_rows bigint")
+
+
+def exclusion_audit(plays: DataFrame, artists: DataFrame, late_cut: str = DEFAULT_LATE_CUT) -> DataFrame:
+    """AGG1: (step, n_rows) for the waterfall, the artists of the dimension and those of the plays."""
+    coded = plays.select(F.explode("artist_ids").alias("artist_id")).where(F.col("artist_id").isNotNull()).distinct()
+    return clean_with_audit(plays, artists, late_cut, {"artists": artists, "coded_artists": coded})[1]
 
 
 def distinct_plays(plays: DataFrame) -> DataFrame:

@@ -36,9 +36,9 @@ def key_user_pairs(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key, "user_id").agg(F.count("user_id").alias("n"))
 
 
-def user_artist_rollup(clean_plays: DataFrame) -> DataFrame:
-    """AGG2: per (user, artist) play count and first/last play time."""
-    return clean_plays.groupBy("user_id", "artist_id").agg(
+def user_artist_rollup(clean_plays: DataFrame, more_keys: list[str] | None = None) -> DataFrame:
+    """AGG2: per (user, artist), and ``more_keys``, play count and first/last play time."""
+    return clean_plays.groupBy(*(more_keys or []), "user_id", "artist_id").agg(
         F.count(F.lit(1)).alias("count"),
         F.min("timestamp").alias("first_time"),
         F.max("timestamp").alias("last_time"),

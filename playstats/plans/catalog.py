@@ -323,8 +323,18 @@ def q_key_check(fx: Fixtures) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Exclusion waterfall and row filters (PIPE1, AGG1, SET4, FLT2-6, AGG2, AGG25-26)
 # ---------------------------------------------------------------------------
+def _cleaned(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Clean plays, stored, and the audit: one pass over plays makes both."""
+
+    def build():
+        coded = _stored_ids(fx).where("entity_type = 'artist_ids'")
+        return clean.clean_with_audit(fx.plays, fx.artist, LATE_CUT, {"artists": fx.artist, "coded_artists": coded})
+
+    return fx.shared("cleaned", build)
+
+
 def _clean(fx: Fixtures) -> DataFrame:
-    return clean.clean_plays(fx.plays, fx.artist, LATE_CUT)
+    return _cleaned(fx)[0].select(*clean.CLEAN_COLUMNS)
 
 
 @register(
@@ -361,7 +371,7 @@ union all select 'coded_artists', count(distinct artist_id) from (select unnest(
 )
 def q_exclusion_audit(fx: Fixtures) -> DataFrame:
     """AGG1: row counts of every exclusion step (corrected duplicate count)."""
-    return clean.exclusion_audit(fx.plays, fx.artist, LATE_CUT)
+    return _cleaned(fx)[1]
 
 
 @register(
@@ -846,7 +856,7 @@ def _stored_ids(fx: Fixtures) -> DataFrame:
     before encoding); encoding reads it once per key type."""
     from playstats.session import cut_lineage
 
-    return cut_lineage(_ids(fx), "ids")
+    return fx.shared("ids", lambda: cut_lineage(_ids(fx), "ids"))
 
 
 @register("entity_ids", with_fixtures("select * from ids", IDS_CTE))
@@ -892,7 +902,7 @@ def q_encoded_plays(fx: Fixtures) -> DataFrame:
 )
 def q_coded_artists(fx: Fixtures) -> DataFrame:
     """JN5: every coded artist with its gender and type (NULL if unknown)."""
-    return encode.coded_artists(_ids(fx), fx.artist_uuid)
+    return encode.coded_artists(_stored_ids(fx), fx.artist_uuid)
 
 
 def _lookup_uuid() -> str:
@@ -905,7 +915,7 @@ def _lookup_uuid() -> str:
 @register("id_lookup", with_fixtures(f"select * from ids where entity_uuid = '{_lookup_uuid()}'", IDS_CTE))
 def q_id_lookup(fx: Fixtures) -> DataFrame:
     """FLT5: dictionary entry of one UUID."""
-    return encode.id_lookup(_ids(fx), _lookup_uuid())
+    return encode.id_lookup(_stored_ids(fx), _lookup_uuid())
 
 
 # ---------------------------------------------------------------------------
@@ -1024,3 +1034,7 @@ def q_eval_metrics(fx: Fixtures) -> DataFrame:
         F.round("ndcg", 9).alias("ndcg"), F.round("rbp", 9).alias("rbp"), F.round("reciprank", 9).alias("reciprank"),
         "train_size", "test_size",
     ).orderBy("window_start")
+
+
+# queries over files that are written first; they register themselves
+from playstats.plans import file_queries  # noqa: E402, F401

@@ -24,7 +24,7 @@ TABLES = (
 ).split()
 
 
-MATERIALIZED_VIEWS = ("artist", "recording", "plays", "actions", "plays_uuid", "artist_uuid")
+MATERIALIZED_VIEWS = ("artist", "recording", "plays", "actions", "plays_uuid", "artist_uuid", "raw_plays")
 #: Planted artists have keys from here on; no supplier has.
 UNKNOWN_ARTIST = 1_000_000_000
 _STORED: dict[tuple[str, str], "Fixtures"] = {}
@@ -64,6 +64,10 @@ class Fixtures:
             self._cache[name] = build()
         return self._cache[name]
 
+    def shared(self, name: str, build):
+        """What several queries derive from the same views, made once for these views: stored tables, files, reports."""
+        return self._memo(f"shared {name}", build)
+
     # -- metadata -----------------------------------------------------------
     @property
     def artist(self) -> DataFrame:
@@ -186,24 +190,27 @@ class Fixtures:
     def raw_plays(self) -> DataFrame:
         """Raw text rows of play files: every play, and added rows with
         upper-case keys, bad keys, no time, or a bad file name."""
-        return self._memo(
-            "raw_plays",
-            lambda: self.spark.sql(
-                """
-                with t as (select concat('/data/0', segment, '/', user_id, '.txt.zst') as file_path, timestamp,
-                                  array_join(artist_ids, ',') as artist_ids, release_id, rec_id
-                           from {plays})
-                select * from t
-                union all select file_path, timestamp, artist_ids, upper(release_id), upper(rec_id) from t where timestamp % 101 = 0
-                union all select file_path, timestamp, concat(artist_ids, ',x'), release_id, rec_id from t where timestamp % 103 = 0
-                union all select file_path, timestamp, artist_ids, 'bad', rec_id from t where timestamp % 107 = 0
-                union all select file_path, cast(null as bigint), artist_ids, release_id, rec_id from t where timestamp % 109 = 0
-                union all select replace(file_path, '/data/', '/data/xyz'), timestamp, artist_ids, release_id, rec_id
-                          from t where timestamp % 113 = 0
-                """,
-                plays=self.plays_uuid,
-            ),
-        )
+        def build():
+            # one pass that emits every row and beside it those added to some times
+            row = self.plays_uuid.select(
+                F.concat(F.lit("/data/0"), "segment", F.lit("/"), "user_id", F.lit(".txt.zst")).alias("file_path"),
+                "timestamp", F.array_join("artist_ids", ",").alias("artist_ids"), "release_id", "rec_id",
+            )
+            c, every = {name: F.col(name) for name in row.columns}, lambda n: F.col("timestamp") % n == 0
+
+            def variant(**changed):
+                return F.struct(*[changed.get(name, c[name]).alias(name) for name in row.columns])
+
+            added = [
+                F.when(every(101), variant(release_id=F.upper("release_id"), rec_id=F.upper("rec_id"))),
+                F.when(every(103), variant(artist_ids=F.concat("artist_ids", F.lit(",x")))),
+                F.when(every(107), variant(release_id=F.lit("bad"))),
+                F.when(every(109), variant(timestamp=F.lit(None).cast("bigint"))),
+                F.when(every(113), variant(file_path=F.replace("file_path", F.lit("/data/"), F.lit("/data/xyz")))),
+            ]
+            return row.select(F.inline(F.array_compact(F.array(variant(), *added))))
+
+        return self._memo("raw_plays", build)
 
     @property
     def artist_uuid(self) -> DataFrame:

@@ -11,11 +11,13 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playstats.operators import checks, clean, encode, inequality, recsys, rollups, stats
+from playstats.operators import clean, encode, inequality, recsys, rollups, stats
+from playstats.schemas import ROWS_PER_FILE
 from playstats.session import cut_lineage
-from playstats.sources.playfiles import parse_plays, require_no_rejects, scan_play_files
+from playstats.sources.playfiles import parse_plays, require_no_rejects, scan_play_files, split_rejects
 from playstats.sources import (
-    read_dumps,
+    load_dump,
+    read_segments,
     write_audit,
     write_csv_report,
     write_parquet,
@@ -26,41 +28,55 @@ from playstats.sources import (
 
 # -- PIPE4: metadata import ---------------------------------------------------
 def import_metadata(spark: SparkSession, dump_paths: dict[str, str], out_dir: str,
-                    only: str | None = None) -> dict[str, DataFrame]:
-    """Dumps -> ``artist_metadata`` / ``recording_metadata`` tables; primary keys checked."""
-    tables = read_dumps(spark, dump_paths, only)
-    for kind, df in tables.items():
-        key = "artist_id" if kind == "artist" else "rec_id"
-        checks.require_not_null(df, [key])
-        checks.require_unique(df, key)
-        write_parquet(df, os.path.join(out_dir, f"{kind}_metadata"))
-    return tables
+                    only: str | None = None, strict: bool = False) -> dict[str, dict[str, int]]:
+    """Dumps -> ``artist_metadata`` / ``recording_metadata`` tables, all or the
+    one named by ``only``; returns the counts of each (``load_dump``)."""
+    kinds = [only] if only else list(dump_paths)
+    return {k: load_dump(spark, dump_paths[k], k, os.path.join(out_dir, f"{k}_metadata"), strict) for k in kinds}
 
 
 # -- PIPE2/PIPE3: dictionary and encoded plays ------------------------------------
-def import_plays(spark: SparkSession, play_root: str, out_dir: str, use_mapping: bool = True) -> None:
-    """Raw play files -> id dictionary (``id_dictionary``) and plays by segment."""
+def import_plays(spark: SparkSession, play_root: str, out_dir: str, use_mapping: bool = True, strict: bool = False,
+                 rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Raw play files -> id dictionary (``id_dictionary``) and plays by segment.
+
+    Rows that do not load go to ``rejected_plays`` with file and reason, as in
+    a stream; ``strict`` makes them an error before anything is published.
+    """
     parsed = cut_lineage(parse_plays(scan_play_files(spark, play_root)), "staging")
-    require_no_rejects(parsed)
-    staging = parsed.where("reject is null").drop("reject", "file_path")
+    if strict:
+        require_no_rejects(parsed)
+    staging, rejected = split_rejects(parsed)
     plays = staging
     if use_mapping:
         ids = cut_lineage(encode.build_id_dictionary(staging), "id-dictionary")
         encode.check_code_capacity(ids)  # before anything is published
         write_parquet(ids, os.path.join(out_dir, "id_dictionary"))
         plays = encode.encode_plays(staging, ids)
-    write_segmented_plays(plays, os.path.join(out_dir, "plays"))
+    write_parquet(rejected, os.path.join(out_dir, "rejected_plays"))
+    write_segmented_plays(plays, os.path.join(out_dir, "plays"), rows_per_file)
+
+
+def mapped_artists(spark: SparkSession, out_dir: str) -> DataFrame:
+    """JN5: the artists of the dictionary with gender and type, from what
+    ``import_plays`` and ``import_metadata`` have written."""
+    read = lambda name: spark.read.parquet(os.path.join(out_dir, name))
+    return encode.coded_artists(read("id_dictionary"), read("artist_metadata"))
 
 
 # -- PIPE1 + AGG1 and AGG2 -----------------------------------------------------
 def prep_plays(spark: SparkSession, plays: DataFrame, artists: DataFrame, out_dir: str,
-               late_cut: str) -> DataFrame:
-    """Exclusion waterfall -> clean plays by segment and the audit log."""
-    audit = clean.exclusion_audit(plays, artists, late_cut)
+               late_cut: str, metadata: DataFrame | None = None) -> DataFrame:
+    """Exclusion waterfall -> clean plays by segment and the audit log.
+
+    ``artists`` is the dimension by the plays' artist keys; ``metadata``, if
+    given, the one that it was mapped from. The log has the sizes of both.
+    """
+    sizes = {"artists": artists if metadata is None else metadata, "coded_artists": artists}
+    kept, audit = clean.clean_with_audit(plays, artists, late_cut, sizes)
     write_audit(audit, os.path.join(out_dir, "exclusion_log.txt"))
-    kept = clean.clean_plays(plays, artists, late_cut, keep_segment=True)
     write_segmented_plays(kept, os.path.join(out_dir, "clean_plays"))
-    return spark.read.parquet(os.path.join(out_dir, "clean_plays"))
+    return read_segments(spark, os.path.join(out_dir, "clean_plays")).drop("chunk")
 
 
 def solo_artist_counts(clean_plays: DataFrame, out_dir: str) -> None:

@@ -46,6 +46,9 @@ RBP_PATIENCE = 0.85
 PLAY_FILE_RE = r"/([a-f0-9]+)/([a-f0-9-]+)\.txt\.zst$"
 UUID_RE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
+# A comma list of such keys, tested as one text.
+UUID_LIST_RE = UUID_RE[:-1] + "(," + UUID_RE[1:-1] + ")*$"
+
 # Rows per output file of the chunked writer.
 ROWS_PER_FILE = 20_000_000
 # ---------------------------------------------------------------------------
@@ -66,6 +69,9 @@ RAW_PLAY_SCHEMA = T.StructType(
     ]
 )
 
+#: Beside the columns of a text source: the whole line, if it does not parse.
+CORRUPT = "corrupt_line"
+
 # Staging plays with UUID keys.
 UUID_PLAY_SCHEMA = T.StructType(
     [

@@ -11,54 +11,68 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from playstats.functions import split_list
-from playstats.schemas import PLAY_FILE_RE, RAW_PLAY_SCHEMA, UUID_RE
+from playstats.schemas import CORRUPT, PLAY_FILE_RE, RAW_PLAY_SCHEMA, UUID_LIST_RE, UUID_RE
 
 DEFAULT_GLOB = "*/*.txt.zst"
 
 
+def _as_row(df: DataFrame, **columns) -> DataFrame:
+    """``df`` with ``columns``, each computed once: a generator of one row is a
+    step that filters and projections above it are not merged with."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def parse_plays(raw: DataFrame) -> DataFrame:
     """SRC2-4, PRJ1, FN1-2, C2-3: raw rows (``file_path`` and the four text
     columns) as plays, each with a ``reject`` reason, NULL for a good row.
 
-    Segment and user come from the file name; keys are lower-cased and must
-    be UUIDs; the user and the time must be known. Batch reads, streams and
+    Segment and user come from the file name, matched once; keys are
+    lower-cased and must be UUIDs, a list of them is tested as one text; the
+    user and the time must be known. A line that the text source could not
+    parse (``corrupt_line``) is a reject of its own. Batch reads, streams and
     queries all parse with this function.
     """
-    path = F.col("file_path")
-    matched = F.regexp_extract(path, PLAY_FILE_RE, 0) != ""
-    bad = lambda c: F.col(c).isNotNull() & ~F.col(c).rlike(UUID_RE)
-    rows = raw.select(
-        F.when(matched, F.regexp_extract(path, PLAY_FILE_RE, 1)).alias("segment"),
-        F.when(matched, F.lower(F.regexp_extract(path, PLAY_FILE_RE, 2))).alias("user_id"),
-        "timestamp",
-        split_list(F.lower("artist_ids")).alias("artist_ids"),
-        F.lower("release_id").alias("release_id"),
-        F.lower("rec_id").alias("rec_id"),
-        path.alias("file_path"),
+    corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    named = _as_row(
+        raw.select("timestamp", F.lower("artist_ids").alias("list"), F.lower("release_id").alias("release_id"),
+                   F.lower("rec_id").alias("rec_id"), "file_path", corrupt.alias("corrupt")),
+        name=F.regexp_extract("file_path", PLAY_FILE_RE, 0),
+    )
+    name = F.when(F.col("name") != "", F.col("name"))  # /segment/user.txt.zst
+    rows = named.select(
+        F.substring_index(F.substring_index(name, "/", -2), "/", 1).alias("segment"),
+        F.substring_index(F.substring_index(name, "/", -1), ".", 1).alias("user_id"),
+        "timestamp", "list", "release_id", "rec_id", "file_path", "corrupt",
     )
+    bad = lambda c, pattern=UUID_RE: F.col(c).isNotNull() & ~F.col(c).rlike(pattern)
     reject = (
         F.when(F.col("user_id").isNull(), "file_name")
         .when(bad("user_id"), "user_id")
+        .when(F.col("corrupt").isNotNull(), "line")
         .when(F.col("timestamp").isNull(), "timestamp")
-        .when(F.coalesce(F.exists("artist_ids", lambda x: ~x.rlike(UUID_RE)), F.lit(False)), "artist_ids")
+        .when(bad("list", UUID_LIST_RE), "artist_ids")
         .when(bad("release_id"), "release_id")
         .when(bad("rec_id"), "rec_id")
     )
-    return rows.withColumn("reject", reject)
+    return _as_row(rows, reject=reject).select(
+        "segment", "user_id", "timestamp", split_list("list").alias("artist_ids"), "release_id", "rec_id", "file_path", "reject"
+    )
+
+
+def play_file_options() -> dict[str, str]:
+    return {"sep": "\t", "header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+#: Types are fixed; a line that does not parse is kept as text.
+PLAY_FILE_SCHEMA = StructType([*RAW_PLAY_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
 
 def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
-    """SRC1, SRC5: raw rows of every play file with their ``file_path``.
-    Types are fixed; a line that does not parse fails the read."""
-    raw = (
-        spark.read.schema(RAW_PLAY_SCHEMA)
-        .option("sep", "\t")
-        .option("header", "false")
-        .option("mode", "FAILFAST")
-        .csv(os.path.join(root, pattern))
-    )
+    """SRC1, SRC5: raw rows of every play file with their ``file_path``."""
+    raw = spark.read.schema(PLAY_FILE_SCHEMA).options(**play_file_options()).csv(os.path.join(root, pattern))
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
@@ -76,6 +90,13 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject").isNotNull()).groupBy("reject").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Plays that load, and the rows that do not with file and reason."""
+    good = parsed.where(F.col("reject").isNull()).drop("reject", "file_path")
+    bad = parsed.where(F.col("reject").isNotNull()).select("file_path", "reject", "user_id", "timestamp", "artist_ids", "release_id", "rec_id")
+    return good, bad
+
+
 def require_no_rejects(parsed: DataFrame) -> None:
     """C2/C3 as a hard check: a row with a bad key aborts the load; rows of
     skipped files do not count."""

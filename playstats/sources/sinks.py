@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from playstats.operators.packing import pack_whole
 from playstats.schemas import ROWS_PER_FILE
+from playstats.session import cut_lineage
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -17,33 +19,84 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def write_segmented_plays(
-    plays: DataFrame,
-    path: str,
-    rows_per_file: int = ROWS_PER_FILE,
-    num_partitions: int | None = None,
-) -> None:
-    """SNK1: plays under ``path/segment=<s>/``, at most ``rows_per_file``
-    rows a file, each user's rows kept together in (user, time) order.
-
-    A range partition on (segment, user_id, timestamp) gives every task a
-    contiguous key range: files hold runs of whole users, no task receives a
-    whole segment, and a user with a large share of all plays is split by
-    time across several tasks instead of landing in one.
-    ``maxRecordsPerFile`` closes a file at the row limit.
+def write_segmented_plays(plays: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """SNK1: plays under ``path/segment=<s>/chunk=<c>/``, one file a chunk, a
+    user's rows all in one file, in (user, time) order.
+
+    Users of a segment are packed in order; a file closes with the user that
+    brings the segment's running count to the next multiple of
+    ``rows_per_file`` (``packing.pack_whole``). Plays find their chunk by its
+    first and last user: the chunks' table has a row for each file, so it is
+    far smaller than one of users. No user is split, as the file of a user is
+    the unit of the data set; a user with a large share of all plays is a large
+    file of one task, which sorts and writes it in bounded memory.
+
+    ``segment`` and ``user_id`` are never NULL in plays (``UUID_PLAY_SCHEMA``).
     """
-    n = num_partitions or plays.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    counts = plays.groupBy("segment", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    chunks = cut_lineage(pack_whole(counts, "segment", "user_id", "n", rows_per_file, "user-counts"), "play-chunks")
+    chunks = chunks.select(F.col("segment").alias("s"), "chunk", "first", "last")
+    inside = (F.col("segment") == F.col("s")) & F.col("user_id").between(F.col("first"), F.col("last"))
     (
-        plays.repartitionByRange(int(n), "segment", "user_id", "timestamp")
-        .sortWithinPartitions("segment", "user_id", "timestamp")
+        plays.join(chunks, inside)
+        .drop("s", "first", "last")
+        .repartition("segment", "chunk")
+        .sortWithinPartitions("segment", "chunk", "user_id", "timestamp")
         .write.mode("overwrite")
-        .partitionBy("segment")
-        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("segment", "chunk")
         .option("compression", "zstd")
         .parquet(path)
     )
 
 
+def write_play_files(plays: DataFrame, root: str) -> DataFrame:
+    """Plays as raw play files ``<root>/<segment>/<user>.txt.zst`` (the input
+    form of SRC1); returns (file, n_rows) of the files written.
+
+    A file is one user's rows in time order, so a user is one task's work.
+    Tasks write through Arrow's file systems, to a temporary name first: a
+    repeated task replaces the file by the same bytes. A NULL or empty list is
+    an empty field.
+    """
+
+    def field(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+    lists = F.coalesce(F.array_join("artist_ids", ","), F.lit(""))
+    line = F.concat_ws("\t", field("timestamp"), lists, field("release_id"), field("rec_id"))
+    rows = plays.repartition("segment", "user_id").sortWithinPartitions("segment", "user_id", "timestamp")
+    rows = rows.select(F.concat_ws("/", "segment", "user_id").alias("file"), line.alias("line"))
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        name, out, n = None, None, 0
+
+        def closed():
+            out.close()
+            store.move(part, f"{base}/{name}.txt.zst")
+            return pa.RecordBatch.from_arrays([pa.array([f"{name}.txt.zst"]), pa.array([n])], names=["file", "n_rows"])
+
+        for batch in batches:
+            for file, text in zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()):
+                if file != name:
+                    if out:
+                        yield closed()
+                    store.create_dir(f"{base}/{file.rpartition('/')[0]}", recursive=True)
+                    name, n, part = file, 0, f"{base}/{file.rpartition('/')[0]}/_{uuid.uuid4().hex}"
+                    out = store.open_output_stream(part, compression="zstd")
+                out.write(text.encode() + b"\n")
+                n += 1
+        if out:
+            yield closed()
+
+    return cut_lineage(rows.mapInArrow(write, "file string, n_rows bigint"), "written-play-files")
+
+
 def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
     """SNK6: an empty table with the same schema."""
     return spark.createDataFrame([], df.schema)
@@ -54,7 +107,8 @@ def append_segments(df: DataFrame, path: str, load: str, partition_col: str = "s
 
     Rows land under ``segment=<s>/load=<load>/``. ``load`` names what is
     loaded (an input file): a second file of a segment adds to the first, and
-    loading a file again replaces only its own rows. The overwrite mode is an
+    loading a file again replaces its own rows in the segments that it still
+    has (``commits.load_rows`` replaces all of them). The overwrite mode is an
     option of this write, so the session's other queries keep theirs.
     """
     (

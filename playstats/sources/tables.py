@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -12,11 +13,22 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
+def read_text_partitions(spark: SparkSession, paths: str | list[str], columns: list[str], base: str | None = None) -> DataFrame:
+    """Parquet folders whose partition ``columns`` are text, whatever they look
+    like: without a schema Spark reads folders such as ``1d``, ``2f`` and ``00`` as
+    numbers, and different names as the same value."""
+    reader = spark.read.option("basePath", base) if base else spark.read
+    paths = [paths] if isinstance(paths, str) else paths
+    found = reader.parquet(*paths).schema
+    fields = [StructField(f.name, StringType()) if f.name in columns else f for f in found.fields]
+    return reader.schema(StructType(fields)).parquet(*paths)
+
+
 def read_segments(spark: SparkSession, root: str) -> DataFrame:
-    """SRC10/SRC11: all segments under ``root/segment=<s>/``; ``segment`` is
-    a column (partition discovery), so no per-segment loop is needed and
+    """SRC10/SRC11: all segments under ``root/segment=<s>/``; ``segment`` is a
+    text column (partition discovery), so no per-segment loop is needed and
     filters on it prune folders."""
-    return spark.read.option("basePath", root).parquet(root)
+    return read_text_partitions(spark, root, ["segment"], root)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
