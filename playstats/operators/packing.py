@@ -19,11 +19,12 @@ def running_total(sizes: DataFrame, key: str, member: str, size: str, name: str
     placed = cut_lineage(placed, f"{name}-placed")
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy(key, "part").agg(F.sum(size).alias("total"))
-    totals = totals.select(F.col(key).alias("k"), F.col("part").alias("p"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    totals = totals.select(key, "part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    same = F.col(f"here.{key}").eqNullSafe(F.col(f"there.{key}")) & (F.col("here.part") == F.col("there.part"))
+    joined = placed.alias("here").join(totals.alias("there"), same).select("here.*", "there.offset")
     inside = Window.partitionBy(key, "part").orderBy(member).rowsBetween(Window.unboundedPreceding, -1)
-    joined = placed.join(totals, F.col(key).eqNullSafe(F.col("k")) & (F.col("part") == F.col("p")))
     before = F.col("offset") + F.coalesce(F.sum(size).over(inside), F.lit(0))
-    return joined.withColumn("before", before.cast("long")).drop("k", "p", "part", "offset")
+    return joined.withColumn("before", before.cast("long")).drop("part", "offset")
 
 
 def pack_whole(sizes: DataFrame, key: str, member: str, size: str, limit: int, name: str = "packing") -> DataFrame:

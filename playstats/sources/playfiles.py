@@ -71,7 +71,8 @@ PLAY_FILE_SCHEMA = StructType([*RAW_PLAY_SCHEMA.fields, StructField(CORRUPT, Str
 
 
 def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
-    """SRC1, SRC5: raw rows of every play file with their ``file_path``."""
+    """SRC1, SRC5: raw rows of every play file with their ``file_path``. A
+    line of white space only is no row."""
     raw = spark.read.schema(PLAY_FILE_SCHEMA).options(**play_file_options()).csv(os.path.join(root, pattern))
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"))
 
