@@ -1,17 +1,21 @@
 """Inequality and rank statistics: Gini (AGG30), log histogram (AGG31),
-fractional ranks (WIN2/WIN3) and Lorenz curves (WIN4).
+fractional ranks (WIN2/WIN3), Lorenz curves (WIN4) and exact order
+statistics (AGG29).
 
 All of them need positions in sorted order. Sorting every row in one window
 would put the whole table into one task, so they work on the histogram of
 values instead: one row per distinct value with its frequency. The number of
 items below a value (a prefix sum over sorted values) is computed in two
-levels: values are grouped into power-of-two buckets (at most ~65 per group),
-bucket totals give each bucket's offset, and a window inside each bucket
-adds the rest. Results are joined back by value where rows are needed.
+levels: values are cut into ranges that follow the data (quantiles of the
+distinct values, from a mergeable sketch), the ranges' totals give each
+range's offset, and a window inside each range adds the rest. So continuous
+values, nearly all of them distinct and close together, are spread as evenly
+as counts are. Results are joined back by value where rows are needed.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegralType
 
@@ -21,9 +25,25 @@ from playstats.session import cut_lineage
 DEC = "decimal(38,0)"
 
 
-def _bucket(v: Column) -> Column:
-    """Monotone bucket of a value: -1 for v < 1, else floor(log2 v)."""
-    return F.when(v < 1, F.lit(-1)).otherwise(F.floor(F.log2(v)).cast("int"))
+#: Ranges that the distinct values are cut into; each holds about as many of them.
+RANGES = 1024
+
+
+def _with_range(hist: DataFrame, value: str, ranges: int) -> DataFrame:
+    """``hist`` with ``__b``, the number of a value's range: how many of the
+    cuts lie below it, by a binary search in the sorted array of cuts.
+
+    The cuts are approximate quantiles; their error moves rows between
+    neighbouring ranges but no result. The sum over ``f`` makes the sketch read
+    the same aggregate as the histogram's other reader, which Spark then
+    shares between the two.
+    """
+    shares = F.lit(np.arange(1, ranges) / ranges)
+    sketch = F.struct(F.percentile_approx(value, shares, 10 * ranges).alias("cuts"), F.sum("f").alias("n"))
+    cuts = hist.agg(sketch).scalar()["cuts"]
+    steps = F.lit(np.array([1 << b for b in reversed(range((ranges - 1).bit_length()))], np.int32))
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("__cuts", at + step - 1) < F.col(value), at + step).otherwise(at))
+    return hist.withColumn("__cuts", cuts).withColumn("__b", below).drop("__cuts")
 
 
 def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
@@ -32,15 +52,16 @@ def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None)
     return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("f"))
 
 
-def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str] | None = None) -> DataFrame:
+def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str] | None = None,
+               ranges: int = RANGES) -> DataFrame:
     """Adds ``<w>_below`` (sum of weight ``w`` over smaller values of the
-    group) and ``<w>_total`` (over the whole group).
+    group) and ``<w>_total`` (over the whole group) to a histogram with ``f``.
 
-    Bucket offsets and totals come from windows over at most ~65 bucket rows
-    per group; the in-bucket part is a window partitioned by (group, bucket).
+    Range offsets and totals come from windows over at most ``ranges`` rows
+    per group; the rest is a window inside a range of a group.
     """
     groups = groups or []
-    hb = hist.withColumn("__b", _bucket(F.col(value)))
+    hb = _with_range(hist, value, ranges)
     totals = hb.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*groups)
@@ -55,7 +76,7 @@ def with_below(hist: DataFrame, value: str, weights: list[str], groups: list[str
         "*", *[F.coalesce(F.sum(w).over(wi), F.lit(0)).alias(f"__i_{w}") for w in weights]
     )
     # groups can be NULL (e.g. unknown gender), so they are matched with <=>
-    # at most ~65 rows per group; sized at runtime by adaptive execution
+    # at most ``ranges`` rows per group; sized at runtime by adaptive execution
     offsets = offsets.withColumnRenamed("__b", "__ob")
     for g in groups:
         offsets = offsets.withColumnRenamed(g, f"__og_{g}")
@@ -161,6 +182,36 @@ def lorenz_points(df: DataFrame, value: str, groups: list[str] | None = None) ->
     )
 
 
+def order_statistics(df: DataFrame, columns: list[str], shares: dict[str, float]) -> DataFrame:
+    """(variable, n, mean, std, min, max and a column for each of ``shares``)
+    of numeric columns: exact percentiles, interpolated between neighbours.
+
+    The value at place i (from 0) is the one with ``below <= i < below + f``, so
+    one aggregation over the histogram picks all percentiles; no task holds
+    the values of a column. Deviations are taken from the exact mean. A column
+    without values has no row.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in columns])
+    hist = value_histogram(df.select(F.inline(pairs)), "v", ["variable"]).withColumn("vf", F.col("v") * F.col("f"))
+    hb = with_below(hist, "v", ["f", "vf"], ["variable"]).withColumn("mean", F.col("vf_total") / F.col("f_total"))
+
+    def at(place: Column) -> Column:
+        here = (F.col("f_below") <= place) & (place < F.col("f_below") + F.col("f"))
+        return F.max(F.when(here, F.col("v")))
+
+    picked = []
+    for name, share in shares.items():
+        place = F.lit(share) * (F.col("f_total") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        picked.append((low + (high - low) * F.max(place - F.floor(place))).alias(name))
+    squares = F.sum(F.col("f") * F.pow(F.col("v") - F.col("mean"), 2))
+    n = F.max("f_total")
+    return hb.groupBy("variable").agg(
+        n.cast("double").alias("n"), F.max("mean").alias("mean"), F.when(n > 1, F.sqrt(squares / (n - 1))).alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"), *picked,
+    )
+
+
 def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """AGG31: histogram of ln(value) in ``bins`` equal-width bins between the
     smallest and largest log; the last bin is closed on the right. Values

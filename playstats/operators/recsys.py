@@ -165,93 +165,113 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     return ranked.select("k", "item_id", "cnt", (F.col("offset") + F.col("place")).cast("int").alias("pop_rank"))
 
 
-def user_groups(labelled: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
-    """One row per (window, user) that has training actions (JN12).
-
-    ``n_train``/``n_test`` count the user's rows; with ``ranks`` it also
-    holds ``seen`` (popularity ranks of the user's training items, bounded by
-    the user's distinct items) and ``truth`` (ranks of the test items that
-    were trained at all; others can never be recommended). Test rows of users
-    without training rows are dropped here, as the split requires.
+def place_rows(labelled: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Rows (k, user_id, rank, is_train, is_test) of a user in the order of
+    popularity ranks, with what lies before each: ``shift``, the number of
+    training items of lower rank, ``prev``, the highest of their ranks (0 if
+    none), and ``nth``, the number of test rows up to here.
+
+    A user's list skips the items seen in training, so an unseen item of rank
+    r is at place r - shift: places follow from running counts over the sorted
+    rows, and a user holds no list, array or set of items. Test items that were
+    never trained have no rank, come last and take no place.
     """
-    is_train, is_test = F.col("part") == "train", F.col("part") == "test"
-    aggs = [F.count(F.when(is_train, 1)).alias("n_train"), F.count(F.when(is_test, 1)).alias("n_test")]
-    rows = labelled
-    if ranks is not None:
-        rows = labelled.join(ranks.select("k", "item_id", "pop_rank"), ["k", "item_id"], "left")
-        aggs += [
-            F.collect_list(F.when(is_train, F.col("pop_rank"))).alias("seen"),
-            F.collect_list(F.when(is_test, F.col("pop_rank"))).alias("truth"),
-        ]
-    return rows.groupBy("k", "user_id").agg(*aggs).where(F.col("n_train") > 0)
-
-
-def window_sizes(groups: DataFrame, windows: DataFrame, min_test: int = EVAL_MIN_TEST_ROWS) -> DataFrame:
+    is_train = (F.col("part") == "train").cast("int").alias("is_train")
+    is_test = (F.col("part") == "test").cast("int").alias("is_test")
+    rows = labelled.join(ranks.select("k", "item_id", F.col("pop_rank").alias("rank")), ["k", "item_id"], "left")
+    rows = rows.select("k", "user_id", "rank", is_train, is_test)
+    order = Window.partitionBy("k", "user_id").orderBy(F.asc_nulls_last("rank"), F.desc("is_train"))
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.when(F.col("is_train") == 1, F.col("rank"))
+    return rows.select(
+        "*",
+        F.coalesce(F.sum("is_train").over(before), F.lit(0)).cast("int").alias("shift"),
+        F.coalesce(F.max(seen).over(before), F.lit(0)).alias("prev"),
+        F.sum("is_test").over(upto).alias("nth"),
+    )
+
+
+def _inv_log_discount(r: Column) -> Column:
+    return F.lit(1.0) / F.greatest(F.lit(1.0), F.log2(r.cast("double")))
+
+
+def user_scores(placed: DataFrame, n: int = EVAL_LIST_LENGTH, patience: float = RBP_PATIENCE) -> DataFrame:
+    """One row per (window, user) that has training actions (JN12): ``n_train``,
+    ``n_test``, ``last_seen`` (the highest rank seen), and for REC4-6 the sums
+    over hits, ``ndcg``, ``rbp`` and ``reciprank``.
+
+    A test item is hit at its place if that is at most ``n``; an item that is in
+    training too has the place of a seen one and is never recommended. Test
+    rows of users without training rows are dropped here, as the split requires.
+    """
+    test = F.col("is_test") == 1
+    place = F.col("rank") - F.col("shift")
+    unseen = F.col("rank") > F.col("prev")
+    hit = F.when(test & unseen & (place <= n), place)
+    scores = placed.groupBy("k", "user_id").agg(
+        F.sum("is_train").alias("n_train"),
+        F.sum("is_test").alias("n_test"),
+        F.max(F.when(F.col("is_train") == 1, F.col("rank"))).alias("last_seen"),
+        F.coalesce(F.sum(F.when(hit.isNotNull(), _inv_log_discount(hit))), F.lit(0.0)).alias("dcg"),
+        F.sum(F.when(test, _inv_log_discount(F.col("nth")))).alias("idcg"),
+        F.coalesce(F.sum(F.pow(F.lit(patience), hit - 1)), F.lit(0.0)).alias("hits"),
+        F.coalesce(F.max(F.lit(1.0) / hit), F.lit(0.0)).alias("reciprank"),
+    )
+    return scores.where(F.col("n_train") > 0).select(
+        "k", "user_id", "n_train", "n_test", "last_seen", (F.col("dcg") / F.col("idcg")).alias("ndcg"),
+        ((F.lit(1.0) - F.lit(patience)) * F.col("hits")).alias("rbp"), "reciprank",
+    )
+
+
+def window_sizes(users: DataFrame, windows: DataFrame, min_test: int = EVAL_MIN_TEST_ROWS) -> DataFrame:
     """AGG32, FLT11: train and test rows per window; windows with fewer than
     ``min_test`` test rows are left out. One row per window."""
     sizes = (
-        groups.groupBy("k")
+        users.groupBy("k")
         .agg(F.sum("n_train").cast("bigint").alias("train_size"), F.sum("n_test").cast("bigint").alias("test_size"))
         .where(F.col("test_size") >= min_test)
     )
     return sizes.join(F.broadcast(windows), "k").select("k", "window_start", "window_end", "train_size", "test_size")
 
 
-def user_lists(groups: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
-    """REC3 per test user: the top-``n`` list as popularity ranks.
+def free_ranges(placed: DataFrame, users: DataFrame, n: int = EVAL_LIST_LENGTH) -> DataFrame:
+    """REC3 per test user: the list as ranges (k, user_id, low, high, shift) of
+    popularity ranks; rank r of a range is at place r - shift.
 
-    The first n of 1..n+seen that the user has not seen (``array_except``
-    keeps order): no users x items product, no per-user sort.
+    A range is the gap before an item seen in training, cut at place ``n``, or
+    what follows the last one. A user has at most ``n`` of them, however many
+    items were seen: gaps that begin beyond place ``n`` are left out.
     """
-    free = F.slice(F.array_except(F.sequence(F.lit(1), F.lit(n) + F.size("seen")), F.col("seen")), 1, n)
-    return groups.where(F.col("n_test") > 0).select("k", "user_id", free.alias("recs"), "truth", "n_test")
+    low, wanted = F.col("prev") + 1, (F.col("n_test") > 0)
+    gaps = placed.where((F.col("is_train") == 1) & (F.col("rank") > low) & (low - F.col("shift") <= n))
+    gaps = gaps.select("k", "user_id", low.alias("low"), F.least(F.col("rank") - 1, F.lit(n) + F.col("shift")).alias("high"), "shift")
+    gaps = gaps.join(users.where(wanted).select("k", "user_id"), ["k", "user_id"], "left_semi")
+    begin = F.col("last_seen") + 1
+    rest = users.where(wanted & (begin - F.col("n_train") <= n)).select(
+        "k", "user_id", begin.alias("low"), (F.lit(n) + F.col("n_train")).cast("int").alias("high"), F.col("n_train").cast("int").alias("shift")
+    )
+    return gaps.unionByName(rest)
 
 
-def recommend_top_n(lists: DataFrame, ranks: DataFrame, head: int = HEAD_RANKS) -> DataFrame:
+def recommend_top_n(ranges: DataFrame, ranks: DataFrame, head: int = HEAD_RANKS) -> DataFrame:
     """REC3: (k, user_id, item_id, rank); ranks past the window's items drop.
 
     Almost all lists end among a window's first ranks. Those ranks' items are
     one array a window (at most ``head`` ids), broadcast and looked up in the
-    row, so the users of a window do not meet on its few popular ranks. Lists
+    row, so the users of a window do not meet on its few popular ranks. Ranges
     that reach further are joined to the ranks.
     """
-    place = (F.col("pos") + 1).cast("bigint").alias("rank")
     first = ranks.where(F.col("pop_rank") <= head).groupBy("k").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pop_rank", "item_id"))), lambda x: x["item_id"]).alias("items")
     )
-    near = F.array_max("recs") <= head
-    items = F.transform("recs", lambda r: F.get("items", r - 1))
-    looked_up = lists.where(near).join(F.broadcast(first), "k").select("k", "user_id", F.posexplode(items).alias("pos", "item_id"))
-    far = lists.where(~near).select("k", "user_id", F.posexplode("recs").alias("pos", "pop_rank"))
+    near = F.col("high") <= head
+    items = F.slice("items", F.col("low"), F.col("high") - F.col("low") + 1)
+    place = (F.col("low") + F.col("pos") - F.col("shift")).cast("bigint").alias("rank")
+    looked_up = ranges.where(near).join(F.broadcast(first), "k").select("k", "user_id", "low", "shift", F.posexplode(items).alias("pos", "item_id"))
+    far = ranges.where(~near).select("k", "user_id", "low", "shift", F.posexplode(F.sequence("low", "high")).alias("pos", "pop_rank"))
     joined = far.join(ranks.select("k", "pop_rank", "item_id"), ["k", "pop_rank"])
     columns = ("k", "user_id", "item_id", place)
-    return looked_up.where(F.col("item_id").isNotNull()).select(*columns).unionByName(joined.select(*columns))
-
-
-def _inv_log_discount(r: Column) -> Column:
-    return F.lit(1.0) / F.greatest(F.lit(1.0), F.log2(r.cast("double")))
-
-
-def user_metrics(lists: DataFrame, patience: float = RBP_PATIENCE) -> DataFrame:
-    """REC4-6 per (k, user) from ``user_lists``: NDCG, RBP, reciprocal rank.
-
-    Hit positions are the 1-based positions of the list whose rank is among
-    the test ranks; all sums run inside the row (higher-order functions).
-    """
-    hit_pos = F.filter(
-        F.transform("recs", lambda x, i: F.when(F.array_contains("truth", x), i + 1)), lambda p: p.isNotNull()
-    )
-    with_hits = lists.select("k", "user_id", "n_test", hit_pos.alias("hits"))
-    dcg = F.aggregate("hits", F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r))
-    idcg = F.aggregate(F.sequence(F.lit(1), F.col("n_test")), F.lit(0.0), lambda acc, r: acc + _inv_log_discount(r))
-    rbp = F.aggregate("hits", F.lit(0.0), lambda acc, r: acc + F.pow(F.lit(patience), r - 1))
-    return with_hits.select(
-        "k",
-        "user_id",
-        (dcg / idcg).alias("ndcg"),
-        ((F.lit(1.0) - F.lit(patience)) * rbp).alias("rbp"),
-        F.when(F.size("hits") > 0, F.lit(1.0) / F.get("hits", 0)).otherwise(F.lit(0.0)).alias("reciprank"),
-    )
+    return looked_up.select(*columns).unionByName(joined.select(*columns))
 
 
 def evaluate(
@@ -262,10 +282,8 @@ def evaluate(
     n: int = EVAL_LIST_LENGTH,
     step: int = EVAL_STEP_MONTHS,
     size: int = EVAL_WINDOW_MONTHS,
-    upto: str = "metrics",
 ) -> dict[str, DataFrame]:
-    """PIPE7: the evaluation stages as DataFrames, computed up to ``upto``
-    ('split', 'recs' or 'metrics').
+    """PIPE7: the evaluation stages as DataFrames.
 
     Stage outputs read several times later are written to the shared
     checkpoint folder (``cut_lineage``): each is computed once, a lost
@@ -274,24 +292,21 @@ def evaluate(
     """
     prepared = cut_lineage(prepare_actions(actions, data_from, data_to), "actions")
     windows = eval_windows(prepared, start, step, size)  # one aggregate of ``prepared``
-    labelled = label_rows(assign_windows(prepared, windows, start, step, size), step)
-    if upto == "split":
-        return {"windows": windows, "sizes": window_sizes(user_groups(labelled), windows)}
-    # small (items x windows) and read by the grouping and by the lists
+    labelled = cut_lineage(label_rows(assign_windows(prepared, windows, start, step, size), step), "labelled")
+    # small (items x windows) and read by the rows and by the lists
     ranks = cut_lineage(popularity_ranks(labelled.where(F.col("part") == "train")), "ranks")
+    placed = cut_lineage(place_rows(labelled, ranks), "placed")
     # one row per (window, user): read by sizes, lists and metrics
-    groups = cut_lineage(user_groups(labelled, ranks), "user_groups")
-    sizes = window_sizes(groups, windows)
-    kept = groups.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
-    lists = user_lists(kept, n)
-    out = {"windows": windows, "sizes": sizes, "ranks": ranks, "recs": recommend_top_n(lists, ranks)}
-    if upto == "recs":
-        return out
-    per_user = user_metrics(lists)
-    out["per_user"] = per_user
-    out["metrics"] = (
-        per_user.groupBy("k")
-        .agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
-        .join(F.broadcast(sizes), "k")
-    )
-    return out
+    users = cut_lineage(user_scores(placed, n), "user_scores")
+    sizes = window_sizes(users, windows)
+    kept = users.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
+    per_user = kept.where(F.col("n_test") > 0).select("k", "user_id", "ndcg", "rbp", "reciprank")
+    means = per_user.groupBy("k").agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
+    return {
+        "windows": windows,
+        "sizes": sizes,
+        "ranks": ranks,
+        "recs": recommend_top_n(free_ranges(placed, kept, n), ranks),
+        "per_user": per_user,
+        "metrics": means.join(F.broadcast(sizes), "k"),
+    }

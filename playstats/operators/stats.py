@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playstats.functions import credit_genres, epoch_to_date, list_length, month_of, year_of
+from playstats.operators.inequality import order_statistics
 from playstats.operators.rollups import (
     explode_artists,
     first_artist,
@@ -284,32 +285,11 @@ PROFILE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 def numeric_profile(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """AGG29: pandas ``describe().round(2)`` for each column, one row each.
 
-    One aggregation pass for all columns. Exact percentiles with linear
-    interpolation (as pandas); Spark's ``percentile`` keeps a value->count
-    map, so its memory follows the number of distinct values, not rows.
-    Rounded half to even like pandas.
+    Exact percentiles with linear interpolation (as pandas), found by counts
+    over ranges of values (``inequality.order_statistics``). Rounded half to
+    even like pandas. A column without values has count 0 and NULLs.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).cast("double").alias(f"{c}__count"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"),
-            F.percentile(x, 0.25).alias(f"{c}__p25"),
-            F.percentile(x, 0.5).alias(f"{c}__p50"),
-            F.percentile(x, 0.75).alias(f"{c}__p75"),
-            F.max(x).alias(f"{c}__max"),
-        ]
-    one = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("variable"),
-                *[F.bround(F.col(f"{c}__{k}"), digits).alias(k) for k in PROFILE_STATS],
-            )
-            for c in columns
-        ]
-    )
-    return one.select(F.explode(rows).alias("p")).select("p.*")
+    found = order_statistics(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).withColumnRenamed("n", "count")
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("variable"))
+    rounded = [F.bround(F.coalesce(F.col(k), F.lit(0.0)) if k == "count" else F.col(k), digits).alias(k) for k in PROFILE_STATS]
+    return names.join(found, "variable", "left").select("variable", *rounded)

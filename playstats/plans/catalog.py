@@ -323,18 +323,18 @@ def q_key_check(fx: Fixtures) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Exclusion waterfall and row filters (PIPE1, AGG1, SET4, FLT2-6, AGG2, AGG25-26)
 # ---------------------------------------------------------------------------
-def _cleaned(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+def _clean(fx: Fixtures) -> DataFrame:
+    return clean.clean_plays(fx.plays, fx.artist, LATE_CUT)
+
+
+def _audited(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """Clean plays, stored, and the audit: one pass over plays makes both."""
 
     def build():
         coded = _stored_ids(fx).where("entity_type = 'artist_ids'")
         return clean.clean_with_audit(fx.plays, fx.artist, LATE_CUT, {"artists": fx.artist, "coded_artists": coded})
 
-    return fx.shared("cleaned", build)
-
-
-def _clean(fx: Fixtures) -> DataFrame:
-    return _cleaned(fx)[0].select(*clean.CLEAN_COLUMNS)
+    return fx.shared("audited", build)
 
 
 @register(
@@ -371,7 +371,16 @@ union all select 'coded_artists', count(distinct artist_id) from (select unnest(
 )
 def q_exclusion_audit(fx: Fixtures) -> DataFrame:
     """AGG1: row counts of every exclusion step (corrected duplicate count)."""
-    return _cleaned(fx)[1]
+    return _audited(fx)[1]
+
+
+@register(
+    "audited_plays",
+    with_fixtures("select segment, user_id, timestamp, artist_id, release_id, rec_id from clean_plays", CLEAN_CTE),
+)
+def q_audited_plays(fx: Fixtures) -> DataFrame:
+    """PIPE1, MUT1: the clean plays that the audit's pass has written."""
+    return _audited(fx)[0]
 
 
 @register(
@@ -646,6 +655,13 @@ def q_gini_order_price(fx: Fixtures) -> DataFrame:
     return inequality.gini(prices, "price", ["priority"]).withColumn("gini", F.round("gini", 9))
 
 
+@register("order_price_rank", "select o_orderkey, cume_dist() over (order by o_totalprice desc) as rank from orders")
+def q_order_price_rank(fx: Fixtures) -> DataFrame:
+    """WIN2 on a double column: share of orders at or above each order's price."""
+    orders = fx.table("orders").select("o_orderkey", "o_totalprice")
+    return inequality.fractional_rank(orders, "o_totalprice", "rank").select("o_orderkey", "rank")
+
+
 @register(
     "log_play_histogram",
     with_fixtures(
@@ -972,8 +988,9 @@ from ideal i left join hagg h using (window_start, user_id)""",
 }
 
 
-def _evaluation(fx: Fixtures, upto: str = "metrics") -> dict[str, DataFrame]:
-    return recsys.evaluate(fx.actions, EVAL_START, EVAL_DATA_FROM, EVAL_DATA_TO, n=EVAL_N, upto=upto)
+def _evaluation(fx: Fixtures) -> dict[str, DataFrame]:
+    """The evaluation's stages, stored once and read by all its queries."""
+    return fx.shared("evaluation", lambda: recsys.evaluate(fx.actions, EVAL_START, EVAL_DATA_FROM, EVAL_DATA_TO, n=EVAL_N))
 
 
 def _day(c: str):
@@ -998,7 +1015,7 @@ def q_eval_windows(fx: Fixtures) -> DataFrame:
 )
 def q_window_split_sizes(fx: Fixtures) -> DataFrame:
     """REC2, FLT9-11, JN12-13, AGG32: train and test rows of every kept window."""
-    sizes = _evaluation(fx, "split")["sizes"]
+    sizes = _evaluation(fx)["sizes"]
     return sizes.select(_day("window_start"), _day("window_end"), "train_size", "test_size").orderBy("window_start")
 
 
@@ -1009,7 +1026,7 @@ def q_window_split_sizes(fx: Fixtures) -> DataFrame:
 )
 def q_top_n(fx: Fixtures) -> DataFrame:
     """REC3: top-100 unseen popular items for each test user of each window."""
-    ev = _evaluation(fx, "recs")
+    ev = _evaluation(fx)
     starts = ev["windows"].select("k", _day("window_start"))
     return ev["recs"].join(F.broadcast(starts), "k").select("window_start", "user_id", "item_id", "rank")
 

@@ -1,12 +1,13 @@
 """Hand-made edge rows with their expected values (FIXTURES.md §3)."""
 
+import math
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from playstats.functions import credit_genres, first_element, list_length, shift_days, shift_months, split_list
-from playstats.operators import clean, encode, inequality, rollups
+from playstats.operators import clean, encode, inequality, rollups, stats
 from playstats.schemas import epoch_seconds
 
 LIST_SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("a", T.ArrayType(T.LongType()))])
@@ -264,10 +265,55 @@ def test_ranks_and_lists_past_the_broadcast_head(spark, monkeypatch):
         for r, (_, i) in enumerate(sorted((-n, i) for (kk, i), n in count.items() if kk == k), 1):
             want[k, i] = r
     assert {(r["k"], r["item_id"]): r["pop_rank"] for r in ranks.collect()} == want
-    labelled = train.withColumn("part", F.lit("train")).union(train.withColumn("part", F.lit("test")))
-    lists = recsys.user_lists(recsys.user_groups(labelled, ranks), 5)
-    got = [sorted(map(tuple, recsys.recommend_top_n(lists, ranks, head).collect())) for head in (1, 7, 1000)]
+    # every training row is a test row too, beside rows of items that are new to the user or were never trained
+    tests = rows + [(0, u, i) for u in range(6) for i in (1, 3, 35, 77)] + [(0, 99, 1), (1, 1, 9)]
+    tests = sorted(set(tests))
+    test = spark.createDataFrame(tests, train.schema)
+    labelled = train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    placed = recsys.place_rows(labelled, ranks)
+    users = recsys.user_scores(placed, 5)
+    ranges = recsys.free_ranges(placed, users, 5)
+    got = [sorted(map(tuple, recsys.recommend_top_n(ranges, ranks, head).collect())) for head in (1, 7, 1000)]
     assert got[0] == got[1] == got[2] and got[0]
+    lists = {}
+    for k, u in {(k, u) for k, u, _ in rows}:
+        seen = {i for kk, uu, i in rows if (kk, uu) == (k, u)}
+        items = sorted((r, i) for (kk, i), r in want.items() if kk == k and i not in seen)
+        lists[k, u] = [i for _, i in items[:5]]
+    assert got[0] == sorted((k, u, i, r) for (k, u), items in lists.items() for r, i in enumerate(items, 1))
+    assert ranges.groupBy("k", "user_id").count().where("count > 5").count() == 0
+    discount = lambda r: 1 / max(1, math.log2(r))
+    for r in users.collect():
+        wanted = {i for k, u, i in tests if (k, u) == (r["k"], r["user_id"])}
+        hits = [p for p, i in enumerate(lists[r["k"], r["user_id"]], 1) if i in wanted]
+        assert r["n_test"] == len(wanted)
+        assert r["ndcg"] == pytest.approx(sum(map(discount, hits)) / sum(map(discount, range(1, len(wanted) + 1))))
+        assert r["rbp"] == pytest.approx(0.15 * sum(0.85 ** (h - 1) for h in hits))
+        assert r["reciprank"] == pytest.approx(1 / hits[0] if hits else 0)
+    assert {(r["k"], r["user_id"]) for r in users.collect()} == set(lists)
+
+
+@pytest.mark.parametrize("ranges", [2, 3, 1024])
+def test_counts_below_follow_any_values(spark, ranges):
+    vals = [0.1 * i for i in range(300)] + [7.0] * 200 + [-5.0, 1e-9, 1e12, 3.25, 3.25]
+    df = spark.createDataFrame([(g, v) for g in ("a", None) for v in vals[: None if g else 350]], "g string, v double")
+    hist = inequality.value_histogram(df, "v", ["g"])
+    for r in inequality.with_below(hist, "v", ["f"], ["g"], ranges).collect():
+        own = vals if r["g"] else vals[:350]
+        assert (r["f_below"], r["f"], r["f_total"]) == (sum(x < r["v"] for x in own), own.count(r["v"]), len(own))
+
+
+def test_exact_percentiles(spark):
+    import pandas as pd
+
+    data = {"a": [1, 5, 5, 9, 100, None], "b": [2.5, -1.0, None, None, 0.5, 7.25], "c": [None] * 6, "d": [3, None, None, None, None, None]}
+    df = spark.createDataFrame(list(zip(*data.values())), "a long, b double, c long, d int")
+    got = {r["variable"]: r for r in stats.numeric_profile(df, list(data)).collect()}
+    for c in ("a", "b"):
+        want = pd.Series(data[c], dtype=float).describe().round(2)
+        assert [got[c][k] for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")] == pytest.approx(list(want))
+    assert got["c"]["count"] == 0 and got["c"]["p50"] is None
+    assert (got["d"]["count"], got["d"]["p25"], got["d"]["std"]) == (1, 3, None)
 
 
 def test_codes_of_keys_with_one_prefix(spark):
