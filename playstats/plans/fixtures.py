@@ -25,6 +25,8 @@ TABLES = (
 
 
 MATERIALIZED_VIEWS = ("artist", "recording", "plays", "actions", "plays_uuid", "artist_uuid", "raw_plays")
+#: The test tables are single files that one task reads; a stored view is several that many tasks read.
+VIEW_ROWS_PER_FILE = 40_000
 #: Planted artists have keys from here on; no supplier has.
 UNKNOWN_ARTIST = 1_000_000_000
 _STORED: dict[tuple[str, str], "Fixtures"] = {}
@@ -52,7 +54,7 @@ class Fixtures:
             fx = cls(spark, sf_dir)
             # in dependency order: later views are derived from stored ones
             for name in MATERIALIZED_VIEWS:
-                fx._cache[name] = cut_lineage(getattr(fx, name), f"fixture-{name}")
+                fx._cache[name] = cut_lineage(getattr(fx, name), f"fixture-{name}", VIEW_ROWS_PER_FILE)
             _STORED[key] = fx
         return _STORED[key]
 

@@ -27,6 +27,8 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # a listing of many files in few tasks a core, not in a task for each file
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -101,16 +103,18 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "playstats-stages", app, f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Used between pipeline stages whose output is read several times: it is
     computed once, a lost executor re-reads the files instead of recomputing
     the lineage, and later plans start from a plain scan. Parquet is columnar
-    and compressed, unlike an RDD checkpoint's serialized rows.
+    and compressed, unlike an RDD checkpoint's serialized rows. With
+    ``rows_per_file`` a task begins a new file after so many rows, so that a
+    table made by few tasks can be read by many.
     """
     spark, path = df.sparkSession, stage_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
     stored = spark.read.parquet(path)
     stored._stage_path = path
     return stored

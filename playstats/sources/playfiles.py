@@ -70,10 +70,18 @@ def play_file_options() -> dict[str, str]:
 PLAY_FILE_SCHEMA = StructType([*RAW_PLAY_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
 
+def folders_and_names(root: str, pattern: str) -> tuple[str, str]:
+    """A pattern of files as one of folders and one of names: Spark then lists
+    the folders it matches, not every file by itself."""
+    folders, _, names = pattern.rpartition("/")
+    return os.path.join(root, folders), names
+
+
 def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
     """SRC1, SRC5: raw rows of every play file with their ``file_path``. A
     line of white space only is no row."""
-    raw = spark.read.schema(PLAY_FILE_SCHEMA).options(**play_file_options()).csv(os.path.join(root, pattern))
+    folders, names = folders_and_names(root, pattern)
+    raw = spark.read.schema(PLAY_FILE_SCHEMA).options(**play_file_options(), pathGlobFilter=names).csv(folders)
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
