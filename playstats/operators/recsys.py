@@ -144,7 +144,7 @@ def label_rows(
     part = F.when(F.col("ts") <= shift_days(F.col("test_start"), -1), "train").when(
         F.col("ts") >= F.col("test_start"), "test"
     )
-    return wd.withColumn("part", part).where(F.col("part").isNotNull()).drop("test_start")
+    return wd.withColumn("part", part).where(F.col("part").isNotNull()).select("k", "user_id", "item_id", "part")
 
 
 def popularity_ranks(train: DataFrame) -> DataFrame:

@@ -8,14 +8,16 @@ under the checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from playstats.functions import credit_genres
 from playstats.plans.catalog import CLEAN_CTE, LATE_CUT, register
 from playstats.plans.fixtures import Fixtures, uuid_sql
 from playstats.plans.oracle_fixtures import with_fixtures
-from playstats.session import stage_path
-from playstats.sources import commit_load, load_rows, read_loads, read_segments, stage_load
+from playstats.session import cut_lineage, stage_path
+from playstats.sources import drop_database, list_columns, load_rows, read_loads, read_segments, save_table, stage_load
 from playstats.sources.dumps import DUMP_REJECTS, scan_dump
 from playstats.sources.playfiles import parse_plays, reject_counts, scan_play_files, split_rejects
 from playstats.sources.sinks import write_play_files, write_segmented_plays
@@ -246,3 +248,37 @@ def q_streamed_rollup(fx: Fixtures) -> DataFrame:
         if len(parts) == 1:
             compact_rollup(fx.spark, table)
     return read_clean_rollup(fx.spark, table)
+
+
+# ---------------------------------------------------------------------------
+# SNK5, SRC13, SRC16: tables of the catalog
+# ---------------------------------------------------------------------------
+@register(
+    "catalog_columns",
+    with_fixtures(
+        "\nunion all ".join(
+            f"select '{table}' as table_name, '{column}' as column_name, '{kind}' as data_type, count({column}) as n_values from {table}"
+            for table, columns in (
+                ("artist", {"artist_id": "bigint", "name": "string", "gender": "string", "type": "string"}),
+                ("recording", {"rec_id": "bigint", "title": "string", "artist_credit": "string"}),
+            )
+            for column, kind in columns.items()
+        )
+    ),
+)
+def q_catalog_columns(fx: Fixtures) -> DataFrame:
+    """SNK5, SRC13, SRC16: columns of the metadata tables in a database, as the
+    catalog lists them after one was replaced by another form, and how many
+    values each holds, read by qualified name."""
+    name = f"metadata_{uuid.uuid4().hex[:12]}"
+    save_table(fx.recording.select("rec_id", F.lit(1).alias("old")), name, "recording", stage_path(fx.spark, "database"))
+    tables = {"artist": save_table(fx.artist, name, "artist"), "recording": save_table(fx.recording, name, "recording")}
+    columns = list_columns(fx.spark, name)
+    values = None
+    for table, df in tables.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        one = counts.select(F.inline(F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in df.columns])))
+        values = one if values is None else values.unionByName(one)
+    out = cut_lineage(columns.join(values, ["table_name", "column_name"]), "catalog-columns")
+    drop_database(fx.spark, name)
+    return out.select("table_name", "column_name", "data_type", "n_values")

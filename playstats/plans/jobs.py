@@ -18,6 +18,7 @@ from playstats.sources.playfiles import parse_plays, require_no_rejects, scan_pl
 from playstats.sources import (
     load_dump,
     read_segments,
+    save_table,
     write_audit,
     write_csv_report,
     write_parquet,
@@ -27,12 +28,19 @@ from playstats.sources import (
 
 
 # -- PIPE4: metadata import ---------------------------------------------------
-def import_metadata(spark: SparkSession, dump_paths: dict[str, str], out_dir: str,
-                    only: str | None = None, strict: bool = False) -> dict[str, dict[str, int]]:
+def import_metadata(spark: SparkSession, dump_paths: dict[str, str], out_dir: str, only: str | None = None,
+                    strict: bool = False, database: str | None = None) -> dict[str, dict[str, int]]:
     """Dumps -> ``artist_metadata`` / ``recording_metadata`` tables, all or the
-    one named by ``only``; returns the counts of each (``load_dump``)."""
+    one named by ``only``; returns the counts of each (``load_dump``). With
+    ``database`` they are tables of the session's catalog too."""
     kinds = [only] if only else list(dump_paths)
-    return {k: load_dump(spark, dump_paths[k], k, os.path.join(out_dir, f"{k}_metadata"), strict) for k in kinds}
+    counts = {}
+    for kind in kinds:
+        path = os.path.join(out_dir, f"{kind}_metadata")
+        counts[kind] = load_dump(spark, dump_paths[kind], kind, path, strict)
+        if database:
+            save_table(spark.read.parquet(path), database, f"{kind}_metadata")
+    return counts
 
 
 # -- PIPE2/PIPE3: dictionary and encoded plays ------------------------------------

@@ -14,9 +14,22 @@ from playstats.sources.sinks import (
     write_recommendations,
     write_segmented_plays,
 )
-from playstats.sources.tables import describe, list_tables, read_segments, read_table, read_text_partitions, register_view
+from playstats.sources.tables import (
+    describe,
+    drop_database,
+    list_columns,
+    list_tables,
+    read_segments,
+    read_table,
+    read_text_partitions,
+    register_view,
+    save_table,
+)
 
 __all__ = [
+    "drop_database",
+    "list_columns",
+    "save_table",
     "commit_load",
     "commits",
     "load_rows",

@@ -37,6 +37,33 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def save_table(df: DataFrame, database: str, name: str, location: str | None = None) -> DataFrame:
+    """SNK5, SRC13: ``df`` as the table ``database.name`` of the session's
+    catalog, in place of one that is there, whatever its columns; read it by
+    that name. A new database is made in ``location`` (the warehouse if None)."""
+    spark = df.sparkSession
+    if not spark.catalog.databaseExists(database):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`" + (f" LOCATION '{location}'" if location else ""))
+    df.write.mode("overwrite").option("compression", "zstd").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+    return spark.table(f"`{database}`.`{name}`")
+
+
+def drop_database(spark: SparkSession, database: str) -> None:
+    """Remove a database and the tables in it."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
+def list_columns(spark: SparkSession, database: str) -> DataFrame:
+    """SRC16: (table_name, column_name, data_type) of a database's tables, from the catalog."""
+    rows = [
+        (t.name, c.name, c.dataType)
+        for t in spark.catalog.listTables(database)
+        if not t.isTemporary
+        for c in spark.catalog.listColumns(f"`{database}`.`{t.name}`")
+    ]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+
+
 def describe(df: DataFrame) -> list[tuple[str, str]]:
     """SRC16: column names and types (schema only, no job)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]

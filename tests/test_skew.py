@@ -56,3 +56,26 @@ def test_hot_value_ranks_and_gini(spark):
     assert abs(inequality.gini(df, "v").first()["gini"] - want) < 1e-12
     ranks = inequality.fractional_rank(df, "v", "r")
     assert ranks.where("v = 1").select(F.min("r"), F.max("r")).first() == (1.0, 1.0)
+
+
+def test_hot_and_missing_keys_are_spread_in_encoding(spark):
+    from playstats.operators import encode
+
+    third = ["hot"] * 3000 + [None] * 3000 + [f"key{i}" for i in range(3000)]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(third)], "timestamp bigint, user_id string")
+    look = spark.createDataFrame([("hot", -1)] + [(f"key{i}", i) for i in range(0, 3000, 2)], "__key string, code int")
+    hot = encode.frequent_values(rows, {"user_id": F.col("user_id")}, 0.1)
+    assert hot == {"user_id": ["hot"]} or "hot" in hot["user_id"] and len(hot["user_id"]) <= 10
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = encode.join_codes(rows, F.col("user_id"), look, "code", hot["user_id"], F.xxhash64("timestamp"))
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        got = {r["timestamp"]: r["code"] for r in out.collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(sizes) > 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    codes = {"hot": -1, **{f"key{i}": i for i in range(0, 3000, 2)}}
+    assert got == {i: codes.get(k) for i, k in enumerate(third)}
