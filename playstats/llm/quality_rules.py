@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playstats.llm.common import words_of
+from playstats.llm.common import SPACE, words_of
 
 #: Frequent words of the four languages, matched in lower case.
 STOP_WORDS = (
@@ -80,9 +80,9 @@ def _parts(df: DataFrame, keep: list[str]) -> DataFrame:
     A window is known by a 64-bit hash of its words' hashes. Only texts in
     which some hash repeats are sorted; equal windows are then neighbours.
     """
-    blank = "[\\\\x20\\\\x09-\\\\x0D]*"
     df = df.withColumn("words", words_of(F.col("text")))
-    df = df.withColumn("lines", F.expr(f"filter(split(text, '\\n'), l -> NOT l RLIKE '^{blank}$')"))
+    # a pattern that ends in $ would also match before a final line separator such as U+2028
+    df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda line: F.trim(line, F.lit(SPACE)) != ""))
     df = df.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
     inner = ", ".join(f"h[i + {k}]" for k in range(WINDOW))
     df = df.withColumn(

@@ -10,6 +10,7 @@ TEXTS = [
     "the same five words again " * 3 + "and then some other words that do not repeat in any way at all in this text",
     "wow! such! shout! very! loud! so! many! marks! in! here! the! of!", "w\x1cx y\xa0z \x0bv\x0cu\rt the of and to in a is that",
     "aaaa " * 30000,
+    "a\n\x85\n\x85", "a\n\u2028\nb\u2028\nb\u2028\n \u2029\n\t\u2029\n\u2029", "\x85 \n\r\n\x0c\n\u2029 \r\n\u2029 \r",
 ]
 
 
