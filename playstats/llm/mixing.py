@@ -6,22 +6,32 @@
    ``target_entropy`` (a part of the largest possible, log of the number of
    sources), but no smaller than the least one that repeats no source more
    than ``max_repeats`` times within the budget.
-3. A weight becomes a quota of ``floor(weight * budget)`` tokens. Documents
-   fall into hashed blocks; each epoch of a source is a permutation of its
-   blocks, ordered by a hash of source, epoch and block. Whole blocks are
-   taken while they fit the quota; in the block that crosses it, documents
-   are taken in hashed order while their running sum fits.
+3. A weight becomes a quota of ``floor(weight * budget)`` tokens: whole copies
+   of the source, and the room that they leave, less than one copy. Documents
+   fall into hashed blocks; an epoch of a source is a permutation of its
+   blocks, ordered by a hash of source, epoch and block, and inside a block of
+   its documents, by a hash of id and epoch.
+4. The room is filled in rounds. Documents that are not taken yet and would
+   fit by themselves are taken in the permutation's order as long as all of
+   them together fit; what is left is the room of the next round. It ends when
+   no document fits any more, so a quota stays short by less than the smallest
+   document that was left out.
 
 Only DataFrame expressions are used. The sources' table is never collected:
 every round of the bisection evaluates 15 exponents by one aggregation and
-so halves the interval four times. Sums over blocks come before any window,
-so a source with most of the rows is a few rows a block in its window, and
-single documents are ordered in the crossing blocks only.
+so halves the interval four times. A round of the filling finds one place in
+the order, the first document that is too much: by sums over cells of the
+blocks' hashes, then over the blocks of one cell, then over the ids of one
+block, so no window runs over all blocks or documents of a source. A source
+remembers the room and that place of each round; whether a document is taken
+follows from these, without lists of documents.
 
 Defined results: a null text has no tokens; documents without tokens fit any
-quota, but a source without any tokens has no weight and is left out. A null source is a source of its own. Rows that share an id within a
-source and block are chosen together. With no tokens at all the result is
-empty. Extra columns are passed on by ``mix_sources``.
+room and are taken where their place in the order comes before the last place
+of a round; a source without any tokens has no weight and is left out. A null
+source is a source of its own. Rows that share an id lie in one block, one
+after the other, and are taken one by one like others. With no tokens at all
+the result is empty. Extra columns are passed on by ``mix_sources``.
 """
 
 from __future__ import annotations
@@ -31,6 +41,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playstats.llm.common import prepare, words_of
+from playstats.llm.places import with_row
+from playstats.operators.packing import running_total
 from playstats.session import cut_lineage
 
 TARGET_ENTROPY, MAX_REPEATS, BLOCK_TOKENS = 0.99, 2.0, 200_000
@@ -98,21 +110,89 @@ def source_weights(totals: DataFrame, exponent: float, budget: int) -> DataFrame
     return totals.where("tokens > 0").select("source", "tokens", weight.alias("weight"), quota.alias("quota"))
 
 
-def _counted(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+def _source_key(source: Column) -> Column:
+    """A key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
+def _counted(docs: DataFrame, id_col: str, source_col: str, text_col: str, kept: Column | None = None) -> DataFrame:
+    """Id, source and tokens of every row, and its number ``row``; ``kept`` goes along."""
     picked = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{source_col}`").alias("source"),
         F.size(words_of(F.col(f"`{text_col}`"))).cast("long").alias("n_tokens"),
+        *([] if kept is None else [kept.alias("kept")]),
+    )
+    return with_row(picked, "mixing-tokens")
+
+
+#: One round of a source: its room, and the first place in the order that it does not take.
+PLACE = "struct<room:bigint,bkey:string,dkey:string,row:bigint>"
+
+
+def _taken(n: Column, bkey: Column, dkey: Column, row: Column, fills: Column) -> Column:
+    """Whether some round takes a document: it fits the round's room and comes before the round's place."""
+    return F.exists(fills, lambda f: (n <= f["room"]) & (F.struct(bkey, dkey, row) < F.struct(f["bkey"], f["dkey"], f["row"])))
+
+
+def _first_too_much(rows: DataFrame, part: str, before: Column) -> DataFrame:
+    """(skey, the first ``part`` whose running sum is more than the room, the sum ``before`` it, its ``rows``).
+
+    ``rows`` has skey, room, n, ``part`` and ``before``, the sum of what comes before all of a source's rows here.
+    """
+    sums = rows.groupBy("skey", "room", part).agg(F.sum("n").alias("n"), F.max(before).alias("start"), F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("skey").orderBy(part)
+    upto = sums.withColumn("upto", F.col("start") + F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = F.min(F.struct(part, (F.col("upto") - F.col("n")).alias("before"), "rows"))
+    return upto.where("upto > room").groupBy("skey").agg(found.alias("found")).select("skey", f"found.{part}", "found.before", "found.rows")
+
+
+def _round(partial: DataFrame, state: DataFrame) -> DataFrame:
+    """The state (skey, room, fills, open) after one more round; ``open`` if some document was still to be taken."""
+    rows = partial.join(state.where("open").drop("open"), "skey")
+    rows = rows.where((F.col("n") <= F.col("room")) & ~_taken(F.col("n"), F.col("bkey"), F.col("dkey"), F.col("row"), F.col("fills")))
+    rows = rows.select("skey", "room", "n", F.substring("bkey", 1, 3).alias("cell"), "bkey", "dkey", "row")
+
+    def inside(found: DataFrame, part: str) -> DataFrame:
+        return rows.drop("before").join(found.select("skey", part, "before"), ["skey", part])
+
+    cells = _first_too_much(rows, "cell", F.lit(0))
+    blocks = _first_too_much(inside(cells, "cell"), "bkey", F.col("before"))
+    within = inside(blocks, "bkey")
+    ids = cut_lineage(_first_too_much(within, "dkey", F.col("before")).join(blocks.select("skey", "bkey"), "skey"), "mixing-places")
+    alone, tied = ids.where("rows = 1").withColumn("row", F.lit(-1).cast("long")), ids.where("rows > 1")
+    places = alone.select("skey", "bkey", "dkey", "row", "before")
+    if tied.take(1):
+        # rows of one id: placed by their numbers, which range partitions sort
+        same = rows.join(tied.select("skey", "bkey", "dkey", "before"), ["skey", "bkey", "dkey"])
+        placed = running_total(same.withColumnRenamed("before", "start"), "skey", "row", "n", "mixing-ties").withColumn("before", F.col("start") + F.col("before"))
+        first = F.min(F.struct("row", "bkey", "dkey", "before"))
+        found = placed.where("before + n > room").groupBy("skey").agg(first.alias("f"))
+        places = places.unionByName(found.select("skey", "f.bkey", "f.dkey", "f.row", "f.before"))
+
+    # a source without a place takes all that was eligible
+    sums = rows.groupBy("skey").agg(F.sum("n").alias("all"))
+    end = F.lit("~")  # after any hexadecimal digit
+    found = sums.join(places, "skey", "left")
+    after = state.join(found, "skey", "left")
+    place = F.struct("room", F.coalesce("bkey", end).alias("bkey"), F.coalesce("dkey", end).alias("dkey"), F.coalesce("row", F.lit(-1)).alias("row"))
+    some = F.col("all").isNotNull()
+    return after.select(
+        "skey",
+        (F.col("room") - F.when(some, F.coalesce("before", "all")).otherwise(0)).alias("room"),
+        F.when(some, F.array_append("fills", place)).otherwise(F.col("fills")).alias("fills"),
+        # all eligible documents were taken, or none was there
+        (some & F.col("before").isNotNull()).alias("open"),
     )
-    return cut_lineage(picked, "mixing-tokens")
 
 
 def mix_plan(
     counted: DataFrame, budget: int | None, target_entropy: float, max_repeats: float, block_tokens: int
 ) -> tuple[DataFrame, int]:
-    """(source, block, copies, extra) of every block, and the number of blocks of a source.
+    """(skey, copies, fills, quota, short) of every source, and the number of blocks of a source.
 
-    Every document of a block is taken ``copies`` times, those in ``extra`` once more.
+    Every document of a source is taken ``copies`` times, those that ``fills``
+    take once more; ``short`` is what is left of the quota.
     """
     totals = cut_lineage(counted.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "mixing-totals")
     whole = totals.agg(F.sum("tokens")).first()[0] or 0
@@ -120,44 +200,39 @@ def mix_plan(
     n_blocks = max(1, math.ceil(whole / block_tokens))
     exponent = bisect_exponent(totals, budget, target_entropy, max_repeats)
     quotas = source_weights(totals, exponent, budget)
+    copies = F.floor(F.col("quota") / F.col("tokens"))
+    quotas = quotas.select(_source_key(F.col("source")).alias("skey"), copies.alias("copies"), "quota", (F.col("quota") - copies * F.col("tokens")).alias("room"))
+    quotas = cut_lineage(quotas, "mixing-quotas")
+
+    parts = counted.select(_source_key(F.col("source")).alias("skey"), "source", "id", F.col("n_tokens").alias("n"), "row")
+    partial = parts.join(quotas.where("room > 0").select("skey", F.col("copies").alias("epoch")), "skey")
+    bkey, dkey = _order_keys(F.col("id"), F.col("source"), F.col("epoch"), block_of(F.col("id"), n_blocks))
+    partial = cut_lineage(partial.select("skey", "n", bkey.alias("bkey"), dkey.alias("dkey"), "row"), "mixing-partial")
+    state = quotas.select("skey", "room", F.array().cast(f"array<{PLACE}>").alias("fills"), (F.col("room") > 0).alias("open"))
+    while True:
+        state = cut_lineage(_round(partial, state), "mixing-state")
+        if not state.where("open").take(1):
+            break
+    plan = quotas.select("skey", "copies", "quota").join(state.select("skey", "fills", F.col("room").alias("short")), "skey")
+    return cut_lineage(plan, "mixing-plan"), n_blocks
 
-    placed = counted.select("id", "source", "n_tokens", block_of(F.col("id"), n_blocks).alias("block"))
-    blocks = placed.groupBy("source", "block").agg(F.sum("n_tokens").alias("n"))
-    blocks = blocks.join(quotas.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    # the room of an epoch is what the epochs before it leave of the quota
-    epochs = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("quota") / F.col("tokens")))))
-    order = Window.partitionBy("source", "epoch").orderBy(_order_key(F.col("source"), F.col("epoch"), F.col("block")), "block")
-    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    epochs = epochs.select("source", "block", "epoch", "n", (F.col("quota") - F.col("epoch") * F.col("tokens")).alias("room"), upto.alias("upto"))
-    epochs = cut_lineage(epochs, "mixing-epochs")
-    copies = epochs.where("upto <= room").groupBy("source", "block").agg(F.count("*").alias("copies"))
-    crossing = epochs.where("upto > room AND upto - n < room").select(
-        F.col("source").alias("s"), F.col("block").alias("b"), "epoch", (F.col("room") - F.col("upto") + F.col("n")).alias("left")
-    )
 
-    here = placed.join(crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    here = here.groupBy("source", "block", "epoch", "left", "id").agg(F.sum("n_tokens").alias("n"))
-    inside = Window.partitionBy("source", "block", "epoch").orderBy(_order_key(F.col("id"), F.col("epoch")), "id")
-    fits = here.withColumn("upto", F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("upto <= left")
-    # ids as text, so that a null id is a member like any other
-    member = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    extra = fits.groupBy("source", "block").agg(F.collect_set(member).alias("extra"))
-    keyed = copies.select("source", "block", "copies", F.array().cast("array<string>").alias("extra")).unionByName(
-        extra.select("source", "block", F.lit(0).cast("long").alias("copies"), "extra")
-    )
-    # at most one row of each kind a block: the union is summed, not joined
-    plan = keyed.groupBy("source", "block").agg(F.sum("copies").alias("copies"), F.flatten(F.collect_list("extra")).alias("extra"))
-    return cut_lineage(plan, "mixing-plan"), n_blocks
+def _order_keys(doc_id: Column, source: Column, epoch: Column, block: Column) -> tuple[Column, Column]:
+    """What orders the documents of an epoch of a source: its block's hash, then its own."""
+    return _order_key(source, epoch, block), _order_key(doc_id, epoch)
 
 
 def _repeated(rows: DataFrame, plan: DataFrame, n_blocks: int) -> DataFrame:
-    """``rows`` (with ``id`` and ``source``) once for each epoch that takes them; ``epoch`` counts from 0."""
-    rows = rows.withColumn("block", block_of(F.col("id"), n_blocks))
-    plan = plan.select(F.col("source").alias("s"), F.col("block").alias("b"), "copies", "extra")
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
-    times = F.col("copies") + F.array_contains("extra", F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("long")
+    """``rows`` (with id, source, n_tokens and row) once for each epoch that takes them; ``epoch`` counts from 0."""
+    rows = rows.withColumn("block", block_of(F.col("id"), n_blocks)).withColumn("skey", _source_key(F.col("source")))
+    joined = rows.join(plan.select("skey", "copies", "fills"), "skey")
+    bkey, dkey = _order_keys(F.col("id"), F.col("source"), F.col("copies"), F.col("block"))
+    joined = joined.withColumn("bkey", F.when(F.size("fills") > 0, bkey)).withColumn("dkey", F.when(F.size("fills") > 0, dkey))
+    once_more = _taken(F.col("n_tokens"), F.col("bkey"), F.col("dkey"), F.col("row"), F.col("fills"))
+    times = F.col("copies") + F.coalesce(once_more, F.lit(False)).cast("long")
     joined = joined.withColumn("times", times).where("times > 0")
-    return joined.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1))).drop("times", "copies", "extra")
+    out = joined.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    return out.drop("times", "copies", "fills", "skey", "bkey", "dkey")
 
 
 def mixing_schedule(
@@ -195,9 +270,26 @@ def mix_sources(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mixture takes it."""
     prepare(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    counted = _counted(docs, id_col, source_col, text_col, row)
+    plan, n_blocks = mix_plan(counted.drop("kept"), budget, target_entropy, max_repeats, block_tokens)
+    return _repeated(counted, plan, n_blocks).select("kept.*")
+
+
+def mixing_report(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+    budget: int | None = None,
+    target_entropy: float = TARGET_ENTROPY,
+    max_repeats: float = MAX_REPEATS,
+    block_tokens: int = BLOCK_TOKENS,
+) -> DataFrame:
+    """(source, ``tokens``, ``target``, ``realised``) of every source with tokens."""
+    prepare(docs.sparkSession)
     counted = _counted(docs, id_col, source_col, text_col)
-    plan, n_blocks = mix_plan(counted, budget, target_entropy, max_repeats, block_tokens)
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    )
-    return _repeated(rows, plan, n_blocks).select("row.*")
+    plan, _ = mix_plan(counted, budget, target_entropy, max_repeats, block_tokens)
+    totals = counted.groupBy(F.col("source").alias(source_col)).agg(F.sum("n_tokens").alias("tokens"))
+    found = totals.withColumn("skey", _source_key(F.col(f"`{source_col}`"))).join(plan, "skey")
+    return found.select(source_col, "tokens", F.col("quota").alias("target"), (F.col("quota") - F.col("short")).alias("realised"))

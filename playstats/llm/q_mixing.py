@@ -48,19 +48,18 @@ WITH RECURSIVE d AS (
   SELECT source, tokens, floor(pow(tokens, e) / sum(pow(tokens, e)) OVER () * whole + 1e-6)::BIGINT AS quota FROM t, a, g
 ), p AS (
   SELECT d.*, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % n_blocks AS block FROM d, g
-), b AS (
-  SELECT *, quota - epoch * tokens AS room,
-    sum(n) OVER (PARTITION BY source, epoch ORDER BY md5(source || '/' || epoch || '/' || block), block) AS upto
-  FROM (SELECT *, unnest(range(0, quota // tokens + 1)) AS epoch
-    FROM (SELECT source, block, sum(n_tokens) AS n FROM p GROUP BY ALL) JOIN w USING (source))
+), quotas AS (
+  SELECT source, quota // tokens AS copies, quota % tokens AS room FROM w
+), f(round, s, doc_id, n, bkey, dkey, room, taken) AS (
+  SELECT 0, coalesce('=' || p.source, ''), doc_id, n_tokens::HUGEINT, md5(p.source || '/' || copies || '/' || block), md5(doc_id || '/' || copies), room::HUGEINT, false
+  FROM p JOIN quotas q ON p.source = q.source WHERE room > 0
+  UNION ALL
+  SELECT round + 1, s, doc_id, n, bkey, dkey, room - sum(CASE WHEN upto <= room THEN n ELSE 0 END) OVER (PARTITION BY s), upto <= room
+  FROM (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY bkey, dkey, doc_id) AS upto FROM f WHERE NOT taken AND n <= room)
 ), taken AS (
-  SELECT doc_id, p.source, n_tokens, p.block, epoch FROM p JOIN b ON p.source = b.source AND p.block = b.block AND upto <= room
+  SELECT doc_id, p.source, n_tokens, p.block, unnest(range(copies)) AS epoch FROM p JOIN quotas q ON p.source = q.source
   UNION ALL
-  SELECT doc_id, source, n_tokens, block, epoch FROM (
-    SELECT doc_id, p.source, n_tokens, p.block, epoch, room - upto + n AS lft,
-      sum(n_tokens) OVER (PARTITION BY p.source, p.block, epoch ORDER BY md5(doc_id || '/' || epoch), doc_id) AS upto2
-    FROM p JOIN b ON p.source = b.source AND p.block = b.block AND upto > room AND upto - n < room)
-  WHERE upto2 <= lft
+  SELECT p.doc_id, p.source, n_tokens, p.block, copies FROM f JOIN p ON p.doc_id = f.doc_id JOIN quotas q ON p.source = q.source WHERE taken
 )
 SELECT doc_id, source, n_tokens, block, epoch, md5(source || '/' || epoch || '/' || block) AS block_key FROM taken
 """

@@ -2,8 +2,9 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from playstats.llm.mixing import bisect_exponent, mix_sources, mixing_schedule
+from playstats.llm.mixing import bisect_exponent, mix_sources, mixing_report, mixing_schedule
 
 
 def corpus(table):
@@ -81,3 +82,57 @@ def test_edges(table):
 def test_whole_corpus_at_natural_shares(table):
     df = corpus(table)
     assert mix_sources(df, target_entropy=0.0).count() == df.count()
+
+
+def realised(df, **options):
+    return {r["source"]: (r["target"], r["realised"]) for r in mixing_report(df, **options).collect()}
+
+
+def test_a_document_that_does_not_fit_leaves_room_for_others(spark):
+    small = [(i, "a", "w " * 10) for i in range(200)]
+    df = spark.createDataFrame([*small, (900, "a", "w " * 5000), *[(1000 + i, "b", "w " * 5) for i in range(100)]], "doc_id bigint, source string, text string")
+    for budget in (3000, 5500):
+        options = {"budget": budget, "target_entropy": 0.0, "block_tokens": 1000}
+        target, got = realised(df, **options)["a"]
+        taken = Counter(r["doc_id"] for r in mix_sources(df, **options).collect())
+        length = {i: len(t.split()) for i, _, t in df.select("doc_id", "source", "text").collect()}
+        assert sum(n * length[i] for i, n in taken.items() if i < 1000) == got <= target
+        left_out = [n for i, n in length.items() if i < 1000 and i not in taken]
+        assert got > 1900 and target - got < min(left_out, default=1)
+
+
+def test_room_is_filled_up_to_the_smallest_document_left_out(spark):
+    rows = [(i, f"s{i % 4}", "w " * (1 + (i * 7919) % (40 + 60 * (i % 4)))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    options = {"target_entropy": 0.999, "max_repeats": 2.5, "block_tokens": 300}
+    taken = Counter()
+    for r in mixing_schedule(df, **options).collect():
+        taken[r["doc_id"], r["epoch"]] += 1
+    assert set(taken.values()) == {1}
+    report = realised(df, **options)
+    for s in ("s0", "s1", "s2", "s3"):
+        own = {i: len(t.split()) for i, x, t in rows if x == s}
+        target, got = report[s]
+        last = target // sum(own.values())
+        assert all((i, e) in taken for i in own for e in range(last))
+        assert got == sum(own[i] for i, e in taken if i in own) <= target
+        left_out = [n for i, n in own.items() if (i, last) not in taken]
+        assert target - got < min(left_out)
+
+
+def test_repeated_ids_are_taken_one_by_one(spark):
+    rows = [(3, "a", "w " * 10)] * 50 + [(None, "b", "w " * 7)] * 30 + [(i, "c", "w " * 9) for i in range(100, 130)] + [(7, "c", "")] * 5
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string").withColumn("skey", F.lit("clash")).withColumn("row", F.lit(0))
+    for budget in (100, 455, 980):
+        report = realised(df, budget=budget, block_tokens=100)
+        out = Counter(r["source"] for r in mix_sources(df, budget=budget, block_tokens=100).where("text <> ''").collect())
+        for s, n in (("a", 10), ("b", 7), ("c", 9)):
+            target, got = report[s]
+            assert got == n * out[s] and target - got < n
+
+
+def test_one_very_long_document(spark):
+    df = spark.createDataFrame([(1, "a", "w " * 100_000), *[(i, "b", "w") for i in range(2, 40)]], "doc_id bigint, source string, text string")
+    assert mix_sources(df, target_entropy=0.0).count() == 39
+    report = realised(df, budget=50_000, target_entropy=0.0)
+    assert report["a"][1] == 0 and report["b"][1] == report["b"][0]
