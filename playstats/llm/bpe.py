@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from playstats.llm.common import prepare, released, text_column
+from playstats.llm.common import prepare, released, ship, text_column, unpack
 
 #: Bytes of text whose pieces are merged together.
 CORPUS_BYTES = 4 << 20
@@ -254,12 +254,12 @@ def encode_texts(vocabulary: Vocabulary, pattern, texts: list[str]) -> tuple[np.
 def _encoded(docs: DataFrame, rank_file: str, pattern: str, id_col: str, text_col: str, corpus_bytes: int, output, schema: str) -> DataFrame:
     """Rows of ``schema``; ``output`` makes their columns after the id from (vocabulary, ids of all texts, counts)."""
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(Vocabulary(read_ranks(rank_file)))  # as large as the rank file allows
+    shared = ship(spark, Vocabulary(read_ranks(rank_file)))  # as large as the rank file allows
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        compiled, vocabulary = regex.compile(pattern), shared.value
+        compiled, vocabulary = regex.compile(pattern), unpack(shared)
         ids, texts, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -319,10 +319,10 @@ def decode_lists(vocabulary: Vocabulary, lists: pa.Array) -> list[bytes]:
 def bpe_decode(encoded: DataFrame, rank_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per row of ``encoded``: id, ``ids`` and ``decoded``, the bytes that the ids stand for."""
     spark = prepare(encoded.sparkSession)
-    shared = spark.sparkContext.broadcast(Vocabulary(read_ranks(rank_file)))
+    shared = ship(spark, Vocabulary(read_ranks(rank_file)))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = unpack(shared)
         for batch in batches:
             decoded = decode_lists(vocabulary, batch.column("ids"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=["id", "ids", "decoded"])

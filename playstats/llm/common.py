@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import pickle
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playstats.session import apply_runtime_conf
@@ -86,6 +88,19 @@ def released(function):
     return run
 
 
+def ship(spark: SparkSession, value):
+    """Broadcast ``value`` with the definitions of its classes.
+
+    A plain broadcast names the classes only, which a worker without this
+    package could not find. ``unpack`` gives the value back inside a task.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpack(shipped):
+    return pickle.loads(shipped.value)
+
+
 def slices(batch: pa.RecordBatch, name: str, size: int = BATCH_BYTES):
     """Cut a batch into runs of rows whose texts have about ``size`` bytes together; a row stays whole."""
     if not batch.num_rows:
