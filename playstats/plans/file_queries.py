@@ -13,14 +13,16 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from playstats.functions import credit_genres
-from playstats.plans.catalog import CLEAN_CTE, LATE_CUT, register
+from playstats.operators.encode import check_code_capacity
+from playstats.plans.catalog import CATALOG, CLEAN_CTE, EVAL_CTES, IDS_CTE, LATE_CUT, _stored_ids, register
 from playstats.plans.fixtures import Fixtures, uuid_sql
 from playstats.plans.oracle_fixtures import with_fixtures
+from playstats.schemas import ID_RANGE_WIDTH
 from playstats.session import cut_lineage, stage_path
-from playstats.sources import drop_database, list_columns, load_rows, read_loads, read_segments, save_table, stage_load
+from playstats.sources import drop_database, list_columns, load_rows, read_loads, read_segments, read_text_partitions, save_table, stage_load
 from playstats.sources.dumps import DUMP_REJECTS, scan_dump
 from playstats.sources.playfiles import parse_plays, reject_counts, scan_play_files, split_rejects
-from playstats.sources.sinks import write_play_files, write_segmented_plays
+from playstats.sources.sinks import write_audit, write_csv_report, write_play_files, write_recommendations, write_segmented_plays
 from playstats.streaming import compact_rollup, parsed_stream, read_clean_rollup, start_clean_rollup
 
 #: Rows that close a chunk file; small, so that the test tables fill several.
@@ -282,3 +284,58 @@ def q_catalog_columns(fx: Fixtures) -> DataFrame:
     out = cut_lineage(columns.join(values, ["table_name", "column_name"]), "catalog-columns")
     drop_database(fx.spark, name)
     return out.select("table_name", "column_name", "data_type", "n_values")
+
+
+# ---------------------------------------------------------------------------
+# SNK8-11, C5: reports as they are written
+# ---------------------------------------------------------------------------
+@register(
+    "recommendation_files",
+    with_fixtures(
+        "select cast(window_start as date) as window_start, count(distinct user_id) as n_users, count(*) as n_rows, "
+        "cast(max(rank) as bigint) as longest from recs group by window_start",
+        EVAL_CTES,
+    ),
+)
+def q_recommendation_files(fx: Fixtures) -> DataFrame:
+    """SNK9: recommendation lists by window, counted from one window's folder after another."""
+    path = stage_path(fx.spark, "recommendations")
+    write_recommendations(CATALOG["top_n"].build(fx), path)
+    rows = read_text_partitions(fx.spark, path, ["window_start"], path)
+    return rows.groupBy(F.to_date("window_start").alias("window_start")).agg(
+        F.countDistinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("n_rows"), F.max("rank").cast("bigint").alias("longest")
+    )
+
+
+@register("metrics_report", CATALOG["eval_metrics"].sql)
+def q_metrics_report(fx: Fixtures) -> DataFrame:
+    """SNK10: the metrics of all windows, out of the CSV report."""
+    metrics, path = CATALOG["eval_metrics"].build(fx), stage_path(fx.spark, "metrics")
+    write_csv_report(metrics, path)
+    return fx.spark.read.schema(metrics.schema).option("header", "true").csv(path)
+
+
+@register(
+    "audit_log",
+    "select step || ': ' || format('{:,}', n_rows) as line from (" + CATALOG["exclusion_audit"].sql + ") a",
+)
+def q_audit_log(fx: Fixtures) -> DataFrame:
+    """SNK8, SNK11: the lines of the exclusion log that was written."""
+    path = stage_path(fx.spark, "exclusion-log")
+    write_audit(CATALOG["exclusion_audit"].build(fx), path)
+    return fx.spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@register(
+    "code_capacity",
+    with_fixtures(
+        "select entity_type, count(*) as n_codes, cast(100000000 - count(*) as bigint) as n_free from ids group by entity_type",
+        IDS_CTE,
+    ),
+)
+def q_code_capacity(fx: Fixtures) -> DataFrame:
+    """C5: codes of each entity type and what is left of its range; a type beyond its range is an error."""
+    ids = _stored_ids(fx)
+    check_code_capacity(ids)
+    counts = ids.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n_codes"))
+    return counts.withColumn("n_free", F.lit(ID_RANGE_WIDTH) - F.col("n_codes"))
