@@ -35,6 +35,6 @@ WITH p AS (
 SELECT page_id, host, path, split_part(fit, ':', 2) AS rule,
   CASE WHEN fit IS NOT NULL THEN split_part(fit, ':', 1)
     WHEN {" OR ".join(map(_bounded, STRICT_TERMS))} THEN 'block'
-    WHEN {_SOFT} >= {SOFT_LIMIT} OR {_WEIGHT} >= {WEIGHT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+    WHEN {_SOFT} >= {SOFT_LIMIT} AND {_WEIGHT} >= {WEIGHT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """

@@ -2,9 +2,11 @@
 
 Terms are matched in the lower-cased (A-Z) url wherever both neighbours are
 no letter or digit. One strict term rejects a url, and so do
-``soft_limit`` distinct soft terms, or soft terms whose weights reach
-``weight_limit``. Host and path rules come first: the longest rule that fits
-decides, and only urls without a fitting rule are left to the vocabulary.
+``soft_limit`` or more distinct soft terms whose weights together reach
+``weight_limit``: two ordinary terms are enough, a light and an ordinary one
+are not. A term found again adds nothing. Host and path rules come first: the
+longest rule that fits decides, and only urls without a fitting rule are left
+to the vocabulary.
 
 The automaton is built once for each task from a vocabulary that is a
 parameter; rows stream through in Arrow batches, without a shuffle.
@@ -37,7 +39,7 @@ SOFT_TERMS = {
     "dating": 1.5, "deal": 0.5, "free": 0.5, "loan": 1.0, "lottery": 1.5, "pills": 1.5, "poker": 1.5, "prize": 1.0,
     "promo": 0.5, "sale": 0.5, "sex": 1.5, "spam": 1.5, "torrent": 1.5, "winner": 1.0,
 }
-SOFT_LIMIT, WEIGHT_LIMIT = 2, 3.0
+SOFT_LIMIT, WEIGHT_LIMIT = 2, 2.0
 
 #: (verdict, host, path)
 RULES = (
@@ -57,7 +59,7 @@ _TO_LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 @dataclass(frozen=True)
 class UrlVocabulary:
-    """Strict terms, weighted soft terms, and the limits on soft hits."""
+    """Strict terms, weighted soft terms, and the limits that soft hits must both reach."""
 
     strict: tuple[str, ...] = tuple(STRICT_TERMS)
     soft: tuple[tuple[str, float], ...] = tuple(SOFT_TERMS.items())
@@ -124,7 +126,7 @@ def url_filter(
                 host, path = host_and_path(url)
                 rule = rule_for(host, path, rules) if host else None
                 strict, soft = term_hits(url or "", machine)
-                bad = bool(strict) or len(soft) >= vocabulary.soft_limit or sum(soft.values()) >= vocabulary.weight_limit
+                bad = bool(strict) or (len(soft) >= vocabulary.soft_limit and sum(soft.values()) >= vocabulary.weight_limit)
                 verdict = rule[1] if rule else "block" if bad else "allow"
                 row = (page, host, path, rule and rule[0], verdict, strict, sorted(soft), float(sum(soft.values())))
                 for values, value in zip(out.values(), row, strict=True):

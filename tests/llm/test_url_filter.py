@@ -8,6 +8,8 @@ URLS = [
     "http://b.org/my-casino/", "http://cheap.bet.org/x", "http://cheapbet.org/x", "http://spam-farm.example.org/en",
     "http://example.com/free-free", "http://éfree.com/pills", "a://b://c/d?e", "http://x.net:80/", "://", "http:///path",
     "http://example.com/" + "a" * 50000 + "/xxx", "http://b.org/poker", "http://b.org/poker", "http://net/",
+    "http://b.org/free-deal", "http://b.org/free-bet", "http://b.org/free/deal/promo", "http://b.org/free/deal/promo/sale",
+    "http://b.org/free-poker", "http://b.org/bet/bonus", "http://b.org/poker-poker-poker",
 ]
 
 
@@ -29,7 +31,7 @@ def brute(url):
         for m in [re.compile(re.escape(t)).match(low, m.start())]
     )
     soft = [t for t in SOFT_TERMS if has(t)]
-    bad = any(has(t) for t in STRICT_TERMS) or len(soft) >= 2 or sum(SOFT_TERMS[t] for t in soft) >= 3
+    bad = any(has(t) for t in STRICT_TERMS) or (len(soft) >= 2 and sum(SOFT_TERMS[t] for t in soft) >= 2)
     return host, path, None, "block" if bad else "allow"
 
 
@@ -46,8 +48,17 @@ def test_empty_repeated_and_null_ids(spark):
     assert [r["verdict"] for r in url_filter(df).collect()] == ["block"] * 3
 
 
-def test_weights(spark):
-    df = spark.createDataFrame([(1, "http://a.org/sex")], "page_id bigint, url string")
-    heavy = UrlVocabulary(strict=(), soft=(("sex", 5.0),))
-    assert url_filter(df, vocabulary=heavy).first()["verdict"] == "block"
-    assert url_filter(df).first()["verdict"] == "allow"
+def test_weights_decide(spark):
+    urls = ["free/deal", "free/bet", "free/deal/promo", "bet/bonus", "free/poker", "free/deal/promo/sale", "poker/poker"]
+    df = spark.createDataFrame([(i, f"http://a.org/{u}") for i, u in enumerate(urls)], "page_id bigint, url string")
+    verdicts = lambda **limits: [r["verdict"] for r in url_filter(df, vocabulary=UrlVocabulary(**limits)).orderBy("page_id").collect()]
+    assert verdicts() == ["allow", "allow", "allow", "block", "block", "block", "allow"]
+    assert verdicts(weight_limit=0.0) == ["block"] * 6 + ["allow"]
+    assert verdicts(soft_limit=1, weight_limit=1.5) == ["allow", "block", "block", "block", "block", "block", "block"]
+
+
+def test_clashing_columns(spark):
+    names = ("page_id", "url", "host", "path", "rule", "verdict", "strict_terms", "soft_terms", "soft_weight", "URL2")
+    df = spark.createDataFrame([tuple(["7", "http://a.org/xxx", *names[2:]])], ", ".join(f"{n} string" for n in names))
+    row = url_filter(df).first()
+    assert (row["page_id"], row["host"], row["path"], row["verdict"]) == (7, "a.org", "/xxx", "block")
