@@ -60,3 +60,25 @@ def test_directory_splits_until_buckets_fit(spark, step):
         own = [k for k, x in zip(keys, bucket, strict=True) if x == b]
         assert len(own) <= 25 or len(set(own)) == 1 or directory.depths[b] > 55
     assert directory.starts == sorted(directory.starts) and directory.starts[0] == 0
+
+
+def test_result_comes_from_the_owners(table, monkeypatch):
+    """With owners that mistake the texts, no group is right: nothing beside the index groups them."""
+
+    class OneText(module._Chain):
+        def add(self, text, n, last, ties):
+            return super().add(b"same", n, last, ties)
+
+    rows = [(1, "a"), (2, "b"), (2, "b"), (3, "a"), (3, "a")]
+    right = exact_dedup(table(rows), log2_bits=14).collect()
+    assert sorted((r["keep_id"], r["group_size"], r["kept"]) for r in right) == [(2, 2, False), (2, 2, True), (3, 3, False), (3, 3, False), (3, 3, True)]
+    monkeypatch.setattr(module, "_Chain", OneText)
+    wrong = exact_dedup(table(rows), log2_bits=14).collect()
+    assert sorted((r["keep_id"], r["group_size"]) for r in wrong) != sorted((r["keep_id"], r["group_size"]) for r in right)
+
+
+def test_sizes_follow_the_rows(table, monkeypatch):
+    monkeypatch.setattr(module, "CAPACITY", 1)
+    monkeypatch.setattr(module, "BUCKETS", 64)
+    monkeypatch.setattr(module, "CELLS", 8)  # counts go on in many small rounds
+    check(exact_dedup(table(PAIRS)).collect())
