@@ -5,15 +5,24 @@ are normalised alike: lower case, every run of other characters than letters
 and digits is one space. Their word bigrams are sets; Dice is
 ``2 * common / (size of span + size of template)``.
 
-For a template, spans are grown from each of its bigrams in the text. No match
-is better than those found this way: a span that begins or ends with another
-bigram, or with one that it holds again, scores no higher than the shorter
-span without it. Growing ends at the bigram it began with, and when the
-span has so many other bigrams that even the whole template would score less
-than the threshold. So the work grows with the text, also if it repeats.
+Sizes bound what can match: with a threshold ``t`` a span has between
+``t / (2 - t)`` and ``(2 - t) / t`` times as many bigrams as its template.
+Templates are kept by size, and those too large for all bigrams of a text are
+not looked at; nor are those of which the text, or its rest from a place on,
+holds fewer bigrams than the lower bound asks for.
+
+For the others, spans are grown from the first of each run of the template's
+bigrams in the text. No match is better than those found this way: a span that
+begins or ends with another bigram, or with one that it holds again, scores no
+higher than the shorter span without it, and one that begins later in the run
+no higher than the longer one. Growing ends at the bigram it began with (then
+the next one of the run has its turn), and when the span has so many other
+bigrams that even the whole template would score less than the threshold: the
+upper bound. So the work grows with the text, also if it repeats.
 
 A match is the best span grown from a place, the shortest of these, reported
-by its first and last line; matches of the same lines are one.
+by its first and last line; matches of the same lines are one. Behind a span
+that equals the template, growing goes on at its end.
 
 Each document is scanned alone, in Arrow batches, without a shuffle.
 
@@ -25,13 +34,15 @@ are scanned one by one; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Short licence notices as found at the head of files.
-TEMPLATES = {
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -56,6 +67,9 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+#: The notices, and whole licence texts by the names of their files.
+TEMPLATES = NOTICES | {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
 THRESHOLD = 0.8
 SCHEMA = "doc_id bigint, license string, score double, n_matches bigint, spans array<struct<license: string, first_line: int, last_line: int, score: double>>"
 _GAPS = re.compile(r"[\W_]+")
@@ -80,33 +94,28 @@ class Scanner:
     def __init__(self, templates: dict[str, str], threshold: float, max_lines: int | None = None):
         self.threshold, self.max_lines = threshold, max_lines
         made = ((name, bigrams(normalise(text))) for name, text in templates.items())
-        self.templates = sorted((len(g), name, g) for name, g in made if g)
+        self.templates = sorted(((len(g), name, g) for name, g in made if g), key=lambda made: made[:2])
+        self.sizes = [size for size, _, _ in self.templates]
         self.known: dict[tuple, list[int]] = {}  # bigram -> templates that hold it
         for i, (_, _, grams) in enumerate(self.templates):
             for x in grams:
                 self.known.setdefault(x, []).append(i)
         self.one_word = any(len(x) == 1 for x in self.known)
 
-    def compare(self, grams: frozenset) -> list[tuple[float, str]]:
-        """Score and name of every template that a block with these bigrams matches."""
-        t, a, found = self.threshold, len(grams), []
-        shared = len(grams & self.known.keys())
-        for b, name, template in self.templates:
-            if a * t > (2 - t) * b or b * t > (2 - t) * a or 2 * shared < t * (a + b):
-                continue
-            score = dice(grams, template)
-            if score >= t:
-                found.append((score, name))
-        return found
-
-    def grow(self, grams: list[tuple], lines: list[int], k: int, size: int, template: frozenset) -> tuple[float, int]:
-        """Score and last bigram of the best span that begins with bigram ``k``."""
-        seen, common, best = set(), 0, (0.0, k)
+    def largest(self, n_grams: int) -> int:
+        """How many templates, from the smallest, some span of ``n_grams`` different bigrams may match."""
+        return bisect_right(self.sizes, n_grams * (2 - self.threshold) / self.threshold + 1e-9)
+
+    def grow(self, grams: list[tuple], lines: list[int], k: int, size: int, template: frozenset) -> tuple[float, int, bool]:
+        """Score and last bigram of the best span that begins with bigram ``k``, and whether no limit but the text's and the size's ended it."""
+        seen, common, best, free = set(), 0, (0.0, k), self.max_lines is None
         last_line = len(lines) if self.max_lines is None else lines[k] + self.max_lines - 1
+        most = (2 - self.threshold) / self.threshold * size - size + 1e-9  # other bigrams, if the whole template were there
         for p in range(k, len(grams)):
             x = grams[p]
             if x in seen:
                 if x == grams[k]:
+                    free = False
                     break
                 continue
             if lines[min(p + 1, len(lines) - 1)] > last_line:
@@ -117,9 +126,9 @@ class Scanner:
                 score = 2 * common / (len(seen) + size)
                 if score > best[0]:
                     best = score, p
-            elif 2 * size / (len(seen) - common + size + size) < self.threshold:
+            elif len(seen) - common > most:
                 break
-        return best
+        return *best, free
 
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
         """(template, first line, last line, score) of every match, line numbers from 0."""
@@ -129,11 +138,12 @@ class Scanner:
             words += found
             lines += [i] * len(found)
         grams = list(zip(words, words[1:]))
-        known, places = self.known, {}
+        known, places, fit = self.known, {}, self.largest(len(set(grams)))
         for k, x in enumerate(grams):
             if x in known:
                 for i in known[x]:
-                    places.setdefault(i, []).append(k)
+                    if i < fit:
+                        places.setdefault(i, []).append(k)
         matches: dict[tuple[str, int, int], float] = {}
 
         def add(name: str, i: int, j: int, score: float) -> None:
@@ -142,13 +152,25 @@ class Scanner:
         t = self.threshold
         for i, at in places.items():
             size, name, template = self.templates[i]
-            # a match shares so many different bigrams with the template at least
-            if len(at) < t / (2 - t) * size - 1e-9 or len({grams[k] for k in at}) < t / (2 - t) * size - 1e-9:
+            least = t / (2 - t) * size - 1e-9  # different bigrams that a match shares with the template
+            if len({grams[k] for k in at}) < least:
                 continue
-            for k in at:
-                score, p = self.grow(grams, lines, k, size, template)
+            covered, exact_end = -2, -1
+            for n, k in enumerate(at):
+                if len(at) - n < least:
+                    break
+                if k <= exact_end:
+                    continue
+                if k == covered + 1:
+                    covered = k
+                    continue
+                score, p, free = self.grow(grams, lines, k, size, template)
                 if score >= t:
                     add(name, lines[k], lines[p + 1], score)
+                if score == 1.0:
+                    exact_end = p
+                elif free:
+                    covered = k
         if self.one_word:
             for word, line in zip(words, lines):
                 for i in known.get((word,), ()):

@@ -44,9 +44,38 @@ def test_spans_point_at_lines(table):
     assert license_scan(table([(1, "x")]).limit(0)).count() == 0
 
 
-def test_size_bounds_drop_no_match():
-    scanner = Scanner(TEMPLATES, 0.5, 4)
-    for text in ("Licensed under the Apache License", "public license version 3 gnu general"):
-        grams = bigrams(normalise(text))
-        want = {n for n, t in TEMPLATES.items() if dice(grams, bigrams(normalise(t))) >= 0.5}
-        assert {n for _, n in scanner.compare(grams)} == want
+def test_size_bounds_of_templates():
+    scanner = Scanner(TEMPLATES, 0.8)
+    for n in (0, 3, 5, 20, 150, 3000):
+        names = {name for _, name, _ in scanner.templates[: scanner.largest(n)]}
+        # the best that n bigrams can score is 2 n / (n + size), if all are the template's
+        assert names == {name for size, name, _ in scanner.templates if n and 2 * min(n, size) / (min(n, size) + size) >= 0.8 - 1e-12}
+
+
+def test_too_large_templates_are_not_grown(monkeypatch):
+    grown = []
+    grow = Scanner.grow
+    monkeypatch.setattr(Scanner, "grow", lambda self, g, lines, k, size, t: grown.append(size) or grow(self, g, lines, k, size, t))
+    scanner = Scanner(TEMPLATES, 0.8)
+    assert {m[0] for m in scanner.scan("\n".join(TEMPLATES["MIT-notice"].split()))} == {"MIT-notice"}
+    assert grown and max(grown) < len(bigrams(normalise(TEMPLATES["MIT-text"])))
+
+
+FULL = [name for name in TEMPLATES if name.endswith(("-text", "-header"))]
+
+
+def test_whole_licence_texts_in_long_files(table):
+    prose = "\n".join(f"line {i} of the work and of its terms, that any person may read in the {i % 37} parts" for i in range(1500))
+    marked = lambda text: "\n".join(" * " + line for line in text.split("\n"))
+    rows = [(i, f"{prose}\n/*\n{marked(TEMPLATES[name])}\n */\n{prose}") for i, name in enumerate(FULL)]
+    got = {r["doc_id"]: {s["license"]: s["score"] for s in sorted(r["spans"], key=lambda s: s["score"])} for r in license_scan(table(rows)).collect()}
+    assert len(FULL) == 7
+    for i, name in enumerate(FULL):
+        assert got[i][name] == 1.0, name
+
+
+def test_altered_licence_text_scores_below_one(table):
+    words = TEMPLATES["BSD-3-Clause-text"].replace("copyright holder", "University").split()
+    row = license_scan(table([(1, " ".join(["intro"] * 50 + words))])).first()
+    scores = {s["license"]: s["score"] for s in row["spans"]}
+    assert 0.9 < scores["BSD-3-Clause-text"] < 1.0

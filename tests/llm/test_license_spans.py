@@ -3,7 +3,7 @@ import textwrap
 
 import pytest
 
-from playstats.llm.license_scan import TEMPLATES, Scanner, bigrams, dice, normalise
+from playstats.llm.license_scan import NOTICES as TEMPLATES, Scanner, bigrams, dice, normalise
 
 PROSE = "one two three four five six seven eight nine ten eleven twelve of the under a to any in this software and so on"
 
@@ -48,6 +48,21 @@ def test_best_scores_against_all_word_spans():
         assert best_found(text) == best_of_all_spans(text), text
 
 
+def test_few_words_repeated_against_all_word_spans():
+    templates = {"a": "x y z x w y", "b": "x y x y z", "c": "w z y x"}
+    rng = random.Random(5)
+    for _ in range(400):
+        words = rng.choices("xyzwq", k=rng.randrange(2, 24))
+        threshold = rng.choice([0.5, 0.6, 0.8])
+        scanner, want = Scanner(templates, threshold), {}
+        for name, template in templates.items():
+            grams = bigrams(normalise(template))
+            score = max(dice(frozenset(zip(words[i:j], words[i + 1 : j])), grams) for i in range(len(words)) for j in range(i + 2, len(words) + 1))
+            if score >= threshold:
+                want[name] = score
+        assert best_found(" ".join(words), scanner) == want, words
+
+
 def test_repeated_notices_make_few_spans():
     lines = ["Released under the MIT License."] * 300
     found = Scanner(TEMPLATES, 0.8).scan("\n".join(lines))
