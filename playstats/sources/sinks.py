@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playstats.operators.packing import pack_whole
+from playstats.operators.packing import chunk_of_members
 from playstats.schemas import ROWS_PER_FILE
 from playstats.session import cut_lineage
 
@@ -25,21 +25,20 @@ def write_segmented_plays(plays: DataFrame, path: str, rows_per_file: int = ROWS
 
     Users of a segment are packed in order; a file closes with the user that
     brings the segment's running count to the next multiple of
-    ``rows_per_file`` (``packing.pack_whole``). Plays find their chunk by its
-    first and last user: the chunks' table has a row for each file, so it is
-    far smaller than one of users. No user is split, as the file of a user is
-    the unit of the data set; a user with a large share of all plays is a large
-    file of one task, which sorts and writes it in bounded memory.
+    ``rows_per_file`` (``packing.chunk_of_members``). Plays find their chunk by
+    their user, with a join on equal keys: chunks grow in number with the plays,
+    so to compare every play with every chunk of its segment is quadratic. No
+    user is split, as the file of a user is the unit of the data set; a user
+    with a large share of all plays is a large file of one task, which sorts
+    and writes it in bounded memory.
 
     ``segment`` and ``user_id`` are never NULL in plays (``UUID_PLAY_SCHEMA``).
     """
     counts = plays.groupBy("segment", "user_id").agg(F.count(F.lit(1)).alias("n"))
-    chunks = cut_lineage(pack_whole(counts, "segment", "user_id", "n", rows_per_file, "user-counts"), "play-chunks")
-    chunks = chunks.select(F.col("segment").alias("s"), "chunk", "first", "last")
-    inside = (F.col("segment") == F.col("s")) & F.col("user_id").between(F.col("first"), F.col("last"))
+    chunks = cut_lineage(chunk_of_members(counts, "segment", "user_id", "n", rows_per_file, "user-counts"), "play-chunks")
     (
-        plays.join(chunks, inside)
-        .drop("s", "first", "last")
+        plays.join(chunks, ["segment", "user_id"])
+        .select(*plays.columns, "chunk")
         .repartition("segment", "chunk")
         .sortWithinPartitions("segment", "chunk", "user_id", "timestamp")
         .write.mode("overwrite")
