@@ -36,6 +36,8 @@ from playstats.schemas import (
 
 #: Item ids of one run when items are ranked, and ranks of a window that are broadcast.
 ITEMS_OF_A_RUN, HEAD_RANKS = 4096, 1000
+#: Actions of a task that expands them to the windows they are in, and rows of the lists that a task makes.
+TASK_ACTIONS, TASK_LIST_ROWS = 150_000, 4_000_000
 
 
 def _ts(day: str) -> Column:
@@ -109,17 +111,26 @@ def assign_windows(
     Candidate windows come from the action's month offset (an equi-join on
     ``k`` against the small window table), then the exact bounds are applied.
     """
+    lo, hi = candidate_windows(start, step, size)
+    cand = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    x = prepared.withColumn("k", F.explode(cand))
+    return _inside(x, windows).select("k", "user_id", "item_id", "ts")
+
+
+def candidate_windows(start: str, step: int = EVAL_STEP_MONTHS, size: int = EVAL_WINDOW_MONTHS) -> tuple[Column, Column]:
+    """First and last number of the windows that may contain ``ts``, by its month; none if the last is smaller."""
     d0 = datetime.strptime(start, "%Y-%m-%d")
     m = (F.year("ts") - d0.year) * 12 + (F.month("ts") - d0.month)
     lo = F.greatest(F.lit(0), F.ceil((m - size) / F.lit(float(step))).cast("int"))
-    hi = F.floor(m / F.lit(float(step))).cast("int")
-    cand = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    x = prepared.withColumn("k", F.explode(cand))
-    # one row per window (time span / step): structurally small
-    x = x.join(F.broadcast(windows), "k")
-    inside = (F.col("ts") >= F.col("window_start")) & (F.col("ts") <= shift_days(F.col("window_end"), -1))
+    return lo, F.floor(m / F.lit(float(step))).cast("int")
+
+
+def _inside(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows with a ``k`` whose window contains their ``ts``."""
+    # one row per window (time span / step): structurally small;
     # window bounds stay in the window table; rows carry only its key
-    return x.where(inside).select("k", "user_id", "item_id", "ts")
+    bounds = windows.select("k", "window_start", shift_days(F.col("window_end"), -1).alias("last_ts"))
+    return rows.join(F.broadcast(bounds), "k").where(F.col("ts").between(F.col("window_start"), F.col("last_ts"))).drop("window_start", "last_ts")
 
 
 def label_rows(
@@ -134,17 +145,22 @@ def label_rows(
     the day between belong to neither and are dropped. Windows with fewer
     than ``min_rows`` actions are dropped. Adds ``part`` = 'train' / 'test'.
     """
-    stats = (
-        in_windows.groupBy("k")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("max_ts"))
-        .where(F.col("n") >= min_rows)
-        .select("k", shift_months(F.col("max_ts"), -step).alias("test_start"))
-    )
-    wd = in_windows.join(F.broadcast(stats), "k")  # one row per window
-    part = F.when(F.col("ts") <= shift_days(F.col("test_start"), -1), "train").when(
+    return _labelled(in_windows, split_days(in_windows, step, min_rows)).select("k", "user_id", "item_id", "part")
+
+
+def split_days(in_windows: DataFrame, step: int = EVAL_STEP_MONTHS, min_rows: int = EVAL_MIN_WINDOW_ROWS) -> DataFrame:
+    """(k, ``test_start``) of the windows with ``min_rows`` actions or more: one row per window."""
+    stats = in_windows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("max_ts"))
+    return stats.where(F.col("n") >= min_rows).select("k", shift_months(F.col("max_ts"), -step).alias("test_start"))
+
+
+def _labelled(in_windows: DataFrame, days: DataFrame) -> DataFrame:
+    days = days.select("*", shift_days(F.col("test_start"), -1).alias("train_end"))
+    wd = in_windows.join(F.broadcast(days), "k")  # one row per window
+    part = F.when(F.col("ts") <= F.col("train_end"), "train").when(
         F.col("ts") >= F.col("test_start"), "test"
     )
-    return wd.withColumn("part", part).where(F.col("part").isNotNull()).select("k", "user_id", "item_id", "part")
+    return wd.withColumn("part", part).where(F.col("part").isNotNull())
 
 
 def popularity_ranks(train: DataFrame) -> DataFrame:
@@ -155,7 +171,7 @@ def popularity_ranks(train: DataFrame) -> DataFrame:
     numbered inside, and the runs' sizes, one row a run, give each its offset,
     so no task sorts all items of a window.
     """
-    pop = train.groupBy("k", "item_id").agg(F.count(F.lit(1)).alias("cnt"))
+    pop = cut_lineage(train.groupBy("k", "item_id").agg(F.count(F.lit(1)).alias("cnt")), "popularity")  # read twice
     pop = pop.withColumn("run", F.floor(F.col("item_id") / ITEMS_OF_A_RUN))
     runs = pop.groupBy("k", "cnt", "run").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("k").orderBy(F.desc("cnt"), "run").rowsBetween(Window.unboundedPreceding, -1)
@@ -176,21 +192,51 @@ def place_rows(labelled: DataFrame, ranks: DataFrame) -> DataFrame:
     rows, and a user holds no list, array or set of items. Test items that were
     never trained have no rank, come last and take no place.
     """
+    return _placed(labelled.join(ranks.select("k", "item_id", F.col("pop_rank").alias("rank")), ["k", "item_id"], "left"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
     is_train = (F.col("part") == "train").cast("int").alias("is_train")
     is_test = (F.col("part") == "test").cast("int").alias("is_test")
-    rows = labelled.join(ranks.select("k", "item_id", F.col("pop_rank").alias("rank")), ["k", "item_id"], "left")
     rows = rows.select("k", "user_id", "rank", is_train, is_test)
-    order = Window.partitionBy("k", "user_id").orderBy(F.asc_nulls_last("rank"), F.desc("is_train"))
-    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    # users first, as the sort compares by its first column; one frame for all three
+    order = Window.partitionBy("user_id", "k").orderBy(F.asc_nulls_last("rank"), F.desc("is_train"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     seen = F.when(F.col("is_train") == 1, F.col("rank"))
     return rows.select(
         "*",
         F.coalesce(F.sum("is_train").over(before), F.lit(0)).cast("int").alias("shift"),
         F.coalesce(F.max(seen).over(before), F.lit(0)).alias("prev"),
-        F.sum("is_test").over(upto).alias("nth"),
+        (F.coalesce(F.sum("is_test").over(before), F.lit(0)) + F.col("is_test")).alias("nth"),
     )
 
 
+def tasks_for(n_rows: int, rows_of_a_task: int) -> int:
+    """Partitions of a shuffle whose rows become many more behind it."""
+    return max(1, -(-n_rows // rows_of_a_task))
+
+
+def place_actions(prepared: DataFrame, windows: DataFrame, days: DataFrame, ranks: DataFrame, start: str,
+                  step: int = EVAL_STEP_MONTHS, size: int = EVAL_WINDOW_MONTHS) -> DataFrame:
+    """``place_rows`` of ``label_rows`` of ``assign_windows``, with shuffles that carry an action once.
+
+    An action is in up to ``size / step`` windows. It gets its item's ranks in all
+    of them by one join on the item, goes to its user's task, and becomes a row
+    for each window there: rows of a window are neither shuffled nor stored.
+    """
+    n_windows, (lo, hi) = windows.count(), candidate_windows(start, step, size)
+    by_window = F.map_from_entries(F.collect_list(F.struct("k", "pop_rank")))
+    in_order = lambda found: F.transform(F.sequence(F.lit(0), F.lit(n_windows)), lambda k: F.try_element_at(found, k))
+    lists = ranks.groupBy("item_id").agg(by_window.alias("found")).select("item_id", in_order(F.col("found")).alias("ranks"))
+    none = F.array_repeat(F.lit(None).cast("int"), n_windows + 1)
+    in_each = F.slice(F.coalesce("ranks", none), lo + 1, F.greatest(hi - lo + 1, F.lit(0))).alias("ranks")
+    actions = prepared.select("user_id", "item_id", "ts").join(lists, "item_id", "left").select("user_id", "ts", in_each)
+    actions = actions.repartition(tasks_for(prepared.count(), TASK_ACTIONS), "user_id")
+    rows = actions.select("user_id", "ts", lo.alias("first"), F.posexplode("ranks").alias("pos", "rank"))
+    rows = rows.select("user_id", "ts", "rank", (F.col("first") + F.col("pos")).alias("k"))
+    return _placed(_labelled(_inside(rows, windows), days))
+
+
 def _inv_log_discount(r: Column) -> Column:
     return F.lit(1.0) / F.greatest(F.lit(1.0), F.log2(r.cast("double")))
 
@@ -291,22 +337,30 @@ def evaluate(
     later plans stay small.
     """
     prepared = cut_lineage(prepare_actions(actions, data_from, data_to), "actions")
-    windows = eval_windows(prepared, start, step, size)  # one aggregate of ``prepared``
-    labelled = cut_lineage(label_rows(assign_windows(prepared, windows, start, step, size), step), "labelled")
+    # one row per window each
+    windows = cut_lineage(eval_windows(prepared, start, step, size), "windows")
+    days = cut_lineage(split_days(assign_windows(prepared, windows, start, step, size), step), "split-days")
+    # an item's actions meet before they become rows of windows, in four tasks, as one item may have a large share
+    by_item = prepared.repartition("item_id", F.pmod(F.xxhash64("user_id"), F.lit(4)))
+    labelled = _labelled(assign_windows(by_item, windows, start, step, size), days)
     # small (items x windows) and read by the rows and by the lists
     ranks = cut_lineage(popularity_ranks(labelled.where(F.col("part") == "train")), "ranks")
-    placed = cut_lineage(place_rows(labelled, ranks), "placed")
+    placed = cut_lineage(place_actions(prepared, windows, days, ranks, start, step, size), "placed")
     # one row per (window, user): read by sizes, lists and metrics
     users = cut_lineage(user_scores(placed, n), "user_scores")
     sizes = window_sizes(users, windows)
     kept = users.join(F.broadcast(sizes.select("k")), "k", "left_semi")  # one row per window
     per_user = kept.where(F.col("n_test") > 0).select("k", "user_id", "ndcg", "rbp", "reciprank")
+    ranges = free_ranges(placed, kept, n)
+    # a range is up to n rows of lists: tasks are made for those
+    n_lists = kept.where(F.col("n_test") > 0).count()
+    ranges = ranges.repartition(tasks_for(n_lists * n, TASK_LIST_ROWS), "k", "user_id")
     means = per_user.groupBy("k").agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
     return {
         "windows": windows,
         "sizes": sizes,
         "ranks": ranks,
-        "recs": recommend_top_n(free_ranges(placed, kept, n), ranks),
+        "recs": recommend_top_n(ranges, ranks),
         "per_user": per_user,
         "metrics": means.join(F.broadcast(sizes), "k"),
     }
