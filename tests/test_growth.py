@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from playstats.operators import recsys
+from playstats.operators import encode, recsys
 from playstats.operators.packing import chunk_of_members, pack_whole
 from playstats.session import apply_runtime_conf, follow_table_sizes
 
@@ -50,7 +50,20 @@ def test_placed_actions_are_the_placed_rows_of_windows(spark):
     assert got.columns == want.columns
     key = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert key(got) == key(want) and want.where("is_test = 1").count() > 20
-    # an action is shuffled once, not once for each of its windows
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    above = plan[plan.index("Window"):].split("REPARTITION_BY_NUM")[0]
-    assert above.count("Exchange hashpartitioning") == 1 and "Generate" in above.split("Exchange hashpartitioning")[0]
+
+
+def test_packed_keys_are_equal_for_equal_texts_only(spark):
+    u, v = "0a1b2c3d-0000-4000-8000-00000000000a", "0a1b2c3d-0000-4000-8000-00000000000b"
+    texts = [u, v, f"{u},{v}", f"{v},{u}", u.upper(), u[:-1], f"{u},", "", "a", ",", u.replace("-", ""), "#1", "é", f"{u}\n"]
+    got = {r["t"]: bytes(r["p"]) for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", encode.packed_key(F.col("t")).alias("p")).collect()}
+    assert len(set(got.values())) == len(texts)
+    assert {t: encode._packed_value(t) for t in texts} == got
+    assert len(got[u]) == 17 and len(got[f"{u},{v}"]) == 33
+
+
+def test_entities_are_distinct_by_column(spark):
+    rows = [("U1 ", ["a", None, " A"], "", "c"), ("u1", [], None, "u1"), (None, None, "r", "C")]
+    plays = spark.createDataFrame(rows, "user_id string, artist_ids array<string>, release_id string, rec_id string")
+    ents = encode.unique_entities(plays)
+    assert sorted(map(tuple, ents.collect())) == [("artist_ids", "a"), ("rec_id", "c"), ("rec_id", "u1"), ("release_id", "r"), ("user_id", "u1")]
+    assert "Expand" not in ents._jdf.queryExecution().optimizedPlan().toString()
