@@ -21,12 +21,14 @@ from playstats.schemas import ID_RANGE_WIDTH
 from playstats.session import cut_lineage, stage_path
 from playstats.sources import drop_database, list_columns, load_rows, read_loads, read_segments, read_text_partitions, save_table, stage_load
 from playstats.sources.dumps import DUMP_REJECTS, scan_dump
-from playstats.sources.playfiles import parse_plays, reject_counts, scan_play_files, split_rejects
+from playstats.sources.playfiles import ARCHIVE_GLOB, parse_plays, reject_counts, scan_play_files, split_rejects
 from playstats.sources.sinks import write_audit, write_csv_report, write_play_files, write_recommendations, write_segmented_plays
 from playstats.streaming import compact_rollup, parsed_stream, read_clean_rollup, start_clean_rollup
 
 #: Rows that close a chunk file; small, so that the test tables fill several.
 CHUNK_ROWS = 5_000
+#: Rows that close an archive of play files, and archives of a micro-batch.
+ARCHIVE_ROWS, BATCH_ARCHIVES = 200_000, 400
 #: Segment folder names: hexadecimal, some of which look like numbers.
 SEGMENTS = ("00", "1d", "2f", "1e3")
 
@@ -73,7 +75,7 @@ def q_play_chunks(fx: Fixtures) -> DataFrame:
 # SRC1, SRC3-5, SRC10-11: play files
 # ---------------------------------------------------------------------------
 def _play_files(fx: Fixtures) -> str:
-    """A tree of play files: every user's, and in each segment one whose name is no user's."""
+    """Archives of play files: every user's, and in each segment one whose name is no user's."""
 
     def build():
         root = stage_path(fx.spark, "play-files")
@@ -82,7 +84,7 @@ def _play_files(fx: Fixtures) -> str:
             F.lit("notes").alias("user_id"), F.min("timestamp").alias("timestamp"),
             F.lit(None).cast("array<string>").alias("artist_ids"), F.min("release_id").alias("release_id"), F.min("rec_id").alias("rec_id"),
         )
-        write_play_files(plays.unionByName(stray), root)
+        write_play_files(plays.unionByName(stray), root, ARCHIVE_ROWS)
         return root
 
     return fx.shared("play files", build)
@@ -101,7 +103,7 @@ FILE_PLAYS_CTE = {
 )
 def q_scanned_plays(fx: Fixtures) -> DataFrame:
     """SRC1, SRC3-5, PRJ1: plays out of zstd text files, one a user and segment."""
-    return split_rejects(parse_plays(scan_play_files(fx.spark, _play_files(fx))))[0]
+    return split_rejects(parse_plays(scan_play_files(fx.spark, _play_files(fx), ARCHIVE_GLOB)))[0]
 
 
 @register(
@@ -110,7 +112,7 @@ def q_scanned_plays(fx: Fixtures) -> DataFrame:
 )
 def q_scanned_rejects(fx: Fixtures) -> DataFrame:
     """SRC4: rows of files whose name is no play file's."""
-    return reject_counts(parse_plays(scan_play_files(fx.spark, _play_files(fx))))
+    return reject_counts(parse_plays(scan_play_files(fx.spark, _play_files(fx), ARCHIVE_GLOB)))
 
 
 @register(
@@ -243,9 +245,9 @@ def q_streamed_rollup(fx: Fixtures) -> DataFrame:
     arrival = 0
     for parts in ((0,), (1, 0, 2)):
         for of in parts:
-            write_play_files(plays.where(part == of), f"{root}/arrival-{arrival}")
+            write_play_files(plays.where(part == of), f"{root}/arrival-{arrival}", ARCHIVE_ROWS)
             arrival += 1
-        parsed = parsed_stream(fx.spark, root, "arrival-*/*/*.txt.zst")
+        parsed = parsed_stream(fx.spark, root, f"arrival-*/{ARCHIVE_GLOB}", BATCH_ARCHIVES)
         start_clean_rollup(parsed, fx.artist_uuid, table, progress, LATE_CUT).awaitTermination()
         if len(parts) == 1:
             compact_rollup(fx.spark, table)

@@ -1,14 +1,20 @@
 """Raw play files (SRC1-5): one headerless TSV per user, zstd-compressed,
 laid out as ``<root>/<segment>/<user uuid>.txt.zst``.
 
-The reference walks tar archives in worker processes; here the unpacked
-tree is read by Spark's CSV source (zstd text is decoded by Spark's own
-codec), with the user and segment taken from each row's file path.
+The reference walks tar archives in worker processes. An unpacked tree is
+read by Spark's CSV source (zstd text is decoded by Spark's own codec); a
+pattern that ends in ``.tar`` names archives of such files, which tasks walk
+member by member, so that millions of play files are neither listed by the
+driver nor opened one by one. Both give the same rows, with the user and
+segment taken from each row's file path.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,7 +22,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from playstats.functions import split_list
 from playstats.schemas import CORRUPT, PLAY_FILE_RE, RAW_PLAY_SCHEMA, UUID_LIST_RE, UUID_RE
 
-DEFAULT_GLOB = "*/*.txt.zst"
+DEFAULT_GLOB, ARCHIVE_GLOB = "*/*.txt.zst", "*.tar"
+#: Bytes of a member that are read or decoded at once, and rows that a task passes on at once.
+MEMBER_BYTES, BATCH_ROWS = 4 << 20, 20_000
+#: What Spark's text sources take for blank.
+BLANK = "".join(map(chr, range(33)))
+FILE_ENTRIES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _as_row(df: DataFrame, **columns) -> DataFrame:
@@ -77,10 +88,71 @@ def folders_and_names(root: str, pattern: str) -> tuple[str, str]:
     return os.path.join(root, folders), names
 
 
+def is_archive(pattern: str) -> bool:
+    return pattern.endswith(".tar")
+
+
+def archived_rows(archives: DataFrame) -> DataFrame:
+    """SRC1 for archives (``path``, a batch or a stream): what the CSV source gives for their unpacked files."""
+
+    def member_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines of the play files in archives, each with the archive's path and the member's name."""
+        import tarfile
+
+        import numpy as np
+        from pyarrow import fs
+
+        paths, counts, lines = [], [], []
+
+        def rows() -> pa.RecordBatch:
+            files = pa.array(paths, pa.string()).take(pa.array(np.repeat(np.arange(len(paths)), counts)))
+            out = pa.RecordBatch.from_arrays([files, pa.array(lines, pa.string())], names=["file_path", "line"])
+            paths.clear(), counts.clear(), lines.clear()
+            return out
+
+        def pieces(tar, member) -> Iterator[bytes]:
+            """Decoded text, cut behind line ends."""
+            raw, rest = tar.extractfile(member), b""
+            if not member.size:
+                return
+            with pa.CompressedInputStream(pa.BufferReader(raw.read()) if member.size <= MEMBER_BYTES else pa.PythonFile(raw, "r"), "zstd") as text:
+                while piece := text.read(MEMBER_BYTES):
+                    whole, end, rest = (rest + piece).rpartition(b"\n")
+                    yield whole + end
+            yield rest
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                store, place = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+                with store.open_input_stream(place) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
+                    for member in tar:
+                        name = member.name.rpartition("/")[2]
+                        if not member.isfile() or name.startswith(("_", ".")) or not name.endswith(".txt.zst"):
+                            continue
+                        first = True
+                        for piece in pieces(tar, member):
+                            text = piece.removeprefix(b"\xef\xbb\xbf") if first else piece
+                            text, first = text.replace(b"\r\n", b"\n").replace(b"\r", b"\n").decode("utf-8", "replace"), False
+                            found = [x for x in text.split("\n") if x.strip(BLANK)]
+                            paths.append(f"{path}/{member.name}")
+                            counts.append(len(found))
+                            lines += found
+                            if len(lines) >= BATCH_ROWS:
+                                yield rows()
+        if lines:
+            yield rows()
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PLAY_FILE_SCHEMA.fields)
+    lines = archives.select("path").mapInArrow(member_lines, "file_path string, line string")
+    return lines.select(F.from_csv("line", schema, play_file_options()).alias("row"), "file_path").select("row.*", "file_path")
+
+
 def scan_play_files(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB) -> DataFrame:
     """SRC1, SRC5: raw rows of every play file with their ``file_path``. A
-    line of white space only is no row."""
+    line of white space only is no row. Archives are listed, not read, by Spark."""
     folders, names = folders_and_names(root, pattern)
+    if is_archive(pattern):
+        return archived_rows(spark.read.format("binaryFile").option("pathGlobFilter", names).load(folders))
     raw = spark.read.schema(PLAY_FILE_SCHEMA).options(**play_file_options(), pathGlobFilter=names).csv(folders)
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"))
 

@@ -48,9 +48,11 @@ def write_segmented_plays(plays: DataFrame, path: str, rows_per_file: int = ROWS
     )
 
 
-def write_play_files(plays: DataFrame, root: str) -> DataFrame:
+def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) -> DataFrame:
     """Plays as raw play files ``<root>/<segment>/<user>.txt.zst`` (the input
-    form of SRC1); returns (file, n_rows) of the files written.
+    form of SRC1); returns (file, n_rows) of the files written. With
+    ``rows_per_archive`` they are members of archives ``<root>/*.tar``, as the
+    reference's are; one closes with the file that brings it to that many rows.
 
     A file is one user's rows in time order, so a user is one task's work.
     Tasks write through Arrow's file systems, to a temporary name first: a
@@ -93,7 +95,70 @@ def write_play_files(plays: DataFrame, root: str) -> DataFrame:
         if out:
             yield closed()
 
-    return cut_lineage(rows.mapInArrow(write, "file string, n_rows bigint"), "written-play-files")
+    def write_archives(batches):
+        import itertools
+        import tarfile
+        import tempfile
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        store, base = fs.FileSystem.from_uri(root)
+        task, archives = TaskContext.get().partitionId(), 0
+        store.create_dir(base, recursive=True)
+
+        class Kept:
+            """A file that stays open when the compressor closes."""
+
+            closed = False
+
+            def __init__(self, file):
+                self.write, self.flush, self.close = file.write, lambda: None, lambda: None
+
+        def runs():
+            """Lines of consecutive rows of a file."""
+            for batch in batches:
+                pairs = zip(batch.column("file").to_pylist(), batch.column("line").to_pylist())
+                for file, found in itertools.groupby(pairs, lambda p: p[0]):
+                    yield file, [line for _, line in found]
+
+        done, tar, rows_held = [], None, 0
+        for file, parts in itertools.groupby(runs(), lambda r: r[0]):
+            if tar is None:
+                # cuts follow the rows, so a repeated task replaces its archives by the same files
+                part = f"{base}/_{uuid.uuid4().hex}"
+                out = store.open_output_stream(part)
+                tar = tarfile.open(fileobj=out, mode="w|")
+            n = 0
+            with tempfile.SpooledTemporaryFile(8 << 20) as member:
+                text = pa.CompressedOutputStream(pa.PythonFile(Kept(member), "w"), "zstd")
+                for _, lines in parts:
+                    text.write(("\n".join(lines) + "\n").encode())
+                    n += len(lines)
+                text.close()
+                entry = tarfile.TarInfo(f"{file}.txt.zst")
+                entry.size = member.tell()
+                member.seek(0)
+                tar.addfile(entry, member)
+            done.append((entry.name, n))
+            rows_held += n
+            if rows_held >= rows_per_archive:
+                tar.close(), out.close()
+                store.move(part, f"{base}/part-{task:06d}-{archives:06d}.tar")
+                tar, rows_held, archives = None, 0, archives + 1
+            if len(done) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["file", "n_rows"])
+                done = []
+        if tar is not None:
+            tar.close(), out.close()
+            store.move(part, f"{base}/part-{task:06d}-{archives:06d}.tar")
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["file", "n_rows"])
+
+    task = write_archives if rows_per_archive else write
+    return cut_lineage(rows.mapInArrow(task, "file string, n_rows bigint"), "written-play-files")
 
 
 def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:

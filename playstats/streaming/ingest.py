@@ -18,18 +18,32 @@ from playstats.functions import first_element
 from playstats.operators.clean import clean_plays
 from playstats.operators.rollups import user_artist_rollup
 from playstats.schemas import DEFAULT_LATE_CUT
-from playstats.sources.playfiles import DEFAULT_GLOB, PLAY_FILE_SCHEMA, folders_and_names, parse_plays, play_file_options, split_rejects
+from playstats.sources.playfiles import (
+    DEFAULT_GLOB,
+    FILE_ENTRIES,
+    PLAY_FILE_SCHEMA,
+    archived_rows,
+    folders_and_names,
+    is_archive,
+    parse_plays,
+    play_file_options,
+    split_rejects,
+)
 from playstats.sources.stores import completed_folders, remove_folder
 
 
 def parsed_stream(spark: SparkSession, root: str, pattern: str = DEFAULT_GLOB,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """STR1 source: rows of files as they arrive, parsed as the batch read
-    does, with ``file_path`` and ``reject``."""
+    does, with ``file_path`` and ``reject``. The driver holds an entry for each
+    file that has arrived, so many play files are to arrive in archives."""
     folders, names = folders_and_names(root, pattern)
-    reader = spark.readStream.schema(PLAY_FILE_SCHEMA).options(**play_file_options(), pathGlobFilter=names)
+    reader = spark.readStream.option("pathGlobFilter", names)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if is_archive(pattern):
+        return parse_plays(archived_rows(reader.schema(FILE_ENTRIES).format("binaryFile").load(folders)))
+    reader = reader.schema(PLAY_FILE_SCHEMA).options(**play_file_options())
     raw = reader.csv(folders)
     return parse_plays(raw.select("*", F.col("_metadata.file_path").alias("file_path")))
 

@@ -1,13 +1,19 @@
 """Steps whose work must grow with their rows only."""
 
+import os
 import random
+import tarfile
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from playstats.operators import encode, recsys
 from playstats.operators.packing import chunk_of_members, pack_whole
 from playstats.session import apply_runtime_conf, follow_table_sizes
+from playstats.sources.playfiles import ARCHIVE_GLOB, parse_plays, scan_play_files
+from playstats.sources.sinks import write_play_files
+from playstats.streaming import parsed_stream
 
 
 def test_shuffles_begin_with_partitions_in_proportion_to_the_tables(spark, workdir):
@@ -67,3 +73,45 @@ def test_entities_are_distinct_by_column(spark):
     ents = encode.unique_entities(plays)
     assert sorted(map(tuple, ents.collect())) == [("artist_ids", "a"), ("rec_id", "c"), ("rec_id", "u1"), ("release_id", "r"), ("user_id", "u1")]
     assert "Expand" not in ents._jdf.queryExecution().optimizedPlan().toString()
+
+
+PLAYS = "segment string, user_id string, timestamp bigint, artist_ids array<string>, release_id string, rec_id string"
+
+
+def _uuid(i):
+    return f"{i:08x}-0000-4000-8000-{i:012x}"
+
+
+def _as_sets(df):
+    return sorted(map(tuple, df.select("segment", "user_id", "timestamp", "artist_ids", "release_id", "rec_id", "reject").collect()), key=repr)
+
+
+def test_archives_hold_whole_play_files_and_read_as_the_unpacked_tree(spark, workdir):
+    rows = [(s, _uuid(u), t, [_uuid(1), _uuid(2)] if t % 2 else None, _uuid(5), _uuid(6)) for s in ("1d", "00") for u in range(30) for t in range(1 + u % 7)]
+    rows += [("00", "notes", 1, None, "x", None)]
+    plays = spark.createDataFrame(rows, PLAYS)
+    written = write_play_files(plays, f"{workdir}/packed", 10)
+    assert sum(r["n_rows"] for r in written.collect()) == len(rows) and written.count() == 61
+    archives = os.listdir(f"{workdir}/packed")
+    assert len(archives) > 8 and all(a.endswith(".tar") for a in archives)
+    members = [m.name for a in archives for m in tarfile.open(f"{workdir}/packed/{a}").getmembers()]
+    assert len(members) == len(set(members)) == 61
+    write_play_files(plays, f"{workdir}/tree")
+    packed = parse_plays(scan_play_files(spark, f"{workdir}/packed", ARCHIVE_GLOB))
+    assert _as_sets(packed) == _as_sets(parse_plays(scan_play_files(spark, f"{workdir}/tree"))) and packed.count() == len(rows)
+
+
+def test_archived_lines_parse_as_the_text_source_does(spark, workdir):
+    lines = f"5\t{_uuid(3)}\t{_uuid(5)}\t{_uuid(6)}\r\nx\t\t\t\n\n \t \n1\ty\t\t\r2\t\tbad\t\n4\ttoo\tfew\n\t\t\t\n7\t\"{_uuid(3)}\"\t\"\t\n8\té\t\t".encode()
+    os.makedirs(f"{workdir}/tree/1d"), os.makedirs(f"{workdir}/packed")
+    for user, data in ((_uuid(1), lines), (_uuid(2), b""), (_uuid(3), b"\xef\xbb\xbf9\t\t\t\n" + b"\xff\t\t\t\n"), ("notes", b"1\t\t\t\n")):
+        with open(f"{workdir}/tree/1d/{user}.txt.zst", "wb") as file:
+            file.write(pa.compress(data, codec="zstd", asbytes=True))
+    with tarfile.open(f"{workdir}/packed/a.tar", "w") as tar:
+        tar.add(f"{workdir}/tree/1d", "1d")
+    tree = parse_plays(scan_play_files(spark, f"{workdir}/tree"))
+    assert _as_sets(parse_plays(scan_play_files(spark, f"{workdir}/packed", ARCHIVE_GLOB))) == _as_sets(tree)
+    stream = parsed_stream(spark, f"{workdir}/packed", ARCHIVE_GLOB, 1)
+    query = stream.writeStream.format("parquet").option("path", f"{workdir}/out").option("checkpointLocation", f"{workdir}/ck")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert _as_sets(spark.read.parquet(f"{workdir}/out")) == _as_sets(tree)
