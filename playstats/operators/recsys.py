@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from playstats.functions import shift_days, shift_months
 from playstats.session import cut_lineage
@@ -211,9 +211,9 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
-def tasks_for(n_rows: int, rows_of_a_task: int) -> int:
-    """Partitions of a shuffle whose rows become many more behind it."""
-    return max(1, -(-n_rows // rows_of_a_task))
+def tasks_for(spark: SparkSession, n_rows: int, rows_of_a_task: int) -> int:
+    """Partitions of a shuffle whose rows become many more behind it; one a core at least."""
+    return max(2, spark.sparkContext.defaultParallelism, -(-n_rows // rows_of_a_task))
 
 
 def place_actions(prepared: DataFrame, windows: DataFrame, days: DataFrame, ranks: DataFrame, start: str,
@@ -231,7 +231,7 @@ def place_actions(prepared: DataFrame, windows: DataFrame, days: DataFrame, rank
     none = F.array_repeat(F.lit(None).cast("int"), n_windows + 1)
     in_each = F.slice(F.coalesce("ranks", none), lo + 1, F.greatest(hi - lo + 1, F.lit(0))).alias("ranks")
     actions = prepared.select("user_id", "item_id", "ts").join(lists, "item_id", "left").select("user_id", "ts", in_each)
-    actions = actions.repartition(tasks_for(prepared.count(), TASK_ACTIONS), "user_id")
+    actions = actions.repartition(tasks_for(prepared.sparkSession, prepared.count(), TASK_ACTIONS), "user_id")
     rows = actions.select("user_id", "ts", lo.alias("first"), F.posexplode("ranks").alias("pos", "rank"))
     rows = rows.select("user_id", "ts", "rank", (F.col("first") + F.col("pos")).alias("k"))
     return _placed(_labelled(_inside(rows, windows), days))
@@ -354,7 +354,7 @@ def evaluate(
     ranges = free_ranges(placed, kept, n)
     # a range is up to n rows of lists: tasks are made for those
     n_lists = kept.where(F.col("n_test") > 0).count()
-    ranges = ranges.repartition(tasks_for(n_lists * n, TASK_LIST_ROWS), "k", "user_id")
+    ranges = ranges.repartition(tasks_for(placed.sparkSession, n_lists * n, TASK_LIST_ROWS), "k", "user_id")
     means = per_user.groupBy("k").agg(F.avg("ndcg").alias("ndcg"), F.avg("rbp").alias("rbp"), F.avg("reciprank").alias("reciprank"))
     return {
         "windows": windows,
