@@ -111,3 +111,31 @@ def test_small_writers(spark, workdir):
     recs = spark.createDataFrame([("1995-01-01", 1, 2, 1)], "window_start string, user_id long, item_id long, rank int")
     write_recommendations(recs, os.path.join(workdir, "recs"))
     assert os.path.isdir(os.path.join(workdir, "recs", "window_start=1995-01-01"))
+
+
+def test_a_query_derives_the_views_that_it_reads(spark, workdir):
+    from datetime import date
+
+    import __spark_entry__ as entry
+    from playstats.plans import fixtures
+
+    tables = {
+        "supplier": ([(i, f"s{i}") for i in range(1, 9)], "s_suppkey long, s_name string"),
+        "part": ([(i, "a b", "T", i % 3) for i in range(1, 6)], "p_partkey long, p_name string, p_type string, p_size int"),
+        "orders": ([(i, i % 7, date(1995, 1, 1 + i % 28)) for i in range(1, 60)], "o_orderkey long, o_custkey long, o_orderdate date"),
+        "lineitem": ([(o, n, 1 + o % 8, 1 + n % 5) for o in range(1, 60) for n in (1, 2, 3)] * 2,
+                     "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(workdir, f"{name}.parquet"))
+    plain, got = Fixtures(spark, workdir), entry.queries()["appended_solo_plays"](spark, workdir)
+    solo = plain.plays.where(F.size("artist_ids") == 1)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(got) == key(solo) and got.count() > 100
+    fx = Fixtures.on_demand(spark, workdir)
+    assert [name for name in fixtures.MATERIALIZED_VIEWS if name in fx._cache] == ["plays"]
+    # the others are derived when they are asked for, from stored ones, and once
+    assert key(entry.queries()["parsed_plays"](spark, workdir)) and set(fx._cache) >= {"plays", "plays_uuid", "raw_plays"}
+    assert "artist" not in fx._cache and fx.plays_uuid is Fixtures.stored(spark, workdir).plays_uuid
+    for name in fixtures.MATERIALIZED_VIEWS:
+        assert hasattr(fx._cache[name], "_stage_path") and key(getattr(fx, name)) == key(getattr(plain, name)), name
