@@ -6,8 +6,10 @@ import tarfile
 from datetime import datetime, timedelta
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from playstats import session
 from playstats.operators import encode, recsys
 from playstats.operators.packing import chunk_of_members, pack_whole
 from playstats.session import apply_runtime_conf, follow_table_sizes
@@ -67,6 +69,66 @@ def test_packed_keys_are_equal_for_equal_texts_only(spark):
     assert len(got[u]) == 17 and len(got[f"{u},{v}"]) == 33
 
 
+def test_packed_keys_unpack_to_their_texts(spark):
+    u, v = "0a1b2c3d-0000-4000-8000-00000000000a", "0a1b2c3d-0000-4000-8000-00000000000b"
+    texts = [u, v, f"{u},{v}", f"{v},{u},{u}", u.upper(), u[:-1], f"{u},", "", " ", "a", ",", u.replace("-", ""), "é", f"{u}\n", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", encode.unpacked_key(encode.packed_key(F.col("t"))).alias("back"))
+    assert [r["back"] for r in rows.collect()] == texts
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(env.blockManager().diskBlockManager().getAllFiles())
+    return {f.getName() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_a_stored_stage_leaves_no_shuffle_on_disk(spark):
+    before, held = shuffle_files(spark), spark.conf.get(session.DROP_SHUFFLES, None)
+    stored = session.cut_lineage(spark.range(0, 50_000, 1, 4).groupBy((F.col("id") % 999).alias("k")).agg(F.count("id").alias("n")).repartition(3, "n"))
+    assert not shuffle_files(spark) - before and spark.conf.get(session.DROP_SHUFFLES, None) == held
+    assert stored.count() == 999
+
+
+def encoding_rows(spark):
+    rng = random.Random(9)
+    lists = [[_uuid(1)], [_uuid(1), None], [None, _uuid(1)], [_uuid(1), _uuid(2)], [f"{_uuid(1)},{_uuid(2)}"], ["a,b"], ["a", "b"], [], [None], None, ["[", ""]]
+    users = [_uuid(7), _uuid(8).upper(), f" {_uuid(8)}", "odd", "", None, "unknown"]
+    rows = [("0", rng.choice(users), rng.choice([None, *range(90)]), rng.choice(lists), rng.choice([_uuid(5), None]), _uuid(rng.randint(20, 60))) for _ in range(600)]
+    rows += rows[:50]  # equal plays are kept
+    known = {"user_id": [_uuid(7), _uuid(8), "odd"], "release_id": [_uuid(5)], "rec_id": [_uuid(i) for i in range(20, 50)], "artist_ids": [_uuid(1), "a", "a,b", "["]}
+    ids = [(kind, key, 100 * n + i) for n, (kind, keys) in enumerate(known.items()) for i, key in enumerate(keys)]
+    code = {(kind, key): n for kind, key, n in ids}
+    find = lambda kind, key: None if key is None else code.get((kind, key.strip().lower()))
+    want = [(s, find("user_id", u), t, [find("artist_ids", a) for a in x or []], find("release_id", r), find("rec_id", c)) for s, u, t, x, r, c in rows]
+    return spark.createDataFrame(rows, PLAYS), spark.createDataFrame(ids, "entity_type string, entity_uuid string, id_num int"), want
+
+
+@pytest.mark.parametrize("sliced", [False, True])
+def test_encoding_keeps_every_play_whole_or_in_slices(spark, monkeypatch, sliced):
+    plays, ids, want = encoding_rows(spark)
+    monkeypatch.setattr(encode, "BROADCAST_CODES", 10)  # recordings are joined by a shuffle
+    if sliced:
+        monkeypatch.setattr(session, "SLICE_BYTES", 1)
+        assert session.slices_of(plays) == session.MOST_SLICES
+    coded = encode.encode_plays(plays, ids)
+    got = list(map(tuple, coded.collect()))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    if sliced:  # the slices are stored: the last action moves no plays
+        assert "Exchange" not in coded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_uuid_plays_are_not_stored_as_text(spark, workdir):
+    from playstats.plans.fixtures import Fixtures, uuid_sql
+
+    fx = Fixtures.on_demand(spark, workdir)
+    keys = [(0, 1, 5, [7, None], 3, 4), (1, None, 6, None, None, 2), (2, 9, None, [], 1, None)]
+    fx._cache["plays"] = spark.createDataFrame(keys, "segment int, user_id bigint, timestamp bigint, artist_ids array<bigint>, release_id bigint, rec_id bigint")
+    want = fx._cache["plays"].selectExpr("segment", uuid_sql("u", "user_id"), "timestamp", f"transform(artist_ids, x -> {uuid_sql('a', 'x')})",
+                                         uuid_sql("r", "release_id"), uuid_sql("c", "rec_id"))
+    assert not hasattr(fx.plays_uuid, "_stage_path")
+    assert sorted(map(tuple, fx.plays_uuid.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_entities_are_distinct_by_column(spark):
     rows = [("U1 ", ["a", None, " A"], "", "c"), ("u1", [], None, "u1"), (None, None, "r", "C")]
     plays = spark.createDataFrame(rows, "user_id string, artist_ids array<string>, release_id string, rec_id string")
