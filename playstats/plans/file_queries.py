@@ -18,7 +18,7 @@ from playstats.plans.catalog import CATALOG, CLEAN_CTE, EVAL_CTES, IDS_CTE, LATE
 from playstats.plans.fixtures import Fixtures, uuid_sql
 from playstats.plans.oracle_fixtures import with_fixtures
 from playstats.schemas import ID_RANGE_WIDTH
-from playstats.session import cut_lineage, stage_path
+from playstats.session import cut_lineage, slices_of, stage_path
 from playstats.sources import drop_database, list_columns, load_rows, read_loads, read_segments, read_text_partitions, save_table, stage_load
 from playstats.sources.dumps import DUMP_REJECTS, scan_dump
 from playstats.sources.playfiles import ARCHIVE_GLOB, parse_plays, reject_counts, scan_play_files, split_rejects
@@ -84,7 +84,7 @@ def _play_files(fx: Fixtures) -> str:
             F.lit("notes").alias("user_id"), F.min("timestamp").alias("timestamp"),
             F.lit(None).cast("array<string>").alias("artist_ids"), F.min("release_id").alias("release_id"), F.min("rec_id").alias("rec_id"),
         )
-        write_play_files(plays.unionByName(stray), root, ARCHIVE_ROWS)
+        write_play_files(plays.unionByName(stray), root, ARCHIVE_ROWS, slices_of(plays))
         return root
 
     return fx.shared("play files", build)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from playstats.operators.encode import packed_key, unpacked_key
 from playstats.operators.packing import chunk_of_members
 from playstats.schemas import ROWS_PER_FILE
-from playstats.session import cut_lineage
+from playstats.session import cut_lineage, cut_slices
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -48,7 +49,7 @@ def write_segmented_plays(plays: DataFrame, path: str, rows_per_file: int = ROWS
     )
 
 
-def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) -> DataFrame:
+def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0, slices: int = 1) -> DataFrame:
     """Plays as raw play files ``<root>/<segment>/<user>.txt.zst`` (the input
     form of SRC1); returns (file, n_rows) of the files written. With
     ``rows_per_archive`` they are members of archives ``<root>/*.tar``, as the
@@ -58,15 +59,24 @@ def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) ->
     Tasks write through Arrow's file systems, to a temporary name first: a
     repeated task replaces the file by the same bytes. A NULL or empty list is
     an empty field.
+
+    Keys are moved packed (``encode.packed_key``). With ``slices`` the users are
+    written in so many parts, one after the other, each of which moves its
+    share of the plays only.
     """
 
     def field(c: str):
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
     lists = F.coalesce(F.array_join("artist_ids", ","), F.lit(""))
-    line = F.concat_ws("\t", field("timestamp"), lists, field("release_id"), field("rec_id"))
-    rows = plays.repartition("segment", "user_id").sortWithinPartitions("segment", "user_id", "timestamp")
-    rows = rows.select(F.concat_ws("/", "segment", "user_id").alias("file"), line.alias("line"))
+
+    def by_file(plays: DataFrame) -> DataFrame:
+        keys = {"user": F.col("user_id"), "list": lists, "release": field("release_id"), "rec": field("rec_id")}
+        rows = plays.select("segment", "timestamp", *[c.alias(n) for n, c in keys.items()])
+        rows = rows.select("segment", "timestamp", *[packed_key(F.col(n)).alias(n) for n in keys])
+        rows = rows.repartition("segment", "user").sortWithinPartitions("segment", "user", "timestamp")
+        line = F.concat_ws("\t", field("timestamp"), *[unpacked_key(F.col(n)) for n in ("list", "release", "rec")])
+        return rows.select(F.concat_ws("/", "segment", unpacked_key(F.col("user"))).alias("file"), line.alias("line"))
 
     def write(batches):
         import uuid
@@ -95,7 +105,7 @@ def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) ->
         if out:
             yield closed()
 
-    def write_archives(batches):
+    def write_archives(number, batches):
         import itertools
         import tarfile
         import tempfile
@@ -106,7 +116,7 @@ def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) ->
         from pyspark import TaskContext
 
         store, base = fs.FileSystem.from_uri(root)
-        task, archives = TaskContext.get().partitionId(), 0
+        task, archives, place = TaskContext.get().partitionId(), 0, None
         store.create_dir(base, recursive=True)
 
         class Kept:
@@ -146,19 +156,22 @@ def write_play_files(plays: DataFrame, root: str, rows_per_archive: int = 0) ->
             rows_held += n
             if rows_held >= rows_per_archive:
                 tar.close(), out.close()
-                store.move(part, f"{base}/part-{task:06d}-{archives:06d}.tar")
+                store.move(part, f"{base}/part-{number:02d}-{task:06d}-{archives:06d}.tar")
                 tar, rows_held, archives = None, 0, archives + 1
             if len(done) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["file", "n_rows"])
                 done = []
         if tar is not None:
             tar.close(), out.close()
-            store.move(part, f"{base}/part-{task:06d}-{archives:06d}.tar")
+            store.move(part, f"{base}/part-{number:02d}-{task:06d}-{archives:06d}.tar")
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["file", "n_rows"])
 
-    task = write_archives if rows_per_archive else write
-    return cut_lineage(rows.mapInArrow(task, "file string, n_rows bigint"), "written-play-files")
+    def written(plays: DataFrame, number: int) -> DataFrame:
+        task = (lambda batches: write_archives(number, batches)) if rows_per_archive else write
+        return by_file(plays).mapInArrow(task, "file string, n_rows bigint")
+
+    return cut_slices(plays, F.xxhash64("segment", "user_id"), slices, written, "written-play-files")
 
 
 def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:

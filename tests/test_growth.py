@@ -117,6 +117,23 @@ def test_encoding_keeps_every_play_whole_or_in_slices(spark, monkeypatch, sliced
         assert "Exchange" not in coded._jdf.queryExecution().executedPlan().toString()
 
 
+def test_users_are_written_in_slices_to_the_same_files(spark, workdir):
+    rows = [(s, _uuid(u), t, [_uuid(1), None] if t % 2 else None, _uuid(5), "x") for s in ("1d", "00") for u in range(40) for t in range(1 + u % 7)]
+    plays = spark.createDataFrame([*rows, ("00", "notes", 1, None, "x", None)], PLAYS)
+    found = {}
+    for n in (1, 4):
+        written = write_play_files(plays, f"{workdir}/{n}", 10, n)
+        members = {}
+        for name in os.listdir(f"{workdir}/{n}"):
+            with tarfile.open(f"{workdir}/{n}/{name}") as tar:
+                for m in tar.getmembers():
+                    assert m.name not in members
+                    members[m.name] = pa.CompressedInputStream(pa.BufferReader(tar.extractfile(m).read()), "zstd").read()
+        found[n] = members
+        assert {r["file"]: r["n_rows"] for r in written.collect()} == {k: v.count(b"\n") for k, v in members.items()}
+    assert found[1] == found[4] and len(found[4]) == 81
+
+
 def test_uuid_plays_are_not_stored_as_text(spark, workdir):
     from playstats.plans.fixtures import Fixtures, uuid_sql
 
